@@ -127,8 +127,8 @@ def sequence_windows(blocks: DataFrame, features: Sequence[str], window: int = W
     step = F.struct(*[F.col(c).cast("float").alias(c) for c in features])
     seq = F.collect_list(step).over(w.rowsBetween(-window, -1))
     n = F.count(F.lit(1)).over(w.rowsBetween(-window, -1))
-    out = framed.withColumn("_n", n).filter(F.col("_halo") == 0).filter(F.col("_n") == window) \
-                .withColumn("window", seq)
+    out = framed.withColumns({"_n": n, "window": seq}) \
+                .filter((F.col("_halo") == 0) & (F.col("_n") == window))
     return out.drop("_n", "_halo", "_bk")
 
 
