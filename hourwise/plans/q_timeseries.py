@@ -36,7 +36,7 @@ splits AS (SELECT *, CASE WHEN rk < floor(n * 0.7) THEN 'train' WHEN rk < floor(
 
 
 def blocks(spark, sf):
-    return TSO.contiguous_blocks(tables.labelled(spark, sf, EV))
+    return tables.blocks(spark, sf, EV)
 
 
 def targets(spark, sf):
