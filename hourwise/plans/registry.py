@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUERIES: dict[str, Callable] = {}
+GRID_BITS = 20
 ORACLE: dict[str, str] = {}
 
 
@@ -24,12 +25,18 @@ def query(key: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every floating column so engines that sum in a different order
-    still agree (far below any displayed precision)."""
+    """Snap every floating column to the binary grid 2^-20 (~1e-6) with
+    floor(x·2^20 + 0.5)/2^20 — the same IEEE operations in Spark and in the SQL
+    oracle (``rnd``). Unlike decimal ROUND (whose tie rules differ between the
+    engines), values computed from decimal data almost never sit on a binary
+    half-grid point, so sums taken in a different order snap to the same double."""
     exprs = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            exprs.append((F.round(F.col(f"`{f.name}`"), digits) + F.lit(0.0)).alias(f.name))
+            x = F.col(f"`{f.name}`")
+            scale = float(2 ** GRID_BITS)
+            snapped = F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+            exprs.append(F.when(F.abs(x) < F.lit(1e12), snapped).otherwise(x).alias(f.name))
         else:
             exprs.append(F.col(f"`{f.name}`"))
     return df.select(*exprs)
@@ -38,5 +45,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def rnd(sql: str, cols: str, digits: int = 6) -> str:
     """Wrap SQL so the named DOUBLE columns are rounded like ``rounded``."""
     names = cols.split()
-    rep = ", ".join(f"round(CAST(\"{c}\" AS DOUBLE), {digits}) + 0.0 AS \"{c}\"" for c in names)
+    sc = f"CAST({2 ** GRID_BITS} AS DOUBLE)"
+    rep = ", ".join(
+        f"CASE WHEN abs(CAST(\"{c}\" AS DOUBLE)) < 1e12 THEN floor(CAST(\"{c}\" AS DOUBLE) * {sc} + 0.5) / {sc} "
+        f"ELSE CAST(\"{c}\" AS DOUBLE) END AS \"{c}\"" for c in names)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS _q"
