@@ -61,7 +61,7 @@ def frequent_itemsets(tx: DataFrame, min_support: float = 0.01, method: str = "f
         model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(tx)
         fi = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq"))
     elif method == "subsets":
-        subsets = [F.filter(F.col("items"), lambda x, i, m=m: ((F.lit(m) >> i) & 1) == 1)  # noqa: B023
+        subsets = [F.array(*[F.col("items")[k] for k in range(basket_size) if (m >> k) & 1])
                    for m in range(1, 2 ** basket_size)]
         fi = (tx.select(F.explode(F.array(*subsets)).alias("items"))
                 .groupBy(F.array_sort("items").alias("items")).agg(F.count(F.lit(1)).alias("freq")))
