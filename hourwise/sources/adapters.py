@@ -24,7 +24,11 @@ def _hour_floor(ts) -> F.Column:
 def readings_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as raw readings: one row per event, several per hour and sensor."""
     pin_utc(spark)
-    e = table(spark, sf_dir, "events")
+    return events_to_readings(table(spark, sf_dir, "events"))
+
+
+def events_to_readings(e: DataFrame) -> DataFrame:
+    """The events → readings projection (batch or streaming input)."""
     hour = _hour_floor(F.col("ts"))
     k = F.get_json_object("props", "$.k").cast("int")
     return e.select(
@@ -54,7 +58,11 @@ def readings_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def readings_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as raw readings over several years (month medians, yearly trends)."""
     pin_utc(spark)
-    o = table(spark, sf_dir, "orders")
+    return orders_to_readings(table(spark, sf_dir, "orders"))
+
+
+def orders_to_readings(o: DataFrame) -> DataFrame:
+    """The orders → readings projection (batch or streaming input)."""
     prio = F.substring("o_orderpriority", 1, 1)
     return o.select(
         F.col("o_orderkey").alias("row_id"),
