@@ -681,3 +681,21 @@ def q_interp(spark, sf):
         A.peak_hour(A.hour_by_daytype_pivot(f)), A.boxplot_stats(f),
         A.extreme_difference(A.mean_by_weather_min_n(h, 50)), A.pearson(h), A.skewness_adjusted(h),
         A.peak_month(A.monthly_share(fo)))
+
+
+# ------------------------------------------------------------- gates -------
+
+@query("schema_gate", rnd(with_tables(EV, "raw") + """SELECT holiday, temp, rain_1h, snow_1h, clouds_all, weather_main,
+       weather_description, date_time, traffic_volume FROM raw""", DOUBLES_RAW))
+def q_schema_gate(spark, sf):
+    """Expected raw columns present (extra ones reported); strict mode projects them."""
+    from ..sources.schema import EXPECTED_RAW_COLUMNS, schema_gate
+    return rounded(schema_gate(tables.raw(spark, sf, EV), EXPECTED_RAW_COLUMNS, strict=True))
+
+
+@query("required_columns_gate", rnd(W_EV + "SELECT sensor, date_time, " + ", ".join(C.COMMON_FEATURE_COLUMNS)
+                                    + " FROM lab", "hour_sin hour_cos dow_sin dow_cos temp_zscore clouds_all_minmax"))
+def q_required_gate(spark, sf):
+    from ..sources.schema import required_columns_gate
+    lab = required_columns_gate(_lab(spark, sf), C.COMMON_FEATURE_COLUMNS)
+    return rounded(lab.select("sensor", "date_time", *C.COMMON_FEATURE_COLUMNS))
