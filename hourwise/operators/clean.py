@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import canonical_text, rain_fault, temp_fault
@@ -102,9 +102,26 @@ def impute_by_group_median(df: DataFrame, column: str, fault: Column,
 
 
 def impute_outliers(df: DataFrame, temp: str = "temp", rain: str = "rain_1h") -> DataFrame:
-    """Temperature first, then rain, as in the reference order."""
-    df = impute_by_group_median(df, temp, temp_fault(temp))
-    return impute_by_group_median(df, rain, rain_fault(rain))
+    """Temperature and rain faults replaced by month medians (overall clean
+    median when a month has none), all medians from ONE rollup aggregate —
+    12 month rows plus the grand total, broadcast back — so the input is
+    scanned twice (rows + aggregate) however many columns are repaired. Rain
+    medians do not depend on the temperature repair, so doing both at once
+    equals the reference's temperature-then-rain order."""
+    return impute_by_month_medians(df, {temp: temp_fault(temp), rain: rain_fault(rain)})
+
+
+def impute_by_month_medians(df: DataFrame, rules: dict[str, Column], ts: str = "date_time") -> DataFrame:
+    aggs = [F.median(F.when(~fault, F.col(c))).alias(f"_med_{c}") for c, fault in rules.items()]
+    med = df.withColumn("_month", F.month(ts)).rollup("_month").agg(*aggs, F.grouping("_month").alias("_g"))
+    # the grand-total row is copied onto the month rows by a window over this
+    # ≤ 13-row table, so one small table is broadcast and joined once
+    whole = Window.partitionBy()
+    table = med.withColumns({f"_all_{c}": F.max(F.when(F.col("_g") == 1, F.col(f"_med_{c}"))).over(whole)
+                             for c in rules}).filter(F.col("_g") == 0).drop("_g")
+    joined = df.withColumn("_month", F.month(ts)).join(F.broadcast(table), "_month", "left")
+    fixed = {c: F.when(fault, F.coalesce(f"_med_{c}", f"_all_{c}")).otherwise(F.col(c)) for c, fault in rules.items()}
+    return joined.withColumns(fixed).select(*df.columns)
 
 
 def range_check_report(df: DataFrame) -> DataFrame:
