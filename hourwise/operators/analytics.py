@@ -180,35 +180,44 @@ def lookup_nearest(df: DataFrame, at, ts: str = TS, tie_cols: Sequence[str] = ("
 
 def asof_join(probes: DataFrame, readings: DataFrame, probe_ts: str = "probe_time", read_ts: str = TS,
               by: Sequence[str] = ("sensor",), probe_id: str = "probe_id",
-              bucket_seconds: int = 86400) -> DataFrame:
+              bucket_seconds: int = 86400, max_probes_per_task: int = 1_000_000) -> DataFrame:
     """Nearest reading (either direction, earlier on ties) for every probe.
 
-    Windows run per (by, time bucket), so no sensor — however hot — becomes one
-    task; a probe whose bucket has no reading on one side takes the neighbour
-    from the bucket-level summary (one row per non-empty bucket), found with a
-    range-framed window over buckets. The chosen reading is then fetched with an
-    equi-join on (by, reading time). Returns the probe columns plus
-    ``match_time`` and ``gap_seconds``; join to ``readings`` for more columns.
+    Windows run per (by, time bucket, salt): no sensor — however hot — becomes
+    one task, and a bucket holding more than ``max_probes_per_task`` probes is
+    split into ⌈count / max⌉ salts, each seeing all of that bucket's readings
+    (probes never interact, so the split is exact). A probe whose bucket has no
+    reading on one side takes the neighbour from the bucket-level summary (one
+    row per non-empty bucket) via a range-framed window over buckets. Returns
+    the probe columns plus ``match_time`` and ``gap_seconds``; join to
+    ``readings`` on (by, match_time) for more columns.
     """
     by = list(by)
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     bucket = lambda c: F.floor(micros(c) / (bucket_seconds * 1_000_000))
-    r = readings.select(*by, F.col(read_ts).alias("_t")).withColumn("_b", bucket("_t")) \
-                .withColumn("_rt", F.col("_t")).withColumn("_pid", F.lit(None).cast("long")).withColumn("_k", F.lit(0))
     p = probes.select(*by, F.col(probe_id).cast("long").alias("_pid"), F.col(probe_ts).alias("_t")) \
-              .withColumn("_b", bucket("_t")).withColumn("_rt", F.lit(None).cast("timestamp_ntz")) \
-              .withColumn("_k", F.lit(1))
+              .withColumn("_b", bucket("_t"))
+    # salts per (by, bucket) from the probe counts: one row per bucket that has probes
+    salts = p.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_np")) \
+             .withColumn("_ns", F.greatest(F.lit(1), F.ceil(F.col("_np") / F.lit(max_probes_per_task))).cast("int"))
+    p = p.join(salts.select(*by, "_b", "_ns"), [*by, "_b"]) \
+         .withColumn("_salt", F.pmod(F.xxhash64("_pid"), F.col("_ns")).cast("int")).drop("_ns") \
+         .withColumn("_rt", F.lit(None).cast("timestamp_ntz")).withColumn("_k", F.lit(1))
+    r = (readings.select(*by, F.col(read_ts).alias("_t")).withColumn("_b", bucket("_t"))
+                 .join(salts.select(*by, "_b", "_ns"), [*by, "_b"])          # only buckets that have probes
+                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1))).drop("_ns")
+                 .withColumn("_rt", F.col("_t")).withColumn("_pid", F.lit(None).cast("long")).withColumn("_k", F.lit(0)))
     u = r.unionByName(p)
-    w = Window.partitionBy(*by, "_b").orderBy("_t", "_k")
-    inb = (u.withColumn("_prev", F.last("_rt", True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    part = [*by, "_b", "_salt"]
+    inb = (u.withColumn("_prev", F.last("_rt", True).over(
+                Window.partitionBy(*part).orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("_next", F.first("_rt", True).over(
-                Window.partitionBy(*by, "_b").orderBy("_t", F.col("_k").desc())
-                .rowsBetween(0, Window.unboundedFollowing)))
+                Window.partitionBy(*part).orderBy("_t", F.col("_k").desc()).rowsBetween(0, Window.unboundedFollowing)))
             .filter(F.col("_k") == 1))
     summ = readings.select(*by, bucket(read_ts).alias("_b"), F.col(read_ts).alias("_x")) \
                    .groupBy(*by, "_b").agg(F.max("_x").alias("_bmax"), F.min("_x").alias("_bmin"))
-    pb = p.select(*by, "_b").distinct().withColumn("_bmax", F.lit(None).cast("timestamp_ntz")) \
-          .withColumn("_bmin", F.lit(None).cast("timestamp_ntz")).withColumn("_isp", F.lit(1))
+    pb = salts.select(*by, "_b").withColumn("_bmax", F.lit(None).cast("timestamp_ntz")) \
+              .withColumn("_bmin", F.lit(None).cast("timestamp_ntz")).withColumn("_isp", F.lit(1))
     wb = Window.partitionBy(*by).orderBy("_b")
     nb = (summ.withColumn("_isp", F.lit(0)).unionByName(pb)
               .withColumn("_pb", F.last("_bmax", True).over(wb.rangeBetween(Window.unboundedPreceding, -1)))

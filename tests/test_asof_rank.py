@@ -24,6 +24,9 @@ def test_asof_join_matches_brute_force_across_buckets(spark):
     p = spark.createDataFrame(probes, "probe_id long, sensor string, probe_time timestamp_ntz")
     got = {row["probe_id"]: row["match_time"] for row in
            A.asof_join(p, r, bucket_seconds=6 * 3600).collect()}
+    salted = {row["probe_id"]: row["match_time"] for row in
+              A.asof_join(p, r, bucket_seconds=6 * 3600, max_probes_per_task=2).collect()}
+    assert salted == got and len(got) == len(probes)
     by_sensor = {}
     for s, t in readings:
         by_sensor.setdefault(s, []).append(t)
