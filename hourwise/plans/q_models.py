@@ -144,29 +144,35 @@ def q_save_scored(spark, sf):
 
 # ------------------------------------------------------- sequence forecast ---
 
+SEQ_FEATURES = ["traffic_volume", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "is_weekend", "temp_zscore",
+                "is_precipitating", "is_severe_weather", "is_low_visibility", "holiday_flag"]
+
+
 def _forecast_frame(spark, sf):
-    """Targets with a full 24-step history: flattened window (train-scaled
-    volume per step) + as-of calendar/weather features, split 70/10/20."""
+    """Targets with a full 24-step history: the 24 × 11 window flattened
+    (volume scaled with train-only statistics, as the sequence model saw it),
+    split 70/10/20 by target time."""
     def build():
         b = tables.blocks(spark, sf, EV)
-        seq = TSO.sequence_windows(b, ["traffic_volume"])
+        seq = TSO.sequence_windows(b, SEQ_FEATURES)
         sp = TSO.three_way_split(seq)
         flagged = b.join(sp.select(*KEY, "split"), KEY, "left")
         sc = TSO.train_only_scaling(flagged).select("scaler_mean", "scaler_std")
-        steps = {f"v_{i:02d}": (F.col("window")[i]["traffic_volume"] - F.col("scaler_mean")) / F.col("scaler_std")
-                 for i in range(TSO.WINDOW)}
-        asof = TSO.asof_features(b, ["hour_sin", "hour_cos", "dow_sin", "dow_cos", "is_weekend", "holiday_flag",
-                                     "temp_zscore", "is_precipitating", "is_severe_weather", "is_low_visibility"])
-        a_cols = [c for c in asof.columns if c.startswith("asof_")]
+        steps = {}
+        for i in range(TSO.WINDOW):
+            step = F.col("window")[i]
+            steps[f"v_{i:02d}_traffic_volume_scaled"] = \
+                (step["traffic_volume"] - F.col("scaler_mean")) / F.col("scaler_std")
+            for c in SEQ_FEATURES[1:]:
+                steps[f"v_{i:02d}_{c}"] = step[c].cast("double")
         return (sp.crossJoin(F.broadcast(sc)).withColumns(steps)
-                  .join(asof.select(*KEY, *a_cols), KEY)
                   .withColumn("is_val", F.col("split") == "val")
                   .drop("window"))
     return tables._memo(spark, ("forecast_frame", sf), build)
 
 
 def _forecast_features(df):
-    return [c for c in df.columns if c.startswith("v_") or c.startswith("asof_")]
+    return [c for c in df.columns if c.startswith("v_")]
 
 
 def _forecaster(spark, sf):
@@ -197,8 +203,12 @@ def q_sequence_forecast(spark, sf):
     model = _forecaster(spark, sf)
     pred = model.transform(test).select(*KEY, F.col("traffic_volume").cast("double").alias("actual"), "prediction")
     persist = test.select(*KEY, F.col("traffic_volume").cast("double").alias("actual"),
-                          (F.col("v_23") * F.col("scaler_std") + F.col("scaler_mean")).alias("prediction"))
-    return MD.regression_comparison({"gbt_window": pred, "naive_persistence": persist})
+                          (F.col("v_23_traffic_volume_scaled") * F.col("scaler_std") + F.col("scaler_mean"))
+                          .alias("prediction"))
+    rf_model, tree_test = _tree_forest(spark, sf)
+    rf = rf_model.transform(tree_test).select(*KEY, F.col("traffic_volume").cast("double").alias("actual"),
+                                              "prediction")
+    return MD.regression_comparison({"gbt_window": pred, "naive_persistence": persist, "random_forest": rf})
 
 
 @query("training_history")
@@ -518,18 +528,27 @@ def _tree_frame(spark, sf):
     return tables._memo(spark, ("tree_frame", sf), build)
 
 
+def _tree_forest(spark, sf):
+    """The forecast forest (150 trees, depth 10, min leaf 5, all features per
+    split) fitted on the train targets' lag / as-of features, and the test rows."""
+    k = (spark.sparkContext.applicationId, "tree_forest", sf)
+    if k not in tables._MEMO:
+        f = _tree_frame(spark, sf)
+        train = f.filter(F.col("split") == "train")
+        tables._MEMO[k] = (MD.rf_regressor_pipeline(TREE_FEATURES).fit(train), f.filter(F.col("split") == "test"))
+    return tables._MEMO[k]
+
+
 @query("tree_attribution")
 def q_tree_attribution(spark, sf):
-    """Exact TreeSHAP of the forecast forest (150 trees, depth 10, min leaf 5,
-    all features per split) on the test targets; Σφ + base = the forest output."""
+    """Exact TreeSHAP of the forecast forest on the test targets; Σφ + base =
+    the forest output."""
     f = _tree_frame(spark, sf)
-    train = f.filter(F.col("split") == "train")
-    if not _has_rows(train):                                    # no block long enough for a target
+    if not _has_rows(f.filter(F.col("split") == "train")):     # no block long enough for a target
         return _empty(spark, "sensor string, date_time timestamp_ntz, "
                       + ", ".join(f"phi_{c} double" for c in TREE_FEATURES) + ", base_value double, tree_output double")
-    model = MD.rf_regressor_pipeline(TREE_FEATURES).fit(train)
+    model, test = _tree_forest(spark, sf)
     rf = model.stages[-1]
-    test = f.filter(F.col("split") == "test")
     attr = EX.tree_attribution(test.repartition(spark.sparkContext.defaultParallelism, *KEY), rf, TREE_FEATURES,
                                keep=KEY)
     return attr
