@@ -142,16 +142,17 @@ def full_history(blocks: DataFrame, window: int = WINDOW, ts: str = TS, by: Sequ
 
 def rank_by_time(df: DataFrame, ts: str = TS, tie: Sequence[str] = BY) -> DataFrame:
     """Exact 0-based global rank by (ts, tie) without a one-task sort: counts per
-    timestamp (a hash aggregate), a running sum over the distinct timestamps
-    (one row per time, not per reading) and a rank among the rows sharing one
-    timestamp (at most one per sensor after dedupe). Adds ``_rank`` and ``_n``."""
-    counts = df.groupBy(ts).agg(F.count(F.lit(1)).alias("_c"))
+    timestamp (a hash aggregate), their running sum in time order with the
+    bucketed prefix sum (no single-partition window even when timestamps are
+    as many as rows) and a rank among the rows sharing one timestamp (at most
+    one per sensor after dedupe). Adds ``_rank`` and ``_n``."""
+    from .prefix import ordered_cumsum
+    counts = df.groupBy(ts).agg(F.count(F.lit(1)).alias("_c")).withColumn("_tk", _micros(ts))
     total = df.agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_c").over(
-        Window.orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
-        .crossJoin(F.broadcast(total))
+    offsets = ordered_cumsum(counts, "_tk", ["_c"]) \
+        .select(ts, (F.col("cum__c") - F.col("_c")).alias("_off")).crossJoin(F.broadcast(total))
     within = F.row_number().over(Window.partitionBy(ts).orderBy(*tie)) - 1
-    return df.join(offsets.select(ts, "_off", "_n"), ts).withColumn("_rank", F.col("_off") + within).drop("_off")
+    return df.join(offsets, ts).withColumn("_rank", F.col("_off") + within).drop("_off")
 
 
 def chronological_split(df: DataFrame, test_size: float = 0.2, ts: str = TS, tie: Sequence[str] = BY) -> DataFrame:

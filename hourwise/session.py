@@ -34,18 +34,27 @@ def build_session(app: str = "hourwise", cores: int | None = None,
     return spark
 
 
+_LOCAL_DIR: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (tests,
-    local runs) fall back to a fresh scratch folder."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    """The shared folder for materialized tables, stream checkpoints and saved
+    models: the cluster's ``spark.checkpoint.dir``; only when it is unset
+    (tests, local runs) a fresh scratch folder is set for this session."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions expose no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="hourwise-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+        key = sc.applicationId if sc is not None else str(id(spark))
+        configured = _LOCAL_DIR.setdefault(key, tempfile.mkdtemp(prefix="hourwise-ckpt-"))
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir()
+    return configured
 
 
 def pin_utc(spark: SparkSession) -> None:
