@@ -578,7 +578,11 @@ def q_breakdown(spark, sf):
     return rounded(A.category_breakdown(m))
 
 
-@query("format_reading")
+@query("format_reading", W_EV + """SELECT sensor, date_time,
+       strftime(date_time, '%Y-%m-%d %H:%M') || ' (' || dayname(date_time) || ')  traffic='
+       || format('{:,}', traffic_volume) || ' veh/hr  category=' || congestion_category || '  weather='
+       || weather_main || '  temp=' || printf('%.1f', temp - 273.15) || '°C' AS reading_text
+FROM feat""")
 def q_format(spark, sf):
     return A.format_reading(tables.features(spark, sf, EV)).select("sensor", "date_time", "reading_text")
 

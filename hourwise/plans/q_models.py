@@ -23,7 +23,7 @@ from ..operators import tracking as TR
 from ..sources import io
 from . import tables
 from .oracle_base import with_tables
-from .q_eval import SCORED_SQL, rule_score, scored
+from .q_eval import SCORED_SQL, scored
 from .registry import query, rnd, rounded
 
 EV = "events"
@@ -510,8 +510,6 @@ def q_top_drivers(spark, sf):
     return EX.top_drivers_text(EX.group_importance(attr, EX.FEATURE_GROUPS), 6)
 
 
-_ = (rule_score, CLUSTER_Z)
-
 
 TREE_ASOF = ["hour_sin", "hour_cos", "dow_sin", "dow_cos", "is_weekend", "holiday_flag",
              "temp_zscore", "is_precipitating", "is_severe_weather", "is_low_visibility"]

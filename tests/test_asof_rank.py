@@ -1,8 +1,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
-
 from hourwise.operators import analytics as A
 from hourwise.operators import timeseries as TS
 
@@ -71,4 +69,3 @@ def test_stream_blocks_equal_batch_blocks(spark, tmp_path):
     # the open session (ending after the watermark, max time − 2 h) is still in state
     expected = [e for e in expected if e[0] < last - dt.timedelta(hours=3)]
     assert got == expected
-    assert F is not None

@@ -1,8 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
-
 from hourwise.functions.columns import temp_fault
 from hourwise.operators import clean as CL
 from hourwise.sources.schema import SchemaValidationError, schema_gate
@@ -85,4 +83,3 @@ def test_dq_metrics_counts(spark):
     assert m[("outliers", "temp_faults")] == 1 and m[("outliers", "rain_faults")] == 1
     assert m[("range_check", "negative_rain_snow")] == 1
     assert m[("range_check", "clouds_out_of_range")] == 1
-    assert F is not None

@@ -51,10 +51,8 @@ def test_status_logic_reproduces_reference_report(spark):
     assert f1["status"] == "ALERT" and f1["reference_value"] == 1.0
     mae = D.mae_drift(scored, "actual", "prediction_r").collect()[0]
     assert mae["status"] == "ALERT" and mae["extra"] == "increase=300.0%"
-    rep = D.drift_report([D.psi_rows(D.psi_categorical(windows(spark, [1, 2], [1, 2]), "cat"), "psi_cat")], [f1_df(D, scored)])
+    rep = D.drift_report([D.psi_rows(D.psi_categorical(windows(spark, [1, 2], [1, 2]), "cat"), "psi_cat")],
+                         [D.f1_drift(scored)])
     ws = D.window_status(rep).collect()
     assert {r["window"]: r["overall_status"] for r in ws} == {"now": "PASS", "w": "ALERT"}
 
-
-def f1_df(D, scored):
-    return D.f1_drift(scored)

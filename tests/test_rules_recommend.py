@@ -1,10 +1,7 @@
-import csv
-import os
-
 from hourwise.operators import recommend as RC
 from hourwise.operators import rules as RU
 
-REF_T5 = None  # the reference's hourly profile is copied below as plain data (empty hour 15)
+# an hour-of-day profile with an empty hour (15), as in the reference's fog profile
 FOG_PROFILE = [
     (0, 10, 627.3, 0.2197), (1, 11, 343.6363636363636, 0.2208), (2, 12, 303.8333333333333, 0.2436),
     (3, 14, 361.2857142857143, 0.2083), (4, 25, 879.92, 0.2283), (5, 21, 2738.6190476190477, 0.2863),
@@ -66,4 +63,3 @@ def test_fpgrowth_and_subsets_agree(spark):
     rb = {(r["antecedents"], r["consequent"]) for r in
           RU.association_rules(RU.frequent_itemsets(tx, 0.02, "subsets"), 0.3).collect()}
     assert ra == rb
-    assert csv and os

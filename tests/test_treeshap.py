@@ -50,8 +50,7 @@ def test_tree_shap_matches_brute_force_and_sums_to_prediction(spark):
                                                  .transform(spark.createDataFrame(rows[:20], df.schema))).collect()]
     assert np.allclose(out, pred)
     assert np.allclose(phi.sum(axis=1) + base, out)
-    # reference trees from the same node table for the brute-force check
-    nodes = spark.read.parquet  # noqa: F841 - the arrays above were built from the saved model
+    # the same trees walked through the model object, for the brute-force check
     trees = []
     for t in m.trees:
         j = t._java_obj.rootNode()
