@@ -374,8 +374,10 @@ def extreme_difference(stats: DataFrame) -> DataFrame:
 
 def sample_rows(df: DataFrame, n: int = 4000, seed: int = 42, key: Sequence[str] = ("sensor", TS)) -> DataFrame:
     """Reproducible sample of exactly min(n, rows) rows without replacement:
-    rank by a seeded hash of the key and keep the n smallest (TakeOrdered)."""
-    return df.withColumn("_h", F.xxhash64(F.lit(seed), *key)).orderBy("_h", *key).limit(n).drop("_h")
+    rank by an MD5 of the seed and the key (portable: any engine computes the
+    same digest) and keep the n smallest — a per-task top-n, no full sort."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+    return df.withColumn("_h", h).orderBy("_h", *key).limit(n).drop("_h")
 
 
 def histogram(df: DataFrame, x: str = VOL, bins: int = 40) -> DataFrame:

@@ -114,8 +114,8 @@ def cluster_interpretation(profile: DataFrame, quartiles: DataFrame) -> DataFram
              .when(v <= F.col("_q3"), "high traffic").otherwise("very high traffic"))
     text = F.format_string(
         "%s conditions (avg. hour %04.1fh), predominantly '%s' weather, with %s (avg. %s veh/hr, mostly '%s' "
-        "congestion); %.0f%% of hours in this cluster are on a weekend.",
+        "congestion); %s%% of hours in this cluster are on a weekend.",
         F.concat(F.upper(F.substring(tod, 1, 1)), F.substring(tod, 2, 100)), h, F.lower("dominant_weather"), vol,
-        F.format_number(v, 0), F.col("dominant_congestion"), F.col("pct_weekend"))
+        F.format_number(v, 0), F.col("dominant_congestion"), F.format_number("pct_weekend", 0))
     return profile.crossJoin(F.broadcast(quartiles)).withColumn("interpretation", text) \
                   .drop("_q1", "_q2", "_q3")

@@ -637,10 +637,12 @@ def q_extreme(spark, sf):
     return rounded(A.extreme_difference(A.mean_by_weather_min_n(tables.hourly(spark, sf, EV), 50)))
 
 
-@query("sample_rows")
+@query("sample_rows", rnd(W_EV + """SELECT sensor, date_time, temp, traffic_volume, congestion_category FROM feat
+ORDER BY md5('42|' || sensor || '|' || strftime(date_time, '%Y-%m-%d %H:%M:%S')), sensor, date_time LIMIT 4000""",
+                          "temp"))
 def q_sample(spark, sf):
-    return A.sample_rows(tables.features(spark, sf, EV), 4000, 42).select("sensor", "date_time", "temp",
-                                                                             "traffic_volume", "congestion_category")
+    return rounded(A.sample_rows(tables.features(spark, sf, EV), 4000, 42)
+                   .select("sensor", "date_time", "temp", "traffic_volume", "congestion_category"))
 
 
 @query("histogram", rnd(W_EV + """

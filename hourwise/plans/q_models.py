@@ -326,13 +326,38 @@ def q_cluster_profile(spark, sf):
     return rounded(CU.cluster_profile(j))
 
 
-@query("cluster_interpretation")
+@query("cluster_interpretation", ASSIGN_SQL + """
+, q AS (SELECT quantile_cont(traffic_volume, 0.25) AS q1, quantile_cont(traffic_volume, 0.5) AS q2,
+               quantile_cont(traffic_volume, 0.75) AS q3 FROM lab),
+md_w AS (SELECT cluster, arg_min(v, (-k, v)) AS w FROM
+           (SELECT cluster, CASE weather_severity WHEN 0 THEN 'Clear' WHEN 1 THEN 'Clouds' WHEN 2 THEN 'Precipitation'
+                   WHEN 3 THEN 'Low visibility' ELSE 'Severe' END AS v, count(*) AS k FROM a GROUP BY 1, 2) GROUP BY 1),
+md_c AS (SELECT cluster, arg_min(v, (-k, v)) AS c FROM
+           (SELECT cluster, congestion_category_p3 AS v, count(*) AS k FROM a GROUP BY 1, 2) GROUP BY 1),
+p0 AS (SELECT cluster, atan2(avg(sin(2 * pi() * hour / 24)), avg(cos(2 * pi() * hour / 24))) / (2 * pi()) * 24 AS h0,
+              avg(traffic_volume) AS v, avg(is_weekend) * 100 AS pw FROM a GROUP BY cluster),
+p AS (SELECT *, CASE WHEN h0 < 0 THEN h0 + 24 ELSE h0 END AS h FROM p0),
+t AS (SELECT p.*, md_w.w, md_c.c,
+             CASE WHEN h < 5 OR h >= 22 THEN 'overnight' WHEN h < 10 THEN 'morning' WHEN h < 14 THEN 'midday'
+                  WHEN h < 18 THEN 'afternoon/evening rush hour' ELSE 'evening' END AS tod,
+             CASE WHEN v <= q1 THEN 'low traffic' WHEN v <= q2 THEN 'moderate traffic' WHEN v <= q3 THEN 'high traffic'
+                  ELSE 'very high traffic' END AS vol
+      FROM p JOIN md_w USING (cluster) JOIN md_c USING (cluster) CROSS JOIN q)
+SELECT CAST(cluster AS INTEGER) AS cluster,
+       printf('%s conditions (avg. hour %04.1fh), predominantly ''%s'' weather, with %s (avg. %s veh/hr, mostly ''%s'' '
+              || 'congestion); %s%% of hours in this cluster are on a weekend.',
+              upper(substr(tod, 1, 1)) || substr(tod, 2), h, lower(w), vol, format('{:,.0f}', v), c,
+              format('{:,.0f}', pw)) AS interpretation
+FROM t""")
 def q_cluster_text(spark, sf):
-    x, m = _kmeans(spark, sf)
-    assigned = m.transform(x).withColumnRenamed("prediction", "cluster")
+    """Sentences for the clusters of the deterministic assignment (time-of-day
+    centroids); the k-means clusters' profile is ``fit_kmeans``."""
     from ..operators.features import table_stats
-    q = table_stats(_cluster_input(spark, sf)).select("_q1", "_q2", "_q3")
-    return CU.cluster_interpretation(CU.cluster_profile(assigned), q).select("cluster", "interpretation")
+    a = _assigned(spark, sf)
+    lab = _cluster_input(spark, sf)
+    prof = CU.cluster_profile(lab.join(a.select(*KEY, "cluster"), KEY))
+    q = table_stats(lab).select("_q1", "_q2", "_q3")
+    return CU.cluster_interpretation(prof, q).select("cluster", "interpretation")
 
 
 # -------------------------------------------------------------- tracking ---

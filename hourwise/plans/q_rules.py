@@ -97,7 +97,19 @@ def q_best_rule(spark, sf):
     return rounded(RU.best_rule_per_level(rules(spark, sf)))
 
 
-@query("explain_rules")
+def _phrase_case(x: str) -> str:
+    from ..operators.rules import PHRASES
+    whens = " ".join(f"WHEN '{c}_{v}' THEN '" + p.replace("'", "''") + "'" for c, m in PHRASES.items()
+                     for v, p in m.items())
+    return f"CASE {x} {whens} ELSE regexp_replace({x}, '_([^_]*)$', '=\\1') END"
+
+
+@query("explain_rules", TX_SQL + """SELECT antecedents, consequent,
+       printf('When %s, congestion is ''%s'' %.1f%% of the time -- %.2fx more likely than for a random hour. '
+              || 'This combination covers %.1f%% of all hours in the dataset.',
+              array_to_string(list_transform(string_split(antecedents, ', '), lambda it: """ + _phrase_case("it") + """),
+                              ' and '), consequent, confidence * 100, lift, support * 100) AS explanation
+FROM rl""")
 def q_explain(spark, sf):
     return RU.explain_rules(rules(spark, sf)).select("antecedents", "consequent", "explanation")
 
