@@ -154,7 +154,7 @@ def dq_metrics(raw: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
                    F.count_if((F.col("rain_1h") < 0) | (F.col("snow_1h") < 0)).alias("negative_rain_snow"),
                    F.count_if((F.col("clouds_all") < 0) | (F.col("clouds_all") > 100))
                    .alias("clouds_out_of_range"))
-    wide = a.crossJoin(b).withColumn(
+    wide = a.crossJoin(F.broadcast(b)).withColumn(
         "duplicates_removed", F.col("raw_rows") - F.col("unparseable_dates") - F.col("hourly_rows"))
     stages = [("load", "raw_rows"), ("parse", "unparseable_dates"), ("dedupe", "duplicates_removed"),
               ("dedupe", "hourly_rows"), ("outliers", "temp_faults"), ("outliers", "rain_faults"),

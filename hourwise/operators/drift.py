@@ -45,7 +45,8 @@ def ks_two_sample(df: DataFrame, value: str, window: str = "window", ref: str =
            .agg(F.count(F.lit(1)).alias("c"))
     wins = cur.select("window").distinct()
     # every window sees every reference value (reference counts replicated per window: distinct values only)
-    both = (wins.crossJoin(refc).join(cur, ["window", "v"], "full")
+    # the window list is a handful of rows: broadcast it, the reference counts stay distributed
+    both = (refc.crossJoin(F.broadcast(wins)).join(cur, ["window", "v"], "full")
                 .select("window", "v", F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("c", F.lit(0)).alias("c")))
     cum = ordered_cumsum(both, "v", ["r", "c"], by=["window"], buckets=buckets)
     n = both.groupBy("window").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
@@ -71,7 +72,7 @@ def psi_categorical(df: DataFrame, value: str, window: str = "window", ref: str
     cur = df.filter(F.col(window) != ref).groupBy(F.col(window).alias("window"), F.col(value).alias("bin")) \
             .agg(F.count(F.lit(1)).alias("c"))
     wins = cur.select("window").distinct()
-    both = (wins.crossJoin(refc).join(cur, ["window", "bin"], "full")
+    both = (refc.crossJoin(F.broadcast(wins)).join(cur, ["window", "bin"], "full")
                 .select("window", "bin", F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("c", F.lit(0)).alias("c")))
     return _psi_from_counts(both)
 
