@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 def _splits(df: DataFrame, key: str, buckets: int) -> list[float]:
     probs = [i / buckets for i in range(1, buckets)]
     qs = df.approxQuantile(key, probs, 1.0 / (4 * buckets)) if buckets > 1 else []
-    inner = sorted({float(q) for q in qs if q is not None})
+    inner = sorted({float(q) for q in qs if q is not None}) or [0.0]   # Bucketizer needs ≥ 2 buckets
     return [float("-inf"), *inner, float("inf")]
 
 

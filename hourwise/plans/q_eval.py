@@ -126,14 +126,14 @@ def q_reg_metrics(spark, sf):
 
 
 @query("naive_persistence", rnd(BLOCKS_SQL + """
-, t AS (SELECT s.*, CAST(s.traffic_volume AS DOUBLE) AS actual,
-               CAST(lag(b.traffic_volume, 1) OVER (PARTITION BY b.sensor, b.block_start ORDER BY b.date_time) AS DOUBLE)
-                 AS persist_pred
-        FROM blocks b JOIN splits s ON b.sensor = s.sensor AND b.date_time = s.date_time)
+, bl AS (SELECT sensor, date_time, CAST(lag(traffic_volume, 1) OVER (PARTITION BY sensor, block_start
+                ORDER BY date_time) AS DOUBLE) AS persist_pred FROM blocks),
+t AS (SELECT s.*, CAST(s.traffic_volume AS DOUBLE) AS actual, bl.persist_pred
+      FROM bl JOIN splits s ON bl.sensor = s.sensor AND bl.date_time = s.date_time)
 """ + REG_SQL.format(by="", src="t", group="AND split = 'test'"), "mae rmse r2"))
 def q_naive(spark, sf):
     b = tables.blocks(spark, sf, EV)
-    t = TSO.three_way_split(TSO.lag_features(TSO.full_history(b), lags=(1,), rolls=()))
+    t = TSO.three_way_split(TSO.in_block_features(b, lags=(1,), rolls=()))
     test = t.filter(F.col("split") == "test").withColumns({
         "actual": F.col("traffic_volume").cast("double"), "persist_pred": F.col("lag_1").cast("double")})
     return rounded(EVL.regression_metrics(test, "actual", "persist_pred"))

@@ -371,7 +371,7 @@ def _deterministic_runs(spark, sf, store):
     s = scored(spark, sf).filter(F.col("window") == "test_period")
     cls = EVL.classification_metrics(s, score="score").drop("n")
     b = tables.blocks(spark, sf, EV)
-    t = TSO.three_way_split(TSO.lag_features(TSO.full_history(b), lags=(1,), rolls=()))
+    t = TSO.three_way_split(TSO.in_block_features(b, lags=(1,), rolls=()))
     test = t.filter(F.col("split") == "test").withColumns({
         "actual": F.col("traffic_volume").cast("double"), "persist_pred": F.col("lag_1").cast("double")})
     reg = EVL.regression_metrics(test, "actual", "persist_pred").select("mae", "r2")
@@ -390,9 +390,10 @@ auc AS (SELECT (sum(CASE WHEN label = 1 THEN rmin + (c - 1) / 2.0 END) - P * (P
         FROM (SELECT label, rank() OVER (ORDER BY score) AS rmin, count(*) OVER (PARTITION BY score) AS c,
                      sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) OVER () AS P, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) OVER () AS N
               FROM st) x GROUP BY P, N),
-t AS (SELECT sp.*, CAST(sp.traffic_volume AS DOUBLE) AS actual,
-             CAST(lag(b.traffic_volume, 1) OVER (PARTITION BY b.sensor, b.block_start ORDER BY b.date_time) AS DOUBLE) AS pp
-      FROM blocks b JOIN splits sp ON b.sensor = sp.sensor AND b.date_time = sp.date_time),
+bl AS (SELECT sensor, date_time, CAST(lag(traffic_volume, 1) OVER (PARTITION BY sensor, block_start
+             ORDER BY date_time) AS DOUBLE) AS pp FROM blocks),
+t AS (SELECT sp.*, CAST(sp.traffic_volume AS DOUBLE) AS actual, bl.pp
+      FROM bl JOIN splits sp ON bl.sensor = sp.sensor AND bl.date_time = sp.date_time),
 reg AS (SELECT avg(abs(actual - pp)) AS mae,
                1 - sum((actual - pp) * (actual - pp)) / nullif(sum(actual * actual) - sum(actual) * sum(actual) / count(*), 0) AS r2
         FROM t WHERE split = 'test' AND pp IS NOT NULL)
@@ -523,7 +524,7 @@ def q_top_drivers(spark, sf):
     """Attributions of the fitted linear forecaster over the lag / as-of features."""
     b = tables.blocks(spark, sf, EV)
     feats = [c for cols in (g[1] for g in EX.FEATURE_GROUPS.values()) for c in cols]
-    df = TSO.lag_features(TSO.full_history(b)).dropna(subset=["lag_1", "lag_24", "roll_mean_6", "roll_mean_24"])
+    df = TSO.in_block_features(b).dropna(subset=["lag_1", "lag_24", "roll_mean_6", "roll_mean_24"])
     if not _has_rows(df):                                       # no block long enough for a target
         return _empty(spark, "rank int, feature_group string, sentence string")
     from pyspark.ml.feature import VectorAssembler
@@ -544,10 +545,8 @@ TREE_FEATURES = ["lag_1", "lag_24", "roll_mean_6", "roll_mean_24"] + [f"asof_{c}
 def _tree_frame(spark, sf):
     def build():
         b = tables.blocks(spark, sf, EV)
-        t = TSO.full_history(b)
-        lag = TSO.lag_features(b).select(*KEY, "lag_1", "lag_24", "roll_mean_6", "roll_mean_24")
-        asof = TSO.asof_features(b, TREE_ASOF).select(*KEY, *[f"asof_{c}" for c in TREE_ASOF])
-        return TSO.three_way_split(t.select(*KEY, "traffic_volume").join(lag, KEY).join(asof, KEY))
+        t = TSO.in_block_features(b, asof=TREE_ASOF, history=TSO.WINDOW)
+        return TSO.three_way_split(t.select(*KEY, "traffic_volume", *TREE_FEATURES))
     return tables._memo(spark, ("tree_frame", sf), build)
 
 
