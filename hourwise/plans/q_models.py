@@ -242,8 +242,13 @@ def q_cluster_matrix(spark, sf):
 def _kmeans(spark, sf):
     k = (spark.sparkContext.applicationId, "kmeans", sf)
     if k not in tables._MEMO:
+        from pyspark import StorageLevel
         df = _cluster_input(spark, sf)
-        x = CU.cluster_matrix(df).transform(df)
+        # the standardized vectors feed 10 restarts and the k sweep: persist them once
+        x = CU.cluster_matrix(df).transform(df).select(*KEY, "features", "hour", "weather_severity",
+                                                       "weather_severity_label", "traffic_volume",
+                                                       "congestion_category_p3", "is_weekend") \
+              .persist(StorageLevel.MEMORY_AND_DISK)
         tables._MEMO[k] = (x, CU.fit_kmeans(x, k=5, n_init=10))
     return tables._MEMO[k]
 
