@@ -290,7 +290,14 @@ def q_window_status(spark, sf):
     return D.window_status(report(spark, sf)[1])
 
 
-@query("drift_summary")
+@query("drift_summary", REPORT_SQL + """
+, ws AS (SELECT "window", CASE WHEN bool_or(status = 'ALERT') THEN 'ALERT' ELSE 'PASS' END AS st FROM report GROUP BY 1),
+wn AS (SELECT "window", count(*) AS n FROM s WHERE "window" <> 'reference' GROUP BY 1),
+rs AS (SELECT CAST(min(date_time) AS VARCHAR) AS st, CAST(max(date_time) AS VARCHAR) AS en, count(*) AS n
+       FROM s WHERE "window" = 'reference')
+SELECT CAST(json_object('reference_window', json_object('start', rs.st, 'end', rs.en, 'n_rows', rs.n),
+       'windows', (SELECT json_group_object(ws."window", json_object('overall_status', ws.st, 'n_rows', wn.n))
+                   FROM ws JOIN wn ON ws."window" = wn."window")) AS VARCHAR) AS summary_json FROM rs""")
 def q_drift_summary(spark, sf):
     w, rep = report(spark, sf)
     return D.drift_summary(w, D.window_status(rep))
