@@ -436,6 +436,6 @@ def chart_interpretations(peak: DataFrame, box: DataFrame, weather_ext: DataFram
         "Skewness is %.2f and the mean (%s) compares with the median (%s).", "skewness", num("mean"),
         num("median")).alias("interpretation"))
     t6 = month_peak.select(F.lit(6).alias("chart"), F.format_string(
-        "The share of severely congested hours peaks at %.0f%% in %s.", "peak_pct",
+        "The share of severely congested hours peaks at %s%% in %s.", F.format_number("peak_pct", 0),
         F.date_format(F.to_date(F.concat("peak_month", F.lit("-01"))), "MMMM yyyy")).alias("interpretation"))
     return t1.unionByName(t2).unionByName(t3).unionByName(t4).unionByName(t5).unionByName(t6)

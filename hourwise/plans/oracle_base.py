@@ -112,11 +112,19 @@ lab AS (
   FROM feat)"""
 
 
-def with_tables(view: str = "events", upto: str = "lab") -> str:
-    """WITH prefix defining raw → hourly (→ feat → lab)."""
+CTE_NAMES = ["raw", "std", "dedup", "tmed", "tall", "timp", "rmed", "rall", "hourly", "stats", "feat", "lab"]
+
+
+def with_tables(view: str = "events", upto: str = "lab", suffix: str = "") -> str:
+    """WITH prefix defining raw → hourly (→ feat → lab); ``suffix`` renames every
+    CTE (e.g. ``hourly_o``) so two views can be chained in one statement."""
     parts = [f"raw AS ({RAW[view]})"]
     if upto != "raw":
         parts.append(CLEAN_CTES.strip())
     if upto in ("feat", "lab"):
         parts.append(FEATURE_CTES.strip() if upto == "lab" else FEATURE_CTES.strip().rsplit(",\nlab AS", 1)[0])
-    return "WITH " + ",\n".join(parts) + "\n"
+    body = ",\n".join(parts)
+    if suffix:   # none of these names is also a column name or a string literal
+        import re
+        body = re.sub(r"\b(" + "|".join(CTE_NAMES) + r")\b", lambda m: m.group(1) + suffix, body)
+    return "WITH " + body + "\n"

@@ -678,7 +678,38 @@ def q_peak_month(spark, sf):
     return rounded(A.peak_month(A.monthly_share(tables.features(spark, sf, OR))))
 
 
-@query("chart_interpretations")
+CHART_SQL = W_EV + ", " + with_tables(OR, suffix="_o")[len("WITH "):] + """
+, piv AS (SELECT hour, avg(traffic_volume) FILTER (WHERE is_weekend = 0) AS wd,
+                 avg(traffic_volume) FILTER (WHERE is_weekend = 1) AS we FROM feat GROUP BY hour),
+pk AS (SELECT arg_min(hour, (-wd, hour)) AS wh, max(wd) AS wm, arg_min(hour, (-we, hour)) AS eh, max(we) AS em,
+              avg(wd) - avg(we) AS md FROM piv),
+bx AS (SELECT quantile_cont(traffic_volume, 0.5) FILTER (WHERE is_weekend = 0) AS d0,
+              quantile_cont(traffic_volume, 0.5) FILTER (WHERE is_weekend = 1) AS d1 FROM feat),
+wn AS (SELECT weather_main, avg(traffic_volume) AS mean FROM hourly GROUP BY 1 HAVING count(*) >= 50),
+ex AS (SELECT arg_max(weather_main, mean) AS hi, max(mean) AS him, arg_min(weather_main, mean) AS lo,
+              min(mean) AS lom FROM wn),
+pr AS (SELECT covar_pop(temp, traffic_volume) / (stddev_pop(temp) * stddev_pop(traffic_volume)) AS r FROM hourly),
+sk AS (SELECT skewness(traffic_volume) AS k, avg(traffic_volume) AS m, median(traffic_volume) AS d FROM hourly),
+ms AS (SELECT strftime(date_time, '%Y-%m') AS ym,
+              avg(CASE WHEN congestion_category = 'Very High' THEN 1.0 ELSE 0.0 END) * 100 AS pct FROM feat_o GROUP BY 1),
+pm AS (SELECT arg_min(ym, (-pct, ym)) AS ym, max(pct) AS pp FROM ms)
+SELECT 1 AS chart, printf('Weekday traffic peaks at %d:00 (%s veh/hr); weekend traffic peaks at %d:00 (%s veh/hr). '
+       || 'Weekdays exceed weekends by %s veh/hr on average.', wh, format('{:,.0f}', wm), eh, format('{:,.0f}', em),
+       format('{:,.0f}', md)) AS interpretation FROM pk
+UNION ALL SELECT 2, printf('Median weekday volume (%s veh/hr) is %s veh/hr higher than the weekend median (%s veh/hr).',
+       format('{:,.0f}', d0), format('{:,.0f}', d0 - d1), format('{:,.0f}', d1)) FROM bx
+UNION ALL SELECT 3, printf(chr(39) || '%s' || chr(39) || ' carries the highest average volume (%s veh/hr) and '
+       || chr(39) || '%s' || chr(39) || ' the lowest (%s veh/hr), a difference of %s veh/hr.',
+       upper(substr(hi, 1, 1)) || substr(hi, 2), format('{:,.0f}', him),
+       upper(substr(lo, 1, 1)) || substr(lo, 2), format('{:,.0f}', lom), format('{:,.0f}', him - lom)) FROM ex
+UNION ALL SELECT 4, printf('Pearson r = %.3f between temperature and traffic volume.', r) FROM pr
+UNION ALL SELECT 5, printf('Skewness is %.2f and the mean (%s) compares with the median (%s).', k,
+       format('{:,.0f}', m), format('{:,.0f}', d)) FROM sk
+UNION ALL SELECT 6, printf('The share of severely congested hours peaks at %s%% in %s.', format('{:,.0f}', pp),
+       strftime(CAST(ym || '-01' AS DATE), '%B %Y')) FROM pm"""
+
+
+@query("chart_interpretations", CHART_SQL)
 def q_interp(spark, sf):
     f = tables.features(spark, sf, EV)
     h = tables.hourly(spark, sf, EV)
