@@ -100,13 +100,36 @@ def q_stream_score(spark, sf):
     return _run(TR.alias_join(scored, reg, "champion"), "score")
 
 
-@query("stream_drift")
+STREAM_DRIFT_SQL = with_tables(EV) + """
+, rw AS (SELECT lower(trim(weather_main)) AS weather_main, CAST(hour(date_time) AS INTEGER) AS hour FROM raw),
+rc AS (SELECT weather_main AS bin, count(*) AS r FROM lab GROUP BY 1),
+cc AS (SELECT weather_main AS bin, count(*) AS c FROM rw GROUP BY 1),
+bw AS (SELECT coalesce(rc.bin, cc.bin) AS bin, coalesce(r, 0) AS r, coalesce(c, 0) AS c
+       FROM rc FULL JOIN cc ON rc.bin IS NOT DISTINCT FROM cc.bin),
+pw AS (SELECT sum((c * 1.0 / (SELECT sum(c) FROM bw) + 1e-4 - (r * 1.0 / (SELECT sum(r) FROM bw) + 1e-4))
+                  * ln((c * 1.0 / (SELECT sum(c) FROM bw) + 1e-4) / (r * 1.0 / (SELECT sum(r) FROM bw) + 1e-4))) AS psi FROM bw),
+sp AS (SELECT CAST(range AS INTEGER) AS bin FROM range(25)),
+rh AS (SELECT hour AS bin, count(*) AS r FROM lab GROUP BY 1),
+ch AS (SELECT hour AS bin, count(*) AS c FROM rw GROUP BY 1),
+bh AS (SELECT sp.bin, coalesce(r, 0) AS r, coalesce(c, 0) AS c FROM sp LEFT JOIN rh ON sp.bin = rh.bin
+       LEFT JOIN ch ON sp.bin = ch.bin),
+ph AS (SELECT sum((c * 1.0 / (SELECT sum(c) FROM bh) + 1e-4 - (r * 1.0 / (SELECT sum(r) FROM bh) + 1e-4))
+                  * ln((c * 1.0 / (SELECT sum(c) FROM bh) + 1e-4) / (r * 1.0 / (SELECT sum(r) FROM bh) + 1e-4))) AS psi FROM bh)
+SELECT 'batch_0' AS "window", 'feature_drift' AS kind, 'psi_weather_main' AS "check", psi AS value, 0.0 AS reference_value,
+       '> 0.25' AS threshold, '' AS extra,
+       CASE WHEN psi > 0.25 THEN 'ALERT' WHEN psi > 0.10 THEN 'MODERATE' ELSE 'PASS' END AS status FROM pw
+UNION ALL
+SELECT 'batch_0', 'feature_drift', 'psi_hour_of_day', psi, 0.0, '> 0.25', '',
+       CASE WHEN psi > 0.25 THEN 'ALERT' WHEN psi > 0.10 THEN 'MODERATE' ELSE 'PASS' END FROM ph"""
+
+
+@query("stream_drift", rnd(STREAM_DRIFT_SQL, "value reference_value"))
 def q_stream_drift(spark, sf):
     """Per micro-batch: PSI of weather and hour vs the reference table,
-    appended as report rows (foreachBatch)."""
+    appended as report rows to a Parquet table (foreachBatch)."""
+    from ..sources.io import shared_path
     ref = tables.labelled(spark, sf, EV).select("weather_main", "hour").withColumn("window", F.lit("reference"))
-    out = ST.run_available  # the sink path is chosen inside the batch function
-    base = {}
+    report_path = shared_path(spark, "stream-drift-report")
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
         cur = batch.select(F.lower(F.trim("weather_main")).alias("weather_main"),
@@ -114,9 +137,7 @@ def q_stream_drift(spark, sf):
         both = ref.unionByName(cur)
         rows = D.drift_report([D.psi_rows(D.psi_categorical(both, "weather_main"), "psi_weather_main"),
                                D.psi_rows(D.psi_spine(both, "hour", 25), "psi_hour_of_day")])
-        rows.write.mode("append").parquet(base["path"])
+        rows.write.mode("append").parquet(report_path)
 
-    from ..sources.io import shared_path
-    base["path"] = shared_path(spark, "stream-drift-report")
-    out(_readings_stream(spark, sf), "drift", foreach_batch=per_batch)
-    return rounded(spark.read.parquet(base["path"]))
+    ST.run_available(_readings_stream(spark, sf), "drift", foreach_batch=per_batch)
+    return rounded(spark.read.parquet(report_path))
