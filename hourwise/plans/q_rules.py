@@ -185,7 +185,43 @@ def q_avoid(spark, sf):
     return rounded(RC.avoid_windows(profile(spark, sf), *RANGE, top_n=1))
 
 
-@query("recommended_windows")
+RECOMMEND_SQL = "WITH RECURSIVE " + PROFILE_SQL[len("WITH "):] + """
+, cb AS (SELECT c.*, b.baseline_traffic FROM cand c JOIN base b ON c.is_weekend = b.is_weekend
+         AND c.weather_key = b.weather_key),
+ord AS (SELECT *, row_number() OVER (PARTITION BY is_weekend, weather_key ORDER BY traffic_mean, hour) AS k
+        FROM cb WHERE traffic_mean < baseline_traffic),
+steps AS (
+  SELECT o.is_weekend, o.weather_key, o.k, o.hour, o.traffic_mean AS m0,
+         l.traffic_mean AS ml, r.traffic_mean AS mr, o.baseline_traffic AS base
+  FROM ord o
+  LEFT JOIN cb l ON l.is_weekend = o.is_weekend AND l.weather_key = o.weather_key AND l.hour = o.hour - 1
+  LEFT JOIN cb r ON r.is_weekend = o.is_weekend AND r.weather_key = o.weather_key AND r.hour = o.hour + 1),
+rec(is_weekend, weather_key, k, used, ws, we) AS (
+  SELECT DISTINCT is_weekend, weather_key, CAST(0 AS BIGINT), CAST([] AS INTEGER[]), CAST(NULL AS INTEGER),
+         CAST(NULL AS INTEGER) FROM steps
+  UNION ALL
+  SELECT s.is_weekend, s.weather_key, s.k,
+         CASE WHEN list_contains(rec.used, s.hour) THEN rec.used
+              ELSE list_concat(rec.used, [s.hour, nb.pick]) END,
+         CASE WHEN list_contains(rec.used, s.hour) THEN NULL ELSE least(s.hour, coalesce(nb.pick, s.hour)) END,
+         CASE WHEN list_contains(rec.used, s.hour) THEN NULL ELSE greatest(s.hour, coalesce(nb.pick, s.hour)) + 1 END
+  FROM rec JOIN steps s ON s.is_weekend = rec.is_weekend AND s.weather_key = rec.weather_key AND s.k = rec.k + 1
+  CROSS JOIN LATERAL (
+    SELECT CASE WHEN lok AND (NOT rok OR s.ml <= s.mr) THEN s.hour - 1 WHEN rok THEN s.hour + 1 END AS pick
+    FROM (SELECT coalesce(s.ml < s.base AND NOT list_contains(rec.used, s.hour - 1), false) AS lok,
+                 coalesce(s.mr < s.base AND NOT list_contains(rec.used, s.hour + 1), false) AS rok)) nb),
+win AS (SELECT rec.is_weekend, rec.weather_key, rec.k, rec.ws AS start, rec.we AS "end",
+               avg(c.traffic_mean) AS traffic_mean, avg(c.risk_prob) AS risk_prob, CAST(sum(c.n) AS BIGINT) AS n
+        FROM rec JOIN cb c ON c.is_weekend = rec.is_weekend AND c.weather_key = rec.weather_key
+             AND c.hour >= rec.ws AND c.hour < rec.we
+        WHERE rec.ws IS NOT NULL GROUP BY 1, 2, 3, 4, 5)
+SELECT is_weekend, weather_key,
+       CAST(row_number() OVER (PARTITION BY is_weekend, weather_key ORDER BY traffic_mean, k) AS INTEGER) AS rank,
+       CAST(start AS INTEGER) AS start, CAST("end" AS INTEGER) AS "end", traffic_mean, risk_prob, n
+FROM win QUALIFY rank <= 3"""
+
+
+@query("recommended_windows", rnd(RECOMMEND_SQL, "traffic_mean risk_prob"))
 def q_recommended(spark, sf):
     return rounded(RC.recommended_windows(profile(spark, sf), *RANGE, top_n=3))
 
