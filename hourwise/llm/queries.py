@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, packing, secrets, sharding
+from . import bpe, exact_dedup, html_main, packing, secrets, sharding
 from .common import documents
 
 SHARDS = 24
@@ -29,13 +29,17 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir), SHARDS)
 
 
+def op7_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
     return packing.pack(documents(spark, sf_dir), lambda: packing.WordEncoder(path, pattern))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op3_byte_bpe, op4_exact_dedup, op5_sharding, op9_packing)}
+    f.__name__: f for f in (op1_secret_scan, op3_byte_bpe, op4_exact_dedup, op5_sharding, op7_html_main, op9_packing)}
 
 ORACLE_SQL = {
     "op4_exact_dedup": r"""
