@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, html_main, packing, secrets, sharding
+from . import bpe, exact_dedup, html_main, packing, quality, secrets, sharding
 from .common import documents
 
 SHARDS = 24
@@ -29,6 +29,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir), SHARDS)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.score(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op7_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -39,7 +44,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op3_byte_bpe, op4_exact_dedup, op5_sharding, op7_html_main, op9_packing)}
+    f.__name__: f for f in (op1_secret_scan, op3_byte_bpe, op4_exact_dedup, op5_sharding, op6_quality, op7_html_main, op9_packing)}
 
 ORACLE_SQL = {
     "op4_exact_dedup": r"""
