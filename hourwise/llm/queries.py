@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, html_main, packing, quality, secrets, sharding
+from . import bpe, exact_dedup, html_main, near_dedup, packing, quality, secrets, sharding
 from .common import documents
 
 SHARDS = 24
@@ -16,6 +16,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(documents(spark, sf_dir)).drop("fp1", "fp2")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                           public_tokenizers.PATTERN)
@@ -44,7 +48,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op3_byte_bpe, op4_exact_dedup, op5_sharding, op6_quality, op7_html_main, op9_packing)}
+    f.__name__: f for f in (op1_secret_scan, op2_near_dedup, op3_byte_bpe, op4_exact_dedup, op5_sharding, op6_quality, op7_html_main, op9_packing)}
 
 ORACLE_SQL = {
     "op4_exact_dedup": r"""
