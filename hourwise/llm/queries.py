@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_main, near_dedup, packing, quality, repeats, secrets, sharding
+from . import bpe, exact_dedup, fingerprint, html_main, near_dedup, packing, quality, repeats, secrets, sharding
 from .common import documents
 
 SHARDS = 24
@@ -43,6 +43,10 @@ def op7_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
     return packing.pack(documents(spark, sf_dir), lambda: packing.WordEncoder(path, pattern))
@@ -55,7 +59,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_near_dedup, op3_byte_bpe, op4_exact_dedup, op5_sharding, op6_quality, op7_html_main, op9_packing, op10_repeats)}
+    f.__name__: f for f in (op1_secret_scan, op2_near_dedup, op3_byte_bpe, op4_exact_dedup, op5_sharding, op6_quality, op7_html_main, op8_fingerprint, op9_packing, op10_repeats)}
 
 ORACLE_SQL = {
     "op4_exact_dedup": r"""
