@@ -2,31 +2,51 @@
 
 Each stage takes (spark, docs, sf_dir); its result is written as Parquet and
 read again as the next one's docs. All but the last return the columns of
-``documents``.
+``documents``; every stage works on all rows that its predecessor kept.
 """
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hourwise.llm import exact_dedup, secrets
+from hourwise.llm import exact_dedup, near_dedup, packing, quality, secrets
 from hourwise.llm.common import documents, materialize
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go. It is fitted on the labelled documents outside the held-out fold."""
+    machine = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.keep_quality(docs, machine)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact_dedup.drop_exact_duplicates(docs)
 
 
-def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Found secrets are masked; every document stays."""
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Found secrets are masked in the text; every document stays. ``n_chars`` is left as it was read."""
     return secrets.mask(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the packed sequences."""
+    path, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    return packing.pack(docs, lambda: packing.WordEncoder(path, pattern))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("exact_dedup", exact), ("secret_scan", secret_spans)]
+    ("quality", keep_quality), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies),
+    ("secret_scan", mask_secrets), ("packing", pack)]
 
+#: A fitted classifier, signatures and a tokenizer have no SQL; the tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
