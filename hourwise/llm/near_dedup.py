@@ -93,7 +93,7 @@ def signatures(owner: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int) ->
     state = h
     while len(state):
         j += 1
-        draw = mix(state + _STEP * np.uint64(2 * j))
+        draw = mix(state + np.uint64(int(_STEP) * 2 * j & 0xFFFFFFFFFFFFFFFF))
         gap = -np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53)
         time = time + gap / weight
         slot = owner * REGISTERS + (mix(draw + _STEP) % np.uint64(REGISTERS)).astype(np.int64)

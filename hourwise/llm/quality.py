@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -206,7 +207,6 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
 def keep_quality(docs: DataFrame, machine: Machine, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """``docs`` without the rows that score below the threshold; all columns stay."""
-    import pandas as pd
     sent = docs.sparkSession.sparkContext.broadcast(machine.parts())
 
     @F.pandas_udf("boolean")

@@ -17,8 +17,10 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Fixed formats of the contract.
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -150,8 +152,6 @@ def mask(docs: DataFrame, text_col: str = "text", allow: tuple[str, ...] = ALLOW
          thresholds: dict[str, float] | None = None) -> DataFrame:
     """``docs`` with each found span of the text replaced by ``[SECRET]``; overlapping spans merge; a null text stays null. All
     columns stay."""
-    import pandas as pd
-    from pyspark.sql import functions as F
 
     @F.pandas_udf("string")
     def hide(texts: pd.Series) -> pd.Series:
