@@ -34,7 +34,7 @@ MOST_BUCKETS = 1 << 14
 
 def digests(text: Column) -> Column:
     """Distinct 64-bit digests of the paragraphs."""
-    parts = F.filter(F.transform(F.split(text, BREAK), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(text, BREAK), lambda p: F.trim(p)), lambda p: p != "")
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
