@@ -43,14 +43,14 @@ ALLOW = (
     r"[A-Za-z0-9+/_=-]*EXAMPLE[A-Za-z0-9+/_=-]*",
 )
 
-_XLOGX = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
+_XLOGX = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]  # one more: a character comes in before one leaves
 _HEX = frozenset("0123456789abcdefABCDEF")
 
 
 def entropy_spans(s: str, window: int = WINDOW, thresholds: dict[str, float] = THRESHOLDS) -> list[tuple[int, int]]:
     """Merged spans of the windows of ``s`` that are random for their class. A window is of class hex
     if it has hex digits only; it must hold a digit and a letter in any class."""
-    xlogx = _XLOGX if window == WINDOW else [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
+    xlogx = _XLOGX if window == WINDOW else [0.0] + [c * math.log2(c) for c in range(1, window + 2)]
     counts: dict[str, int] = {}
     total = 0.0
     digits = letters = hexes = 0
