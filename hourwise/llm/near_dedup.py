@@ -25,10 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, sized
+from .common import materialize, sized, text_or_empty
 from .components import components
 
 SHINGLE = 5
@@ -158,9 +158,13 @@ def _slices(batches: Iterator[pa.RecordBatch], texts: int) -> Iterator[pa.Record
             yield batch.slice(at)
 
 
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(text_or_empty(text_col))
+
+
 def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text, fp1, fp2, n, bands): fingerprint of the words, number of distinct shingles, bucket keys."""
-    source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    """(doc_id, text, th, fp1, fp2, n, bands): hash of the text, fingerprint of the words, number of distinct shingles, bucket keys."""
+    source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), text_hash(text_col).alias("th"))
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,9 +178,9 @@ def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             keys = band_keys(signatures(owner, h, weight, len(words)))
             bands = [k if c else k[:0] for k, c in zip(keys, n)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(n.astype(np.int64)),
-                 pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "text", "fp1", "fp2", "n", "bands"])
-    return source.mapInArrow(run, f"doc_id {kind}, text string, fp1 long, fp2 long, n long, bands array<long>")
+                [batch.column(0), batch.column(1), batch.column(2), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(n.astype(np.int64)),
+                 pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "text", "th", "fp1", "fp2", "n", "bands"])
+    return source.mapInArrow(run, f"doc_id {kind}, text string, th long, fp1 long, fp2 long, n long, bands array<long>")
 
 
 def verify(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -207,7 +211,7 @@ def verify(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, fp1, fp2 (its words' fingerprint), n, class (smallest doc_id of its class), class_size."""
+    """One row per document: doc_id, class_id (smallest doc_id of its class), class_size, n_shingles; th (hash of its text), comp (the class's own number)."""
     signed = materialize(sign(docs, id_col, text_col).withColumn("rid", F.monotonically_increasing_id()), "near-signed")
     copies = materialize(signed.groupBy("fp1", "fp2").agg(F.min("rid").alias("rid")), "near-copies")
     nodes = signed.join(copies.select("rid"), "rid", "left_semi") if copies.count() > 1_000_000 else \
@@ -234,22 +238,25 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = materialize(links.union(verify(rest, signed, threshold)), "near-all-links")
     labels = components(links)
 
-    keyed = (signed.select("doc_id", "fp1", "fp2", "n")
+    keyed = (signed.select("doc_id", "th", "fp1", "fp2", "n")
              .join(copies, ["fp1", "fp2"])
              .join(labels, F.col("rid") == F.col("node"), "left")
-             .select("doc_id", "fp1", "fp2", "n", F.coalesce("label", "rid").alias("comp")))
+             .select("doc_id", "th", "n", F.coalesce("label", "rid").alias("comp")))
     keyed = materialize(keyed, "near-classes")
     classes = keyed.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return keyed.join(classes, "comp").select("doc_id", "class_id", "class_size", F.col("n").alias("n_shingles"), "fp1", "fp2")
+    return keyed.join(classes, "comp").select("doc_id", "class_id", "class_size", F.col("n").alias("n_shingles"), "th", "comp")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each class, the one with the smallest id (of rows that share that id, one); all columns stay."""
     found = near_classes(docs, id_col, text_col, threshold)
-    grouped = materialize(found.where("class_size > 1").select(
-        F.col("doc_id").alias("__id"), F.col("class_id").alias("__class"),
-        F.col("doc_id").eqNullSafe(F.col("class_id")).alias("__keep")).distinct(), "near-grouped")
-    match = docs[id_col].eqNullSafe(F.col("__id"))
+    first = found.where("class_size > 1").groupBy("comp").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("first"))
+    grouped = found.where("class_size > 1").select("doc_id", "th", "comp").distinct().join(first, "comp")
+    grouped = materialize(grouped.select(
+        F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("comp").alias("__class"),
+        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))).alias("__keep")), "near-grouped")
+    match = docs[id_col].eqNullSafe(F.col("__id")) & (text_hash(text_col) == F.col("__th"))
     alone = docs.join(sized(grouped), match, "left_anti")
     keepers = (docs.join(sized(grouped.where("__keep")), match, "inner").dropDuplicates(["__class"])
                .select(*[docs[c] for c in docs.columns]))

@@ -18,7 +18,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_classes(documents(spark, sf_dir)).drop("fp1", "fp2")
+    return near_dedup.near_classes(documents(spark, sf_dir)).drop("th", "comp")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
