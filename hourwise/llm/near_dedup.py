@@ -9,8 +9,10 @@
    compared with the bucket's first one (a star, not all pairs).
 3. Each candidate is verified on the full shingles: probability Jaccard, or plain Jaccard of the sets, of at
    least ``THRESHOLD`` links.
-4. Members of one bucket that are still in different components, of lengths that allow the similarity, are
-   verified against one another, so no link that any bucket shows is lost.
+4. Members of one bucket that are still in different components are compared by sketches of their signatures; those that
+   come within six standard errors of the threshold are grouped, and inside the groups, in blocks, likest
+   first, pairs of different components are verified. No link that a bucket shows is lost, and rows grow
+   with the members, not with their pairs.
 5. Classes are the connected components of the links.
 
 With 42 bands of 6, a pair at 0.8 shares no bucket with probability 3e-6.
@@ -35,6 +37,8 @@ SHINGLE = 5
 BANDS, ROWS = 42, 6
 REGISTERS = BANDS * ROWS
 THRESHOLD = 0.8
+#: Rows of a bucket or group that one task compares with one another, about; larger ones are cut into pairs of blocks.
+BLOCK = 512
 #: Code points of text that are hashed at a time.
 SLICE = 1_500_000
 
@@ -163,7 +167,8 @@ def text_hash(text_col: str) -> Column:
 
 
 def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text, th, fp1, fp2, n, bands): hash of the text, fingerprint of the words, number of distinct shingles, bucket keys."""
+    """(doc_id, text, th, fp1, fp2, n, bands, sketch): hash of the text, fingerprint of the words, number of distinct shingles, bucket
+    keys, one byte of each register."""
     source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), text_hash(text_col).alias("th"))
     kind = source.schema["doc_id"].dataType.simpleString()
 
@@ -175,12 +180,14 @@ def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             both = np.frombuffer(b"".join(prints), np.int64).reshape(-1, 2)
             owner, h, weight = weighted(*shingles(words, hashes), len(words))
             n = np.bincount(owner, minlength=len(words))
-            keys = band_keys(signatures(owner, h, weight, len(words)))
+            sig = signatures(owner, h, weight, len(words))
+            keys, sketch = band_keys(sig), (mix(sig) & np.uint64(255)).astype(np.uint8)
             bands = [k if c else k[:0] for k, c in zip(keys, n)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(n.astype(np.int64)),
-                 pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "text", "th", "fp1", "fp2", "n", "bands"])
-    return source.mapInArrow(run, f"doc_id {kind}, text string, th long, fp1 long, fp2 long, n long, bands array<long>")
+                 pa.array(bands, pa.list_(pa.int64())), pa.array([x.tobytes() for x in sketch], pa.binary())],
+                ["doc_id", "text", "th", "fp1", "fp2", "n", "bands", "sketch"])
+    return source.mapInArrow(run, f"doc_id {kind}, text string, th long, fp1 long, fp2 long, n long, bands array<long>, sketch binary")
 
 
 def verify(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -210,6 +217,96 @@ def verify(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return materialize(joined.mapInArrow(run, "a long, b long"), "near-links")
 
 
+def _in_blocks(rows: DataFrame, group: str) -> DataFrame:
+    """A group of more than BLOCK rows as pairs of blocks (i <= j): each row goes to the pairs that its block is in."""
+    mine = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
+    return (rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
+            .drop("other", "blocks").repartition(group, "i", "j").sortWithinPartitions(group, "i", "j", "rid"))
+
+
+def _groups(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[tuple[list[dict], bool]]:
+    """Rows of each (group, i, j) of the sorted stream, and whether it is a block with itself."""
+    now, rows = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            key = (row[group], row["i"], row["j"])
+            if key != now:
+                if len(rows) > 1:
+                    yield rows, now[1] == now[2]
+                now, rows = key, []
+            rows.append(row)
+    if len(rows) > 1:
+        yield rows, now[1] == now[2]
+
+
+def _candidates(rows: list[dict], same: bool, threshold: float) -> list[tuple[float, int, int]]:
+    """(estimate, row, row) of the pairs in different components whose sketches and sizes allow the similarity, likest first.
+    Six standard errors below the threshold are let through."""
+    least = threshold - 6 * (threshold * (1 - threshold) / REGISTERS) ** 0.5
+    sketch = np.frombuffer(b"".join(r["sketch"] for r in rows), np.uint8).reshape(len(rows), -1)
+    comp, n, mine = (np.array([r[c] for r in rows]) for c in ("comp", "n", "mine"))
+    found = []
+    for a in range(len(rows) - 1):
+        b = np.arange(a + 1, len(rows))
+        b = b[(comp[b] != comp[a]) & (np.minimum(n[b], n[a]) >= np.maximum(n[b], n[a]) * (threshold * 0.75))]
+        if not same:
+            b = b[mine[b] != mine[a]]
+        if len(b):
+            alike = (sketch[b] == sketch[a]).mean(axis=1)
+            found += [(float(e), a, int(k)) for e, k in zip(alike, b) if e >= least]
+    return sorted(found, key=lambda x: -x[0])
+
+
+class _Union(dict):
+    """Union-find over component labels."""
+
+    def root(self, x: int) -> int:
+        while self.setdefault(x, x) != x:
+            self[x] = x = self[self[x]]
+        return x
+
+
+def _near_in_buckets(rows: DataFrame, threshold: float) -> DataFrame:
+    """Edges (a, b) that join, bucket by bucket, the rows whose sketches are near, as a forest: at most a row less than the bucket has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, same in _groups(batches, "key"):
+            union, edges = _Union(), []
+            for _, a, b in _candidates(group, same, threshold):
+                a, b = group[a]["rid"], group[b]["rid"]
+                x, y = union.root(a), union.root(b)
+                if x != y:
+                    union[x] = y
+                    edges.append((a, b))
+            if edges:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*edges)], ["a", "b"])
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _links_in_groups(rows: DataFrame, threshold: float) -> DataFrame:
+    """Verified links that join different components of a group, likest pairs first: a pair whose components are joined
+    already needs no check."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for group, same in _groups(batches, "grp"):
+            union, edges, held = _Union(), [], {}
+
+            def own(k: int) -> tuple[np.ndarray, np.ndarray]:
+                if k not in held:
+                    _, h, w = weighted(*shingles([words_of(group[k]["text"])], hashes), 1)
+                    order = np.argsort(h)
+                    held[k] = h[order], w[order]
+                return held[k]
+            for _, a, b in _candidates(group, same, threshold):
+                x, y = union.root(group[a]["comp"]), union.root(group[b]["comp"])
+                if x != y and max(similarity(own(a), own(b))) >= threshold:
+                    union[x] = y
+                    edges.append((group[a]["rid"], group[b]["rid"]))
+            if edges:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*edges)], ["a", "b"])
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of its class), class_size, n_shingles; th (hash of its text), comp (the class's own number)."""
     signed = materialize(sign(docs, id_col, text_col).withColumn("rid", F.monotonically_increasing_id()), "near-signed")
@@ -225,17 +322,19 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # what the stars leave apart: members of one bucket in different components
     placed = (shared.join(first, F.col("rid") == F.col("node"), "left")
-              .select("key", "rid", "n", "head", F.coalesce("label", "rid").alias("comp")))
-    mixed = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo != hi").select("key"))
-    open_ = materialize(placed.join(mixed, "key"), "near-open").where("n > 0")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rid") < F.col("y.rid"))
-                   & (F.col("x.comp") != F.col("y.comp"))
-                   & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * (threshold * 0.75)))
-            .where("x.rid != x.head")
-            .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct())
-    links = materialize(links.union(verify(rest, signed, threshold)), "near-all-links")
+              .select("key", "rid", F.coalesce("label", "rid").alias("comp")))
+    mixed = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"))
+             .where("lo != hi").select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
+    open_ = (placed.join(mixed, "key")
+             .join(nodes.select(F.col("rid").alias("__r"), "n", "sketch"), F.col("rid") == F.col("__r")).drop("__r"))
+    near = materialize(_near_in_buckets(_in_blocks(open_, "key"), threshold), "near-estimated")
+    groups = components(near).select(F.col("node").alias("rid"), F.col("label").alias("grp"))
+    sizes = groups.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = (groups.join(sizes, "grp").join(first, F.col("rid") == F.col("node"), "left")
+            .select("grp", "blocks", F.col("rid").alias("__r"), F.coalesce("label", "rid").alias("comp"))
+            .join(signed.select("rid", "n", "sketch", "text"), F.col("rid") == F.col("__r")).drop("__r"))
+    rest = materialize(_links_in_groups(_in_blocks(rows, "grp"), threshold), "near-rest")
+    links = materialize(links.union(rest), "near-all-links")
     labels = components(links)
 
     keyed = (signed.select("doc_id", "th", "fp1", "fp2", "n")

@@ -402,3 +402,21 @@ def test_maximal_repeats_have_all_occurrences():
     lefts, rights = [t[:k][::-1] for t, k in zip(texts, at)], [t[k:] for t, k in zip(texts, at)]
     found = {(before, after, tuple(sorted(m))) for before, after, m in repeats.maximal_repeats(lefts, rights, 5)}
     assert found == {(3, 8, (0, 1)), (3, 6, (0, 1, 2, 3))}
+
+
+def test_near_family_without_a_center(spark, monkeypatch):
+    """Copies of copies: few pairs reach the threshold, all share buckets; no link may be lost, in blocks either."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    rng = random.Random(8)
+    family = [[f"w{k}" for k in range(150)]]
+    for _ in range(110):
+        words = list(rng.choice(family))
+        for _ in range(rng.randint(1, 5)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10 ** 6)}"
+        family.append(words)
+    items = [(k, " ".join(w)) for k, w in enumerate(family)]
+    want = brute_classes(items)
+    assert 3 < len(set(want)) < 100
+    df = spark.createDataFrame(items, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(df).collect()}
+    assert [got[k] for k in range(len(items))] == want
