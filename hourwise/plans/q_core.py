@@ -72,10 +72,9 @@ def q_read_table(spark, sf):
     df = tables.hourly(spark, sf, EV)
     path = io.shared_path(spark, "hourly-csv")
     io.write_table(df.withColumn("date_time", F.date_format("date_time", "yyyy-MM-dd HH:mm:ss")), path, fmt="csv")
-    ddl = ", ".join(f"{f.name} {'string' if f.name == 'date_time' else f.dataType.simpleString()}"
-                    for f in df.schema.fields)
-    back = spark.read.schema(ddl).option("header", True).csv(path)
-    back = CL.parse_datetime(back, "date_time", "yyyy-MM-dd HH:mm:ss")
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "date_time" else f.dataType)
+                           for f in df.schema.fields])
+    back = io.read_table(spark, path, fmt="csv", schema=schema)
     return rounded(back.select(*HOURLY_COLS.split(", ")))
 
 
@@ -87,7 +86,8 @@ RAW_CSV_SCHEMA = T.StructType([T.StructField("row_id", T.LongType()), T.StructFi
 def q_read_raw_csv(spark, sf):
     raw = tables.raw(spark, sf, EV).withColumn("date_time", F.date_format("date_time", "yyyy-MM-dd HH:mm:ss"))
     path = io.shared_path(spark, "raw-csv")
-    io.write_table(raw.select(*[f.name for f in RAW_CSV_SCHEMA.fields]), path, fmt="csv")
+    # written in another column order: the reader binds by the header
+    io.write_table(raw.select(*sorted(f.name for f in RAW_CSV_SCHEMA.fields)), path, fmt="csv")
     back = io.read_raw_csv(spark, path, RAW_CSV_SCHEMA)
     back = CL.parse_datetime(back.drop(io.CORRUPT_COL), "date_time", "yyyy-MM-dd HH:mm:ss")
     return rounded(back.select(*HOURLY_COLS.split(", ")))

@@ -128,7 +128,9 @@ def q_stream_drift(spark, sf):
     """Per micro-batch: PSI of weather and hour vs the reference table,
     appended as report rows to a Parquet table (foreachBatch)."""
     from ..sources.io import shared_path
-    ref = tables.labelled(spark, sf, EV).select("weather_main", "hour").withColumn("window", F.lit("reference"))
+    from ..sources.io import materialize
+    ref = materialize(tables.labelled(spark, sf, EV).select("weather_main", "hour")
+                      .withColumn("window", F.lit("reference")), "stream-drift-reference")
     report_path = shared_path(spark, "stream-drift-report")
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
@@ -137,7 +139,8 @@ def q_stream_drift(spark, sf):
         both = ref.unionByName(cur)
         rows = D.drift_report([D.psi_rows(D.psi_categorical(both, "weather_main"), "psi_weather_main"),
                                D.psi_rows(D.psi_spine(both, "hour", 25), "psi_hour_of_day")])
-        rows.write.mode("append").parquet(report_path)
+        # one folder a batch: a batch that is run again replaces its rows
+        rows.write.mode("overwrite").parquet(f"{report_path}/epoch={epoch}")
 
     ST.run_available(_readings_stream(spark, sf), "drift", foreach_batch=per_batch)
-    return rounded(spark.read.parquet(report_path))
+    return rounded(spark.read.parquet(report_path).drop("epoch"))

@@ -39,8 +39,8 @@ _LOCAL_DIR: dict[str, str] = {}
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for materialized tables, stream checkpoints and saved
-    models: the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (tests, local runs) a fresh scratch folder is set for this session."""
+    models: the cluster's ``spark.checkpoint.dir``. On a ``local`` master with
+    that setting unset (tests) a fresh scratch folder is set for this session; a cluster without it raises."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -49,7 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
     if not configured:
-        key = sc.applicationId if sc is not None else str(id(spark))
+        if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        key = sc.applicationId
         configured = _LOCAL_DIR.setdefault(key, tempfile.mkdtemp(prefix="hourwise-ckpt-"))
     if sc is not None:
         sc.setCheckpointDir(configured)

@@ -20,12 +20,19 @@ from ..sources.schema import reading_contract
 EVENT_TIME = "_et"
 
 
-def file_stream(spark: SparkSession, folder: str, table: str, files_per_trigger: int = 1) -> DataFrame:
-    """Stream the Parquet files of one table in ``folder`` (new files are picked
-    up as they land), with the schema taken from the batch read."""
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet").schema
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .option("pathGlobFilter", f"{table}.parquet").parquet(folder))
+class LateRowsError(RuntimeError):
+    pass
+
+
+def file_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """Stream the Parquet files of one table (a folder of part files, or one
+    file), with the schema taken from the batch read; new part files are picked
+    up as they land. A trigger takes every file that is there, so files out of time order do not
+    push the watermark past rows still unread."""
+    path = f"{folder.rstrip('/')}/{table}.parquet"
+    schema = spark.read.parquet(path).schema
+    # as a pattern, the path may be a folder of part files as well as one file
+    return spark.readStream.schema(schema).parquet(path[:-1] + "[t]")
 
 
 def with_event_time(df: DataFrame, ts: str = "date_time", delay: str = "2 hours") -> DataFrame:
@@ -74,10 +81,16 @@ def validate(readings: DataFrame) -> DataFrame:
     return reading_contract(readings)
 
 
+def late_rows(query) -> int:
+    """Rows that a finished query's operators dropped because the watermark had passed them."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
 def run_available(df: DataFrame, name: str, mode: str = "append",
-                  foreach_batch: Callable[[DataFrame, int], None] | None = None) -> str:
+                  foreach_batch: Callable[[DataFrame, int], None] | None = None, allow_late: bool = False) -> str:
     """Run a stream over everything available now (then stop) into a Parquet
-    folder under the shared checkpoint directory; returns the folder."""
+    folder under the shared checkpoint directory; returns the folder. Rows
+    dropped behind the watermark raise, unless ``allow_late``."""
     spark = df.sparkSession
     base = shared_path(spark, f"stream-{name}")
     w = df.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/_checkpoint")
@@ -86,4 +99,7 @@ def run_available(df: DataFrame, name: str, mode: str = "append",
     else:
         q = w.format("parquet").option("path", f"{base}/data").trigger(availableNow=True).start()
     q.awaitTermination()
+    dropped = late_rows(q)
+    if dropped and not allow_late:
+        raise LateRowsError(f"stream {name}: {dropped} rows came behind the watermark")
     return f"{base}/data"
