@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from .prefix import exact_quantiles
 
 TS = "date_time"
 VOL = "traffic_volume"
@@ -98,16 +99,17 @@ def union_all_sorted(*parts: DataFrame) -> DataFrame:
 
 def descriptive_stats(df: DataFrame, x: str = VOL) -> DataFrame:
     v = F.col(x)
-    return df.agg(F.count(F.lit(1)).alias("n"), F.avg(v).alias("mean"), F.median(v).alias("median"),
-                  F.min(v).alias("min_volume"), F.max(v).alias("max_volume"),
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.avg(v).alias("mean"), F.min(v).alias("min_volume"), F.max(v).alias("max_volume"),
                   (F.max(v) - F.min(v)).alias("range_volume"),
                   F.stddev_pop(v).alias("population_stddev"), F.var_pop(v).alias("population_variance"),
                   F.stddev_samp(v).alias("sample_stddev"), F.var_samp(v).alias("sample_variance"))
+    median = exact_quantiles(df, x, (0.5,), ["median"])                                        # one row
+    return stats.crossJoin(F.broadcast(median)).select("n", "mean", "median", *stats.columns[2:])
 
 
-def exact_median(df: DataFrame, x: str = VOL, accuracy: int | None = None) -> DataFrame:
-    m = F.percentile_approx(x, 0.5, accuracy) if accuracy else F.median(x)
-    return df.agg(F.count(F.lit(1)).alias("n"), m.cast("double").alias("median"))
+def exact_median(df: DataFrame, x: str = VOL) -> DataFrame:
+    median = exact_quantiles(df, x, (0.5,), ["median"])                                        # one row
+    return df.agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(median))
 
 
 def pearson(df: DataFrame, x: str = "temp", y: str = VOL) -> DataFrame:
@@ -180,13 +182,13 @@ def lookup_nearest(df: DataFrame, at, ts: str = TS, tie_cols: Sequence[str] = ("
 
 def asof_join(probes: DataFrame, readings: DataFrame, probe_ts: str = "probe_time", read_ts: str = TS,
               by: Sequence[str] = ("sensor",), probe_id: str = "probe_id",
-              bucket_seconds: int = 86400, max_probes_per_task: int = 1_000_000) -> DataFrame:
+              bucket_seconds: int = 86400) -> DataFrame:
     """Nearest reading (either direction, earlier on ties) for every probe.
 
     Windows run per (by, time bucket, salt): no sensor — however hot — becomes
-    one task, and a bucket holding more than ``max_probes_per_task`` probes is
-    split into ⌈count / max⌉ salts, each seeing all of that bucket's readings
-    (probes never interact, so the split is exact). A probe whose bucket has no
+    one task, and a bucket with several times the mean number of probes is
+    split into that many salts, each seeing all of that bucket's readings
+    (probes never interact, so the split is exact). A probe without a time has no match. A probe whose bucket has no
     reading on one side takes the neighbour from the bucket-level summary (one
     row per non-empty bucket) via a range-framed window over buckets. Returns
     the probe columns plus ``match_time`` and ``gap_seconds``; join to
@@ -197,9 +199,12 @@ def asof_join(probes: DataFrame, readings: DataFrame, probe_ts: str = "probe_tim
     bucket = lambda c: F.floor(micros(c) / (bucket_seconds * 1_000_000))
     p = probes.select(*by, F.col(probe_id).cast("long").alias("_pid"), F.col(probe_ts).alias("_t")) \
               .withColumn("_b", bucket("_t"))
+    untimed = p.filter(F.col("_t").isNull())
+    p = p.filter(F.col("_t").isNotNull())
     # salts per (by, bucket) from the probe counts: one row per bucket that has probes
-    salts = p.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_np")) \
-             .withColumn("_ns", F.greatest(F.lit(1), F.ceil(F.col("_np") / F.lit(max_probes_per_task))).cast("int"))
+    salts = p.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_np"))
+    salts = salts.crossJoin(F.broadcast(salts.agg(F.avg("_np").alias("_mean")))) \
+                 .withColumn("_ns", F.greatest(F.lit(1), F.ceil(F.col("_np") / (4 * F.col("_mean")))).cast("int"))
     p = p.join(salts.select(*by, "_b", "_ns"), [*by, "_b"]) \
          .withColumn("_salt", F.pmod(F.xxhash64("_pid"), F.col("_ns")).cast("int")).drop("_ns") \
          .withColumn("_rt", F.lit(None).cast("timestamp_ntz")).withColumn("_k", F.lit(1))
@@ -231,7 +236,10 @@ def asof_join(probes: DataFrame, readings: DataFrame, probe_ts: str = "probe_tim
                .when(dprev <= dnext, F.col("_prev")).otherwise(F.col("_next")))
     out = cand.withColumn("match_time", chosen) \
               .withColumn("gap_seconds", F.abs(micros("_t") - micros("match_time")) / 1e6)
-    return out.select(F.col("_pid").alias(probe_id), *by, F.col("_t").alias(probe_ts), "match_time", "gap_seconds")
+    out = out.select(F.col("_pid").alias(probe_id), *by, F.col("_t").alias(probe_ts), "match_time", "gap_seconds")
+    return out.unionByName(untimed.select(
+        F.col("_pid").alias(probe_id), *by, F.col("_t").alias(probe_ts),
+        F.lit(None).cast("timestamp_ntz").alias("match_time"), F.lit(None).cast("double").alias("gap_seconds")))
 
 
 def day_type_filter(df: DataFrame, day_type: str = "all", flag: str = "is_weekend") -> DataFrame:
@@ -262,12 +270,14 @@ def quietest_hours(df: DataFrame, top_n: int = 5, day_type: str = "all") -> Data
 
 
 def compare_day_types(df: DataFrame, x: str = VOL, flag: str = "is_weekend") -> DataFrame:
-    """Mean, median, sample std and n for weekday vs weekend in one pass, long form."""
+    """Mean, median, sample std and n for weekday vs weekend, long form."""
     wd = F.when(F.col(flag) == 0, F.col(x))
     we = F.when(F.col(flag) == 1, F.col(x))
-    wide = df.agg(F.avg(wd).alias("m0"), F.avg(we).alias("m1"), F.median(wd).alias("d0"),
-                  F.median(we).alias("d1"), F.stddev_samp(wd).alias("s0"), F.stddev_samp(we).alias("s1"),
+    medians = exact_quantiles(df, x, (0.5,), ["_d"], [flag]).agg(
+        F.max(F.when(F.col(flag) == 0, F.col("_d"))).alias("d0"), F.max(F.when(F.col(flag) == 1, F.col("_d"))).alias("d1"))
+    wide = df.agg(F.avg(wd).alias("m0"), F.avg(we).alias("m1"), F.stddev_samp(wd).alias("s0"), F.stddev_samp(we).alias("s1"),
                   F.count(wd).cast("double").alias("n0"), F.count(we).cast("double").alias("n1"))
+    wide = wide.crossJoin(F.broadcast(medians))                                                # one row each
     return wide.selectExpr(
         "stack(4, 'Mean', m0, m1, 'Median', d0, d1, 'Std dev', s0, s1, 'Hours (n)', n0, n1) "
         "AS (statistic, weekday, weekend)").withColumn("difference", F.col("weekday") - F.col("weekend"))
@@ -280,9 +290,10 @@ def day_readings(df: DataFrame, day: dt.date | str, ts: str = TS) -> DataFrame:
 
 def condition_summary(df: DataFrame, condition: str, weather: str = "weather_main") -> DataFrame:
     cond = condition.strip().lower()
-    return (df.filter(F.col(weather) == cond)
-              .agg(F.lit(cond).alias("condition"), F.count(F.lit(1)).alias("n"),
-                   F.avg(VOL).alias("mean"), F.median(VOL).alias("median")))
+    own = df.filter(F.col(weather) == cond)
+    median = exact_quantiles(own, VOL, (0.5,), ["median"])                                     # one row
+    return own.agg(F.lit(cond).alias("condition"), F.count(F.lit(1)).alias("n"),
+                   F.avg(VOL).alias("mean")).crossJoin(F.broadcast(median))
 
 
 def unknown_condition_message(df: DataFrame, condition: str, weather: str = "weather_main") -> str | None:
@@ -339,8 +350,7 @@ def peak_hour(pivot: DataFrame) -> DataFrame:
 def boxplot_stats(df: DataFrame, x: str = VOL, flag: str = "is_weekend") -> DataFrame:
     """Quartiles (linear interpolation), 1.5·IQR whiskers at the furthest data
     point inside the fences, and flier counts, per day type: two aggregates."""
-    q = (df.groupBy(flag).agg(F.percentile(F.col(x), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
-           .select(flag, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3")))
+    q = exact_quantiles(df, x, (0.25, 0.5, 0.75), ["q1", "median", "q3"], [flag])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("_lo", F.col("q1") - 1.5 * F.col("iqr")).withColumn("_hi", F.col("q3") + 1.5 * F.col("iqr"))
     v = F.col(x)
@@ -397,7 +407,7 @@ def histogram(df: DataFrame, x: str = VOL, bins: int = 40) -> DataFrame:
 
 def skewness_adjusted(df: DataFrame, x: str = VOL) -> DataFrame:
     return df.agg(C.adjusted_skewness(F.col(x).cast("double")).alias("skewness"),
-                  F.avg(x).alias("mean"), F.median(x).alias("median"))
+                  F.avg(x).alias("mean")).crossJoin(F.broadcast(exact_quantiles(df, x, (0.5,), ["median"])))
 
 
 def monthly_share(df: DataFrame, category: str = "congestion_category", level: str = "Very High",

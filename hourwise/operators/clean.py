@@ -1,12 +1,14 @@
-"""Cleaning and data-quality operators (DataFrame -> DataFrame, no actions)."""
+"""Cleaning and data-quality operators (DataFrame -> DataFrame; the medians write their value counts)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import canonical_text, rain_fault, temp_fault
+from ..sources.io import materialize
+from .prefix import quantiles_of_counts
 
 CATEGORICAL_COLUMNS = ("weather_main", "weather_description", "holiday")
 DEFAULT_KEYS = ("sensor", "date_time")
@@ -52,18 +54,19 @@ def parse_datetime_or_drop(df: DataFrame, col: str = "date_time", fmt: str | Non
 
 def dedupe_min_rowid(df: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
                      order_col: str = "row_id") -> DataFrame:
-    """One row per key: the row with the smallest ``order_col``.
+    """One row per key: the row with the smallest ``order_col`` (unique per row).
 
-    ``min_by`` over a struct is a hash aggregate with map-side partial
-    aggregation: no sort, and a hot key is reduced per partition before the
-    shuffle, so a key holding a third of the rows never lands whole in one task.
+    The smallest order value of each key is a hash aggregate of plain columns
+    (partial in every task, so a hot key costs one row a task); a hash semi-join
+    on (key, order value) then picks the rows. Raw rows are never sorted.
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    picked = (df.groupBy(*keys)
-              .agg(F.min_by(F.struct(*rest), F.col(order_col)).alias("_r")))
-    return picked.select(*[F.col(c) for c in keys], *[F.col(f"_r.{c}").alias(c) for c in rest]) \
-                 .select(*df.columns)
+    least = (df.groupBy(*keys).agg(F.min(order_col).alias("_least"))
+             .select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_least"))
+    same = F.col(order_col) == F.col("_least")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return df.join(least.hint("shuffle_hash"), same, "left_semi")
 
 
 def dedupe_keep_first(df: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
@@ -82,44 +85,42 @@ def impute_by_group_median(df: DataFrame, column: str, fault: Column,
                            group: Column | None = None, group_name: str = "_grp") -> DataFrame:
     """Replace faulty values by the median of the non-faulty rows of the same
     group (default: calendar month of ``date_time`` over all years); a group
-    without a clean row falls back to the overall clean median.
-
-    The medians are two small aggregates (≤ 12 rows for months, one row for the
-    overall value) broadcast back; the readings themselves are not shuffled.
-    Exact ``median`` buffers distinct values per group, which is bounded for
-    sensor readings; NULL values are neither faults nor part of a median.
+    without a clean row falls back to the overall clean median. NULL values are neither faults nor part of a median.
     """
     group = F.month("date_time") if group is None else group
-    clean_val = F.when(~fault, F.col(column))
-    medians = (df.groupBy(group.alias(group_name))
-               .agg(F.median(clean_val).alias("_month_med")))
-    overall = df.agg(F.median(clean_val).alias("_all_med"))
-    joined = (df.withColumn(group_name, group).withColumn("_fault", fault)
-              .join(F.broadcast(medians), group_name, "left")
-              .crossJoin(F.broadcast(overall)))
-    fixed = F.when(F.col("_fault"), F.coalesce("_month_med", "_all_med")).otherwise(F.col(column))
-    return joined.withColumn(column, fixed).select(*df.columns)
+    return _impute(df, {column: fault}, group, group_name)
 
 
 def impute_outliers(df: DataFrame, temp: str = "temp", rain: str = "rain_1h") -> DataFrame:
     """Temperature and rain faults replaced by month medians (overall clean
-    median when a month has none), all medians from ONE rollup aggregate —
-    12 month rows plus the grand total, broadcast back — so the input is
-    scanned twice (rows + aggregate) however many columns are repaired. Rain
+    median when a month has none), all medians from one table of value counts, so
+    the input is scanned twice (rows + counts) however many columns are repaired. Rain
     medians do not depend on the temperature repair, so doing both at once
     equals the reference's temperature-then-rain order."""
     return impute_by_month_medians(df, {temp: temp_fault(temp), rain: rain_fault(rain)})
 
 
 def impute_by_month_medians(df: DataFrame, rules: dict[str, Column], ts: str = "date_time") -> DataFrame:
-    aggs = [F.median(F.when(~fault, F.col(c))).alias(f"_med_{c}") for c, fault in rules.items()]
-    med = df.withColumn("_month", F.month(ts)).rollup("_month").agg(*aggs, F.grouping("_month").alias("_g"))
-    # the grand-total row is copied onto the month rows by a window over this
-    # ≤ 13-row table, so one small table is broadcast and joined once
-    whole = Window.partitionBy()
-    table = med.withColumns({f"_all_{c}": F.max(F.when(F.col("_g") == 1, F.col(f"_med_{c}"))).over(whole)
-                             for c in rules}).filter(F.col("_g") == 0).drop("_g")
-    joined = df.withColumn("_month", F.month(ts)).join(F.broadcast(table), "_month", "left")
+    return _impute(df, rules, F.month(ts), "_month")
+
+
+def _impute(df: DataFrame, rules: dict[str, Column], group: Column, group_name: str) -> DataFrame:
+    """Each column's faults by its group's median, else its overall one. The clean values of all columns
+    are counted once per (column, group, value); exact medians come from the running totals of the counts, and
+    the table of medians (a row a group) is joined back."""
+    grouped = df.withColumn(group_name, group)
+    pairs = ", ".join(f"'{c}', `_ok_{c}`" for c in rules)
+    clean = grouped.select(group_name, *[F.when(~fault, F.col(c).cast("double")).alias(f"_ok_{c}") for c, fault in rules.items()])
+    counts = materialize(
+        clean.selectExpr(f"`{group_name}`", f"stack({len(rules)}, {pairs}) AS (_column, _v)").filter("_v IS NOT NULL")
+        .groupBy("_column", group_name, "_v").agg(F.count(F.lit(1)).alias("_n")), "clean-counts")
+    own = quantiles_of_counts(counts, (0.5,), ["_own"], ["_column", group_name])
+    every = counts.groupBy("_column", "_v").agg(F.sum("_n").alias("_n"))
+    overall = quantiles_of_counts(every, (0.5,), ["_overall"], ["_column"])
+    pick = lambda table, c, name: F.max(F.when(F.col("_column") == c, F.col(table))).alias(f"{name}_{c}")
+    by_group = own.groupBy(F.col(group_name).alias("_g")).agg(*[pick("_own", c, "_med") for c in rules])
+    whole = overall.agg(*[pick("_overall", c, "_all") for c in rules])                         # one row
+    joined = (grouped.join(by_group, F.col(group_name).eqNullSafe(F.col("_g")), "left").crossJoin(F.broadcast(whole)))
     fixed = {c: F.when(fault, F.coalesce(f"_med_{c}", f"_all_{c}")).otherwise(F.col(c)) for c, fault in rules.items()}
     return joined.withColumns(fixed).select(*df.columns)
 

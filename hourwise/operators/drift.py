@@ -7,6 +7,7 @@ window), never by looping over windows on the driver.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,55 +27,78 @@ PSI_EPS = 1e-4
 # ---------------------------------------------------------------------------
 
 
-def kolmogorov_p(lam: Column, terms: int = 100) -> Column:
-    """Asymptotic two-sided p-value Q(λ) = 2 Σ_{j≥1} (−1)^{j−1} exp(−2 j² λ²), clipped to [0, 1]
-    (one higher-order aggregate over j = 1..terms; evaluated once per window row)."""
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
-        lambda acc, j: acc + F.lit(2.0) * F.pow(F.lit(-1.0), j - 1) * F.exp(F.lit(-2.0) * j * j * lam * lam))
-    return F.when(lam <= 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
+def kolmogorov_p(lam: Column, terms: int = 8) -> Column:
+    """Asymptotic two-sided p-value Q(λ), by the series that converges fast on either side of λ = 1:
+    2 Σ_{j≥1} (−1)^{j−1} exp(−2 j² λ²), and its theta form
+    1 − √(2π)/λ Σ_{j≥1} exp(−(2j−1)² π² / (8 λ²)). ``terms`` of either are exact to double precision."""
+    j = F.sequence(F.lit(1), F.lit(terms))
+    large = F.aggregate(j, F.lit(0.0), lambda acc, k: acc + F.lit(2.0) * F.pow(F.lit(-1.0), k - 1)
+                        * F.exp(F.lit(-2.0) * k * k * lam * lam))
+    theta = F.aggregate(j, F.lit(0.0), lambda acc, k: acc + F.exp(
+        -F.pow(F.lit(2.0) * k - 1, F.lit(2.0)) * F.lit(math.pi ** 2 / 8) / (lam * lam)))
+    small = F.lit(1.0) - F.lit(math.sqrt(2 * math.pi)) / lam * theta
+    p = F.when(lam < 1, small).otherwise(large)
+    return F.when(lam <= 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)))
 
 
-def ks_two_sample(df: DataFrame, value: str, window: str = "window", ref: str = "reference",
-                  buckets: int = 64) -> DataFrame:
+def ks_two_sample(df: DataFrame, value: str, window: str = "window", ref: str = "reference") -> DataFrame:
     """Per non-reference window: D = max |F_ref − F_cur| over the pooled distinct
-    values, and its asymptotic p-value with λ = D·√(nm/(n+m))."""
+    values, and its asymptotic p-value with λ = D·√(nm/(n+m)).
+
+    Between two values of the window F_cur is flat and F_ref only rises, so the maximum lies at a window's
+    value or just below one: the reference is counted and summed once for
+    all windows, and only the windows' own values are joined to it."""
     d = df.filter(F.col(value).isNotNull())
     refc = d.filter(F.col(window) == ref).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("r"))
     cur = d.filter(F.col(window) != ref).groupBy(F.col(window).alias("window"), F.col(value).alias("v")) \
            .agg(F.count(F.lit(1)).alias("c"))
-    wins = cur.select("window").distinct()
-    # every window sees every reference value (reference counts replicated per window: distinct values only)
-    # the window list is a handful of rows: broadcast it, the reference counts stay distributed
-    both = (refc.crossJoin(F.broadcast(wins)).join(cur, ["window", "v"], "full")
-                .select("window", "v", F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("c", F.lit(0)).alias("c")))
-    cum = ordered_cumsum(both, "v", ["r", "c"], by=["window"], buckets=buckets)
-    n = both.groupBy("window").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
-    stat = (cum.join(n, "window")
-               .groupBy("window", "n_ref", "n_cur")
-               .agg(F.max(F.abs(F.col("cum_r") / F.col("n_ref") - F.col("cum_c") / F.col("n_cur"))).alias("ks_stat")))
+    points = refc.unionByName(cur.select("v").distinct().withColumn("r", F.lit(0).cast("bigint"))) \
+                 .groupBy("v").agg(F.sum("r").alias("r"))
+    below = ordered_cumsum(points, "v", ["r"])
+    cum = ordered_cumsum(cur, "v", ["c"], by=["window"]).join(below, "v")
+    n_ref = refc.agg(F.coalesce(F.sum("r"), F.lit(0)).alias("n_ref"))
+    n_cur = cur.groupBy("window").agg(F.sum("c").alias("n_cur"))
+    f = lambda x, n: F.try_divide(x, F.col(n))
+    gap = F.greatest(F.abs(f(F.col("cum_r"), "n_ref") - f(F.col("cum_c"), "n_cur")),
+                     F.abs(f(F.col("cum_r") - F.col("r"), "n_ref") - f(F.col("cum_c") - F.col("c"), "n_cur")))
+    stat = (cum.join(n_cur, "window").crossJoin(F.broadcast(n_ref))      # one row
+               .groupBy("window", "n_ref", "n_cur").agg(F.max(gap).alias("ks_stat")))
     lam = F.col("ks_stat") * F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")))
     return stat.withColumn("p_value", kolmogorov_p(lam))
 
 
+def _psi_term(r: Column, total_r: Column, c: Column, total_c: Column) -> Column:
+    rp = r / total_r + F.lit(PSI_EPS)
+    cp = c / total_c + F.lit(PSI_EPS)
+    return (cp - rp) * F.log(cp / rp)
+
+
 def _psi_from_counts(counts: DataFrame) -> DataFrame:
     """counts: (window, bin, r, c) with every bin present → PSI per window."""
     tot = counts.groupBy("window").agg(F.sum("r").alias("_R"), F.sum("c").alias("_C"))
-    j = counts.join(tot, "window")
-    rp = F.col("r") / F.col("_R") + F.lit(PSI_EPS)
-    cp = F.col("c") / F.col("_C") + F.lit(PSI_EPS)
-    return j.groupBy("window").agg(F.sum((cp - rp) * F.log(cp / rp)).alias("psi"))
+    term = _psi_term(F.col("r"), F.col("_R"), F.col("c"), F.col("_C"))
+    return counts.join(tot, "window").groupBy("window").agg(F.sum(term).alias("psi"))
 
 
 def psi_categorical(df: DataFrame, value: str, window: str = "window", ref: str = "reference") -> DataFrame:
-    """PSI over the union of categories seen in the reference or the window."""
-    refc = df.filter(F.col(window) == ref).groupBy(F.col(value).alias("bin")).agg(F.count(F.lit(1)).alias("r"))
-    cur = df.filter(F.col(window) != ref).groupBy(F.col(window).alias("window"), F.col(value).alias("bin")) \
-            .agg(F.count(F.lit(1)).alias("c"))
-    wins = cur.select("window").distinct()
-    both = (refc.crossJoin(F.broadcast(wins)).join(cur, ["window", "bin"], "full")
-                .select("window", "bin", F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("c", F.lit(0)).alias("c")))
-    return _psi_from_counts(both)
+    """PSI over the union of categories seen in the reference or the window; missing values are left out.
+
+    A category that a window lacks adds a term that depends on the reference alone. Those terms are summed
+    once, and each window takes back the ones of the categories it has: no product of categories and windows."""
+    d = df.filter(F.col(value).isNotNull())
+    refc = d.filter(F.col(window) == ref).groupBy(F.col(value).alias("bin")).agg(F.count(F.lit(1)).alias("r"))
+    cur = d.filter(F.col(window) != ref).groupBy(F.col(window).alias("window"), F.col(value).alias("bin")) \
+           .agg(F.count(F.lit(1)).alias("c"))
+    total_r = refc.agg(F.sum("r").alias("_R"))
+    absent = _psi_term(F.col("r"), F.col("_R"), F.lit(0.0), F.lit(1.0))
+    refc = refc.crossJoin(F.broadcast(total_r)).withColumn("_absent", absent)                  # one row
+    base = refc.agg(F.sum("_absent").alias("_base"), F.max("_R").alias("_R"))
+    total_c = cur.groupBy("window").agg(F.sum("c").alias("_C"))
+    own = (cur.join(refc.select("bin", "r", "_absent"), "bin", "left").join(total_c, "window")
+              .crossJoin(F.broadcast(base)))                                                    # one row
+    term = _psi_term(F.coalesce("r", F.lit(0)), F.col("_R"), F.col("c"), F.col("_C")) - F.coalesce("_absent", F.lit(0.0))
+    return own.groupBy("window", "_base").agg(F.sum(term).alias("_own")) \
+              .select("window", (F.col("_base") + F.col("_own")).alias("psi"))
 
 
 def psi_spine(df: DataFrame, value: str, bins: int, window: str = "window", ref: str = "reference") -> DataFrame:
@@ -83,7 +107,8 @@ def psi_spine(df: DataFrame, value: str, bins: int, window: str = "window", ref:
     spark = df.sparkSession
     spine = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     wins = df.filter(F.col(window) != ref).select(F.col(window).alias("window")).distinct()
-    refc = df.filter(F.col(window) == ref).groupBy(F.col(value).cast("int").alias("bin")) \
+    inside = F.col(value).cast("int").between(0, bins - 1)                # at most ``bins`` rows to broadcast
+    refc = df.filter((F.col(window) == ref) & inside).groupBy(F.col(value).cast("int").alias("bin")) \
              .agg(F.count(F.lit(1)).alias("r"))
     cur = df.filter(F.col(window) != ref).groupBy(F.col(window).alias("window"), F.col(value).cast("int").alias("bin")) \
             .agg(F.count(F.lit(1)).alias("c"))
@@ -104,10 +129,14 @@ def psi_numeric(df: DataFrame, value: str, bins: int = 10, window: str = "window
                   .select("window", F.least("rmin", "cmin").alias("lo"), F.greatest("rmax", "cmax").alias("hi")))
     width = (F.col("hi") - F.col("lo")) / bins
     idx = F.coalesce(F.least(F.floor(F.try_divide(F.col("x") - F.col("lo"), width)), F.lit(bins - 1)), F.lit(0))
-    refb = refv.crossJoin(F.broadcast(pooled)).groupBy("window", idx.cast("int").alias("bin")) \
-               .agg(F.count(F.lit(1)).alias("r"))
-    curb = (df.filter(F.col(window) != ref).select(F.col(window).alias("window"), F.col(value).alias("x"))
-              .join(F.broadcast(pooled), "window").groupBy("window", idx.cast("int").alias("bin"))
+    # the reference is binned once for each distinct range (windows inside the reference's range share one), from its
+    # value counts, never once a window
+    counted = refv.filter(F.col("x").isNotNull()).groupBy("x").agg(F.count(F.lit(1)).alias("_k"))
+    ranges = pooled.select("lo", "hi").distinct()
+    binned = counted.crossJoin(ranges).groupBy("lo", "hi", idx.cast("int").alias("bin")).agg(F.sum("_k").alias("r"))
+    refb = pooled.join(binned, ["lo", "hi"]).select("window", "bin", "r")
+    curb = (df.filter((F.col(window) != ref) & F.col(value).isNotNull())
+              .select(F.col(window).alias("window"), F.col(value).alias("x")).join(pooled, "window").groupBy("window", idx.cast("int").alias("bin"))
               .agg(F.count(F.lit(1)).alias("c")))
     spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     grid = wins.crossJoin(F.broadcast(spine))

@@ -46,23 +46,21 @@ def _score_counts(df: DataFrame, label: str, score: str, by: Sequence[str]) -> D
               .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (),
-              buckets: int = 64) -> DataFrame:
+def roc_curve(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
     """One ROC point per distinct score (predict positive when score ≥ threshold)."""
     counts = _score_counts(df, label, score, by)
-    cum = ordered_cumsum(counts, "threshold", ["pos", "neg"], by, descending=True, buckets=buckets)
+    cum = ordered_cumsum(counts, "threshold", ["pos", "neg"], by, descending=True)
     totals = counts.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
     j = cum.join(totals, list(by)) if by else cum.crossJoin(F.broadcast(totals))
     return j.select(*by, "threshold", F.try_divide(F.col("cum_pos"), F.col("_P")).alias("tpr"),
                     F.try_divide(F.col("cum_neg"), F.col("_N")).alias("fpr"))
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (),
-            buckets: int = 64) -> DataFrame:
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
     """Area under the ROC curve = P(score⁺ > score⁻) + ½·P(tie), from per-score
     counts: Σ pos(s)·(neg below s + ½·neg(s)) / (P·N)."""
     counts = _score_counts(df, label, score, by)
-    cum = ordered_cumsum(counts, "threshold", ["neg"], by, descending=False, buckets=buckets)
+    cum = ordered_cumsum(counts, "threshold", ["neg"], by, descending=False)
     below = F.col("cum_neg") - F.col("neg")
     return cum.groupBy(*by).agg(
         F.try_divide(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..sources.schema import required_columns_gate
+from .prefix import exact_quantiles
 
 STAT_COLS = ["_temp_mean", "_temp_std", "_clouds_min", "_clouds_max", "_q1", "_q2", "_q3"]
 
@@ -54,16 +55,13 @@ def weather_indicators(df: DataFrame, weather: str = "weather_main") -> DataFram
         "is_low_visibility": C.is_low_visibility(weather)})
 
 
-def table_stats(df: DataFrame, accuracy: int | None = None) -> DataFrame:
+def table_stats(df: DataFrame) -> DataFrame:
     """One row: temp mean / sample std, clouds min / max, volume quartiles
-    (exact linear interpolation; ``accuracy`` switches to approx_percentile)."""
-    pct = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = (F.percentile_approx("traffic_volume", pct, accuracy) if accuracy
-         else F.percentile(F.col("traffic_volume"), pct))
-    return df.agg(F.avg("temp").alias("_temp_mean"), F.stddev_samp("temp").alias("_temp_std"),
-                  F.min("clouds_all").alias("_clouds_min"), F.max("clouds_all").alias("_clouds_max"),
-                  q.alias("_q")) \
-             .select(*STAT_COLS[:4], *[F.col("_q")[i].cast("double").alias(f"_q{i + 1}") for i in range(3)])
+    (exact linear interpolation, from the counts of the distinct values)."""
+    plain = df.agg(F.avg("temp").alias("_temp_mean"), F.stddev_samp("temp").alias("_temp_std"),
+                   F.min("clouds_all").alias("_clouds_min"), F.max("clouds_all").alias("_clouds_max"))
+    q = exact_quantiles(df, "traffic_volume", (0.25, 0.5, 0.75), [f"_q{i + 1}" for i in range(3)])
+    return plain.crossJoin(F.broadcast(q)).select(*STAT_COLS)                                  # one row each
 
 
 def with_stats(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:

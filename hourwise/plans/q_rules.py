@@ -23,7 +23,7 @@ def transactions(spark, sf):
     return RU.build_transactions(tables.labelled(spark, sf, EV))
 
 
-def itemsets(spark, sf, method="fpgrowth"):
+def itemsets(spark, sf, method="subsets"):
     return tables._memo(spark, ("itemsets", sf, method),
                         lambda: RU.frequent_itemsets(transactions(spark, sf), MIN_SUPPORT, method))
 
@@ -68,13 +68,13 @@ def q_tx(spark, sf):
 
 @query("frequent_itemsets", rnd(TX_SQL + "SELECT itemset, size, freq, support FROM fi", "support"))
 def q_itemsets(spark, sf):
-    return rounded(itemsets(spark, sf, "fpgrowth").select("itemset", "size", "freq", "support"))
+    return rounded(itemsets(spark, sf, "subsets").select("itemset", "size", "freq", "support"))
 
 
 @query("association_rules", rnd(TX_SQL + "SELECT antecedents, consequent, support, confidence, lift FROM rl",
                                 "support confidence lift"))
 def q_rules(spark, sf):
-    r = RU.fpgrowth_rules(transactions(spark, sf), MIN_SUPPORT, MIN_CONFIDENCE)
+    r = rules(spark, sf)
     return rounded(r.select("antecedents", "consequent", "support", "confidence", "lift"))
 
 
@@ -274,4 +274,8 @@ def q_text(spark, sf):
     rec = RC.recommended_windows(p, *RANGE, top_n=3)
     avoid = RC.avoid_windows(p, *RANGE, top_n=1)
     base = RC.search_range_baseline(p, *RANGE)
-    return RC.recommendation_text(rec, avoid, base)
+    r = rules(spark, sf)
+    by_day = [RU.matching_risk_rule(r, d, min_lift=1.2).select(
+        F.lit(int(d == "Weekend")).alias("is_weekend"), "antecedents", "consequent", "confidence", "lift")
+        for d in ("Weekday", "Weekend")]                                                       # one row each at most
+    return RC.recommendation_text(rec, avoid, base, by_day[0].unionByName(by_day[1]))
