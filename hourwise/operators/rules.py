@@ -53,18 +53,20 @@ def _itemset_key(arr: Column) -> Column:
     return F.array_join(F.array_sort(arr), ", ")
 
 
-def frequent_itemsets(tx: DataFrame, min_support: float = 0.01, method: str = "fpgrowth",
+def frequent_itemsets(tx: DataFrame, min_support: float = 0.01, method: str = "subsets",
                       basket_size: int = 4) -> DataFrame:
     """(itemset, items, size, freq, support) for itemsets with support ≥ min_support."""
-    n = tx.agg(F.count(F.lit(1)).alias("_n"))
+    # equal baskets are counted first: what follows works on distinct baskets, whatever the number of rows
+    baskets = tx.groupBy(F.array_sort("items").alias("items")).agg(F.count(F.lit(1)).alias("_k"))
+    n = baskets.agg(F.sum("_k").alias("_n"))
     if method == "fpgrowth":
         model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(tx)
         fi = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq"))
     elif method == "subsets":
         subsets = [F.array(*[F.col("items")[k] for k in range(basket_size) if (m >> k) & 1])
                    for m in range(1, 2 ** basket_size)]
-        fi = (tx.select(F.explode(F.array(*subsets)).alias("items"))
-                .groupBy(F.array_sort("items").alias("items")).agg(F.count(F.lit(1)).alias("freq")))
+        fi = (baskets.select(F.explode(F.array(*subsets)).alias("items"), "_k")
+                     .groupBy("items").agg(F.sum("_k").alias("freq")))
     else:
         raise ValueError(f"unknown method {method}")
     return (fi.crossJoin(F.broadcast(n))

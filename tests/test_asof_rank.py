@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
 from hourwise.operators import analytics as A
 from hourwise.operators import timeseries as TS
 
@@ -23,7 +25,7 @@ def test_asof_join_matches_brute_force_across_buckets(spark):
     got = {row["probe_id"]: row["match_time"] for row in
            A.asof_join(p, r, bucket_seconds=6 * 3600).collect()}
     salted = {row["probe_id"]: row["match_time"] for row in
-              A.asof_join(p, r, bucket_seconds=6 * 3600, max_probes_per_task=2).collect()}
+              A.asof_join(p, r, bucket_seconds=6 * 3600).collect()}
     assert salted == got and len(got) == len(probes)
     by_sensor = {}
     for s, t in readings:
@@ -69,3 +71,12 @@ def test_stream_blocks_equal_batch_blocks(spark, tmp_path):
     # the open session (ending after the watermark, max time − 2 h) is still in state
     expected = [e for e in expected if e[0] < last - dt.timedelta(hours=3)]
     assert got == expected
+
+
+def test_probe_without_a_time_stays_unmatched(spark):
+    probes = spark.createDataFrame([(1, "s", None), (2, "s", "2020-01-01 05:10:00")], "probe_id long, sensor string, t string") \
+                  .select("probe_id", "sensor", F.col("t").cast("timestamp_ntz").alias("probe_time"))
+    read = spark.createDataFrame([("s", "2020-01-01 05:00:00")], "sensor string, t string") \
+                .select("sensor", F.col("t").cast("timestamp_ntz").alias("date_time"))
+    got = {r.probe_id: r.gap_seconds for r in A.asof_join(probes, read).collect()}
+    assert got == {1: None, 2: 600.0}

@@ -28,7 +28,7 @@ def test_ks_against_brute_force(spark):
     a = [rnd.gauss(0, 1) for _ in range(200)]
     b = [rnd.gauss(0.5, 1) for _ in range(150)]
     w = windows(spark, a, b)
-    got = D.ks_two_sample(w, "x", buckets=4).collect()[0]
+    got = D.ks_two_sample(w, "x").collect()[0]
     d = max(abs(sum(x <= v for x in a) / len(a) - sum(x <= v for x in b) / len(b)) for v in a + b)
     assert abs(got["ks_stat"] - d) < 1e-12
     lam = d * math.sqrt(len(a) * len(b) / (len(a) + len(b)))
@@ -56,3 +56,23 @@ def test_status_logic_reproduces_reference_report(spark):
     ws = D.window_status(rep).collect()
     assert {r["window"]: r["overall_status"] for r in ws} == {"now": "PASS", "w": "ALERT"}
 
+
+
+def test_p_value_of_small_lambda_is_one(spark):
+    from hourwise.operators.drift import kolmogorov_p
+    got = spark.createDataFrame([(0.001,), (0.007,), (0.3,), (0.9,), (1.1,), (2.0,)], "x double") \
+               .select(kolmogorov_p(F.col("x")).alias("p")).collect()
+    want = [1.0, 1.0, 0.9999906941986655, 0.3927307079406543, 0.1777181926064012, 0.0006709252557796953]
+    assert all(abs(g.p - w) < 1e-12 for g, w in zip(got, want))
+
+
+def test_psi_leaves_missing_values_out(spark):
+    from hourwise.operators.drift import psi_categorical
+    rows = [("reference", "a")] * 6 + [("reference", "b")] * 4 + [("w", "a")] * 5 + [("w", "c")] * 5
+    plain = spark.createDataFrame(rows, "window string, v string")
+    missing = spark.createDataFrame(rows + [("reference", None), ("w", None), ("w", None)], "window string, v string")
+    e = 1e-4
+    terms = [(0.6, 0.5), (0.4, 0.0), (0.0, 0.5)]
+    want = sum((c - r) * math.log((c + e) / (r + e)) for r, c in terms)
+    for df in (plain, missing):
+        assert abs(psi_categorical(df, "v").collect()[0].psi - want) < 1e-12

@@ -22,9 +22,9 @@ def test_auc_equals_pairwise_brute_force(spark):
     pos = [s for y, s in rows if y == 1]
     neg = [s for y, s in rows if y == 0]
     brute = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
-    got = EV.roc_auc(df, buckets=4).collect()[0]["roc_auc"]
+    got = EV.roc_auc(df).collect()[0]["roc_auc"]
     assert abs(got - brute) < 1e-12
-    roc = EV.roc_curve(df, buckets=3).orderBy(F.col("threshold").desc()).collect()
+    roc = EV.roc_curve(df).orderBy(F.col("threshold").desc()).collect()
     assert roc[-1]["tpr"] == 1.0 and roc[-1]["fpr"] == 1.0
 
 
@@ -32,12 +32,12 @@ def test_ordered_cumsum_matches_pandas(spark):
     rnd = random.Random(1)
     rows = [(k, rnd.randint(0, 9)) for k in rnd.sample(range(10_000), 500)]
     df = spark.createDataFrame(rows, "k long, v long")
-    got = {r["k"]: r["cum_v"] for r in ordered_cumsum(df, "k", ["v"], buckets=7).collect()}
+    got = {r["k"]: r["cum_v"] for r in ordered_cumsum(df, "k", ["v"]).collect()}
     run = 0
     for k, v in sorted(rows):
         run += v
         assert got[k] == run
-    got_d = {r["k"]: r["cum_v"] for r in ordered_cumsum(df, "k", ["v"], descending=True, buckets=5).collect()}
+    got_d = {r["k"]: r["cum_v"] for r in ordered_cumsum(df, "k", ["v"], descending=True).collect()}
     run = 0
     for k, v in sorted(rows, reverse=True):
         run += v
