@@ -19,14 +19,14 @@ import hashlib
 import json
 import struct
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, small
 from .words import matcher, parts
 
 #: No merge; comes after every token.
@@ -126,11 +126,11 @@ class RankMap:
 
 
 #: Words that every task holds ready encoded, at most: the most frequent ones, each of up to WORD_BYTES bytes.
-HELD_WORDS = 400_000
+HELD_WORDS = 250_000
 WORD_BYTES = 48
 
 
-def word_counts(docs: DataFrame, text_col: str, pattern: str, flush: int = 200_000) -> DataFrame:
+def word_counts(docs: DataFrame, text_col: str, pattern: str, flush: int = 60_000) -> DataFrame:
     """(word, n): every distinct match of the pattern in the texts and how often it occurs."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = matcher(pattern).findall
@@ -143,10 +143,8 @@ def word_counts(docs: DataFrame, text_col: str, pattern: str, flush: int = 200_0
                         words[w] += n
             return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], ["word", "n"])
         firsts, rest = Counter(), Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if not text:
-                    continue
+        for text in (t for batch in small(batches) for t in batch.column(0).to_pylist()):
+            if text:
                 cut = parts(text)
                 if cut is None:
                     firsts.update(find(text))
@@ -162,7 +160,7 @@ def word_counts(docs: DataFrame, text_col: str, pattern: str, flush: int = 200_0
 
 
 def held_words(docs: DataFrame, text_col: str, pattern: str, rank_map: RankMap) -> dict[str, bytes]:
-    """The most frequent words of the corpus with their ids (32-bit, little-endian), encoded by the fold. At most HELD_WORDS words, about 25 MB."""
+    """The most frequent words of the corpus with their ids (32-bit, little-endian), encoded by the fold. At most HELD_WORDS words, about 15 MB."""
     top = (word_counts(docs, text_col, pattern).where(F.octet_length("word") <= WORD_BYTES)
            .orderBy(F.desc("n"), "word").limit(HELD_WORDS))
     top = materialize(top.select("word").repartition(64, "word"), "bpe-words")
@@ -172,8 +170,9 @@ def held_words(docs: DataFrame, text_col: str, pattern: str, rank_map: RankMap)
     return dict(zip(table.column("word").to_pylist(), ids))
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, ids (binary, 32-bit little-endian). Frequent words are looked up; a task leaves holes for the
+def _encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str,
+            finish: Callable[[list[bytes]], list[pa.Array]], columns: str) -> DataFrame:
+    """doc_id and what ``finish`` makes of the ids of a batch. Frequent words are looked up; a task leaves holes for the
     other words, which the same fold then encodes, once per document."""
     rank_map = RankMap(load_ranks(ranks_path))
     held = docs.sparkSession.sparkContext.broadcast(held_words(docs, text_col, pattern, rank_map))
@@ -191,11 +190,11 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
         class Parts(dict):
             def __missing__(self, part: str) -> object:
                 value = encoded(" " + part)
-                if len(self) < 200_000 and isinstance(value, bytes):
+                if len(self) < 100_000:
                     self[part] = value
                 return value
         known = Parts()
-        for batch in batches:
+        for batch in small(batches):
             segments, holes, missing = [], [], []
             for text in batch.column(1).to_pylist():
                 values: list[object] = []
@@ -225,7 +224,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                  pa.array(missing, pa.list_(pa.string()))], ["doc_id", "segments", "holes", "missing"])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for segments, holes, rare in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 rare = [struct.pack(f"<{len(x)}I", *x) for x in rare]
@@ -233,12 +232,17 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                 for k, segment in zip(holes, segments[1:]):
                     whole += (rare[k], segment)
                 out.append(b"".join(whole))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *finish(out)], ["doc_id", *(c.split()[0] for c in columns.split(", "))])
     source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     open_ = source.mapInArrow(look_up, f"doc_id {kind}, segments array<binary>, holes array<int>, missing array<string>")
     rare = F.when(F.size("missing") > 0, F.transform("missing", rank_map.fold)).otherwise(F.array().cast("array<array<int>>"))
-    return open_.select("doc_id", "segments", "holes", rare.alias("rare")).mapInArrow(fill, f"doc_id {kind}, ids binary")
+    return open_.select("doc_id", "segments", "holes", rare.alias("rare")).mapInArrow(fill, f"doc_id {kind}, {columns}")
+
+
+def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, ids (binary, 32-bit little-endian)."""
+    return _encode(docs, ranks_path, pattern, id_col, text_col, lambda ids: [pa.array(ids, pa.binary())], "ids binary")
 
 
 def decode_pieces(ids: bytes, pieces: list[bytes]) -> bytes:
@@ -252,14 +256,8 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
     for token, rank in ranks.items():
         pieces[rank] = token
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(1).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                 pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                 pa.array([hashlib.sha256(decode_pieces(x, pieces)).hexdigest() for x in ids], pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-    ids = encode_documents(docs, ranks_path, pattern, id_col, text_col)
-    kind = ids.schema["doc_id"].dataType.simpleString()
-    return ids.mapInArrow(digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digest(ids: list[bytes]) -> list[pa.Array]:
+        return [pa.array([len(x) // 4 for x in ids], pa.int64()),
+                pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                pa.array([hashlib.sha256(decode_pieces(x, pieces)).hexdigest() for x in ids], pa.string())]
+    return _encode(docs, ranks_path, pattern, id_col, text_col, digest, "n_tokens long, ids_sha256 string, decoded_sha256 string")
