@@ -61,7 +61,29 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_near_dedup, op3_byte_bpe, op4_exact_dedup, op5_sharding, op6_quality, op7_html_main, op8_fingerprint, op9_packing, op10_repeats)}
 
+#: SQL where it can express an operator; the others are compared with brute force in tests/llm.
 ORACLE_SQL = {
+    # every pair of documents by shared shingles, and the closure of the links
+    "op2_near_dedup": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\s+'), lambda w: w <> '') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM words),
+flat AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*))
+  UNION ALL
+  SELECT min(doc_id) OVER (), doc_id FROM sets WHERE len(sh) = 0),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION
+  SELECT r.doc_id, e.y FROM reach r JOIN edges e ON e.x = r.other),
+class AS (SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id)
+SELECT c.doc_id, c.class_id, count(*) OVER (PARTITION BY c.class_id) AS class_size, CAST(len(s.sh) AS BIGINT) AS n_shingles
+FROM class c JOIN sets s ON s.doc_id = c.doc_id""",
     "op4_exact_dedup": r"""
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
