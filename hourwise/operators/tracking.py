@@ -8,6 +8,7 @@ leaderboard and the registry are queries over those tables.
 """
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,9 @@ from pyspark.sql import functions as F
 RUN_SCHEMA = "run_id string, parent_id string, experiment string, task string, algorithm string"
 
 
-def run_id(experiment: str, task: str, algorithm: str):
+def run_id(experiment: str, task: str, algorithm: str) -> str:
     """Deterministic run id: md5 of experiment/task/algorithm."""
-    return F.md5(F.concat_ws("/", F.lit(experiment), F.lit(task), F.lit(algorithm)))
+    return hashlib.md5(f"{experiment}/{task}/{algorithm}".encode()).hexdigest()
 
 
 def log_run(store: str, metrics: DataFrame, experiment: str, task: str, algorithm: str,
@@ -27,7 +28,7 @@ def log_run(store: str, metrics: DataFrame, experiment: str, task: str, algorith
     """Append one run: its row, its params and every numeric column of
     ``metrics`` as (key, value, step) rows."""
     spark = metrics.sparkSession
-    rid = run_id(experiment, task, algorithm)
+    rid = F.lit(run_id(experiment, task, algorithm))
     one = spark.range(1)
     one.select(rid.alias("run_id"), F.lit(parent).cast("string").alias("parent_id"), F.lit(experiment).alias("experiment"),
                F.lit(task).alias("task"), F.lit(algorithm).alias("algorithm")) \
@@ -58,14 +59,30 @@ def run_leaderboard(runs: DataFrame, metrics: DataFrame, metric_names: Sequence[
     return child.join(wide, "run_id", "left").orderBy("task", "algorithm")
 
 
+def alias_table(metrics_by_version: DataFrame, score: str = "f1_score", baseline: str = "v1_baseline") -> DataFrame:
+    """(alias, version): 'champion' is the version with the best ``score`` (the first on ties), 'baseline' always
+    the version named ``baseline``, also where it is the champion."""
+    champion = metrics_by_version.agg(F.min_by("version", F.struct(-F.col(score), F.col("version"))).alias("version"))
+    base = metrics_by_version.filter(F.col("version") == baseline).select("version")
+    return champion.select(F.lit("champion").alias("alias"), "version") \
+                   .unionByName(base.select(F.lit("baseline").alias("alias"), "version"))
+
+
+def version_of(aliases: DataFrame, alias: str) -> str:
+    """The version an alias points to; a missing alias raises."""
+    row = aliases.filter((F.col("alias") == alias) & F.col("version").isNotNull()).select("version").first()
+    if row is None:
+        raise LookupError(f"no model version has the alias {alias!r}")
+    return row["version"]
+
+
 def register_versions(metrics_by_version: DataFrame, score: str = "f1_score", baseline: str = "v1_baseline") -> DataFrame:
-    """Registry table: registered_version numbers in version order, alias
-    'champion' for the best ``score`` (first version on ties), 'baseline' for
-    the rest (one alias per row, as the reference's table shows)."""
+    """Registry table: registered_version numbers in version order and one alias a row for display: 'champion'
+    for the version that ``alias_table`` gives it, 'baseline' for the other."""
     from pyspark.sql import Window
     w = Window.orderBy("version")
-    champ = metrics_by_version.agg(F.min_by("version", F.struct(-F.col(score), F.col("version"))).alias("_champ"))
-    return (metrics_by_version.crossJoin(F.broadcast(champ))
+    champ = alias_table(metrics_by_version, score, baseline).filter(F.col("alias") == "champion").select(F.col("version").alias("_champ"))
+    return (metrics_by_version.crossJoin(F.broadcast(champ))                                   # one row
             .withColumn("registered_version", F.row_number().over(w))
             .withColumn("alias", F.when(F.col("version") == F.col("_champ"), "champion").otherwise("baseline"))
             .drop("_champ"))
@@ -77,15 +94,12 @@ def version_comparison(registry: DataFrame, metric_names: Sequence[str] = ("accu
     return registry.unpivot(["version"], list(metric_names), "metric", "value")
 
 
-def alias_join(scored: DataFrame, registry: DataFrame, alias: str = "champion", model_name: str = "high_risk_classifier") -> DataFrame:
-    """Attach name, version and alias of the model the alias points to (the
-    registry side is one row, broadcast). A missing alias yields no rows; use
-    ``alias_exists`` to raise instead."""
-    pick = registry.filter(F.col("alias") == alias).select(
+def alias_join(scored: DataFrame, registry: DataFrame, aliases: DataFrame, alias: str = "champion",
+               model_name: str = "high_risk_classifier") -> DataFrame:
+    """Attach name, version and alias to scores of the model that the alias points to (one row,
+    broadcast). A missing alias raises."""
+    version = version_of(aliases, alias)
+    pick = registry.filter(F.col("version") == version).select(
         F.lit(model_name).alias("model_name"), F.col("registered_version").alias("model_version"),
-        F.col("alias").alias("model_alias"))
+        F.lit(alias).alias("model_alias"))
     return scored.crossJoin(F.broadcast(pick))
-
-
-def alias_exists(registry: DataFrame, alias: str) -> bool:
-    return bool(registry.filter(F.col("alias") == alias).limit(1).take(1))

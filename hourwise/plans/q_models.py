@@ -382,7 +382,7 @@ def _deterministic_runs(spark, sf, store):
     reg = EVL.regression_metrics(test, "actual", "persist_pred").select("mae", "r2")
     parent = "parent"
     TR.log_run(store, spark.range(1).select(F.lit(1.0).alias("n_children")), "hourwise", "all", parent)
-    pid = spark.range(1).select(TR.run_id("hourwise", "all", parent)).first()[0]
+    pid = TR.run_id("hourwise", "all", parent)
     TR.log_run(store, cls, "hourwise", "classification", "rule_score", {"threshold": 0.5}, parent=pid)
     TR.log_run(store, reg, "hourwise", "forecasting", "naive_persistence", {"lag": 1}, parent=pid)
 
@@ -431,16 +431,32 @@ def q_log_runs(spark, sf):
     return runs.join(metrics, "run_id")
 
 
+# --- fixed values: trees, depth and least leaf size of the two versions -------
 VERSION_PARAMS = {"v1_baseline": (150, 10, 5), "v2_candidate": (300, 16, 2)}
+# -----------------------------------------------------------------------------
+
+
+def fitted_versions(spark, sf):
+    """version -> (folder of the saved model, its scores of the test rows, written once)."""
+    k = (spark.sparkContext.applicationId, "fitted_versions", sf)
+    if k not in tables._MEMO:
+        train, test = _train_test(spark, sf)
+        out = {}
+        for version, (n, d, leaf) in VERSION_PARAMS.items():
+            m = MD.fit_classifier(MD.rf_classifier_pipeline(num_trees=n, max_depth=d, min_leaf=leaf), train)
+            path = io.shared_path(spark, f"model-{version}")
+            m.write().overwrite().save(path)
+            scores = MD.predict_score(m, test, [F.col("high_risk").alias("label")])
+            out[version] = (path, io.materialize(scores, f"scores-{version}"))
+        tables._MEMO[k] = out
+    return tables._MEMO[k]
 
 
 def _versions(spark, sf):
     def build():
-        train, test = _train_test(spark, sf)
         parts = []
         for version, (n, d, leaf) in VERSION_PARAMS.items():
-            m = MD.fit_classifier(MD.rf_classifier_pipeline(num_trees=n, max_depth=d, min_leaf=leaf), train)
-            s = MD.predict_score(m, test, [F.col("high_risk").alias("label")])
+            _, s = fitted_versions(spark, sf)[version]
             met = EVL.classification_metrics(s, score="score").drop("n").withColumnRenamed("f1", "f1_score")
             parts.append(met.select(F.lit(version).alias("version"), F.lit(n).alias("n_estimators"),
                                     F.lit(d).alias("max_depth"), F.lit(leaf).alias("min_samples_leaf"), "*"))
@@ -448,6 +464,12 @@ def _versions(spark, sf):
     return tables._memo(spark, ("versions", sf), build)
 
 
+def load_by_alias(spark, sf, alias="champion"):
+    """The saved model that the alias points to."""
+    from pyspark.ml import PipelineModel
+    return PipelineModel.load(fitted_versions(spark, sf)[TR.version_of(TR.alias_table(_versions(spark, sf)), alias)][0])
+
+
 @query("fit_versions")
 def q_fit_versions(spark, sf):
     return _versions(spark, sf)
@@ -470,9 +492,11 @@ def q_version_comparison(spark, sf):
 
 @query("alias_join")
 def q_alias_join(spark, sf):
-    reg = TR.register_versions(_versions(spark, sf))
-    s = _classifiers(spark, sf)["random_forest"]
-    return TR.alias_join(s, reg, "champion")
+    """Scores of the champion itself, tagged with its version."""
+    v = _versions(spark, sf)
+    aliases = TR.alias_table(v)
+    _, scores = fitted_versions(spark, sf)[TR.version_of(aliases, "champion")]
+    return TR.alias_join(scores, TR.register_versions(v), aliases, "champion")
 
 
 # ----------------------------------------------------------- attribution ---

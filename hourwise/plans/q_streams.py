@@ -88,16 +88,17 @@ def q_stream_validate(spark, sf):
 def q_stream_score(spark, sf):
     """Raw readings → features with the stored training statistics → the
     registry's champion model, tagged with name / version / alias."""
-    from .q_models import _classifiers, _versions
+    from .q_models import _versions, load_by_alias
     from ..operators import tracking as TR
-    model = _classifiers(spark, sf)["_models"]["random_forest"]
+    model = load_by_alias(spark, sf, "champion")
     params = FE.scaling_params(tables.hourly(spark, sf, EV))
     feats = FE.engineer_reading(_readings_stream(spark, sf), params).filter(F.col("feature_error").isNull())
     scored = model.transform(feats).select("row_id", "sensor", "date_time",
                                            F.col("prediction").cast("int").alias("prediction"),
                                            F.col("probability").cast("string").alias("probability"))
-    reg = TR.register_versions(_versions(spark, sf))
-    return _run(TR.alias_join(scored, reg, "champion"), "score")
+    versions = _versions(spark, sf)
+    tagged = TR.alias_join(scored, TR.register_versions(versions), TR.alias_table(versions), "champion")
+    return _run(tagged, "score")
 
 
 STREAM_DRIFT_SQL = with_tables(EV) + """

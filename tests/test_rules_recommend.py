@@ -1,16 +1,14 @@
 from hourwise.operators import recommend as RC
 from hourwise.operators import rules as RU
 
-# an hour-of-day profile with an empty hour (15), as in the reference's fog profile
-FOG_PROFILE = [
-    (0, 10, 627.3, 0.2197), (1, 11, 343.6363636363636, 0.2208), (2, 12, 303.8333333333333, 0.2436),
-    (3, 14, 361.2857142857143, 0.2083), (4, 25, 879.92, 0.2283), (5, 21, 2738.6190476190477, 0.2863),
-    (6, 20, 5653.95, 0.9616), (7, 25, 6218.56, 0.9627), (8, 22, 5808.590909090909, 0.9591),
-    (9, 12, 5238.833333333333, 0.9594), (10, 8, 4243.5, 0.9460), (11, 3, 4421.0, 0.9476),
-    (12, 3, 4603.333333333333, 0.9518), (13, 3, 4297.333333333333, 0.9546), (14, 3, 4251.0, 0.9312),
-    (15, 0, None, None), (16, 3, 5791.333333333333, 0.9342), (17, 1, 2118.0, 0.9293),
-    (18, 3, 3373.6666666666665, 0.9291), (19, 2, 1870.0, 0.4222), (20, 1, 2721.0, 0.4084),
-    (21, 1, 2425.0, 0.3170), (22, 5, 1727.6, 0.2706), (23, 9, 1364.888888888889, 0.2697)]
+# an invented hour-of-day profile: quiet at night, hour 15 empty, a lone quiet hour 17
+FOG_PROFILE = [(h, n, m, r) for h, n, m, r in zip(
+    range(24),
+    [9, 12, 13, 15, 24, 20, 19, 26, 21, 13, 7, 4, 2, 4, 2, 0, 4, 2, 3, 3, 2, 2, 6, 8],
+    [610.0, 340.0, 300.0, 365.0, 900.0, 2700.0, 5600.0, 6100.0, 5900.0, 5200.0, 4300.0, 4400.0, 4500.0, 4250.0, 4350.0,
+     None, 5700.0, 2100.0, 3300.0, 1900.0, 2800.0, 2400.0, 1700.0, 1300.0],
+    [0.2, 0.2, 0.25, 0.2, 0.25, 0.3, 0.95, 0.96, 0.95, 0.96, 0.94, 0.95, 0.96, 0.95, 0.93,
+     None, 0.94, 0.93, 0.92, 0.4, 0.4, 0.3, 0.25, 0.25])]
 
 
 def profile(spark):
