@@ -17,6 +17,10 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# --- fixed values: the sentence of a cluster ----------------------------------
+CLUSTER_SENTENCE = ("%s conditions (avg. hour %04.1fh), predominantly '%s' weather, with %s (avg. %s veh/hr, mostly '%s' "
+                    "congestion); %s%% of hours in this cluster are on a weekend.")
+# -----------------------------------------------------------------------------
 CLUSTER_FEATURES = ["hour_sin", "hour_cos", "weather_severity", "traffic_volume"]
 
 
@@ -111,9 +115,7 @@ def cluster_interpretation(profile: DataFrame, quartiles: DataFrame) -> DataFram
     vol = (F.when(v <= F.col("_q1"), "low traffic").when(v <= F.col("_q2"), "moderate traffic")
              .when(v <= F.col("_q3"), "high traffic").otherwise("very high traffic"))
     text = F.format_string(
-        "%s conditions (avg. hour %04.1fh), predominantly '%s' weather, with %s (avg. %s veh/hr, mostly '%s' "
-        "congestion); %s%% of hours in this cluster are on a weekend.",
-        F.concat(F.upper(F.substring(tod, 1, 1)), F.substring(tod, 2, 100)), h, F.lower("dominant_weather"), vol,
+        CLUSTER_SENTENCE, F.concat(F.upper(F.substring(tod, 1, 1)), F.substring(tod, 2, 100)), h, F.lower("dominant_weather"), vol,
         F.format_number(v, 0), F.col("dominant_congestion"), F.format_number("pct_weekend", 0))
     return profile.crossJoin(F.broadcast(quartiles)).withColumn("interpretation", text) \
                   .drop("_q1", "_q2", "_q3")

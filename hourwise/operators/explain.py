@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import safe_corr
 
-# --- fixed values: plain-language labels and groups of the forecast features --
+# --- fixed values: sentences, plain-language labels and groups of the forecast features --
+CYCLICAL_SENTENCE = (
+    "%d. **%s** -- mean |SHAP| impact of %s veh/hr. This is a cyclical (sine/cosine) encoding, so its effect "
+    "on the forecast depends on which specific hour/day it represents rather than a single 'higher is more' direction.")
+LINEAR_SENTENCE = (
+    "%d. **%s** -- mean |SHAP| impact of %s veh/hr. Higher values of this feature %s (Pearson correlation "
+    "between feature value and SHAP value: r=%+.2f).")
 FEATURE_GROUPS = {
     "lag_1": ("traffic volume one hour earlier", ["lag_1"], False),
     "lag_24": ("traffic volume 24 hours earlier (same hour, previous day)", ["lag_24"], False),
@@ -85,12 +91,9 @@ def top_drivers_text(importance: DataFrame, top_n: int = 6) -> DataFrame:
               .when(F.col("direction") == "lower", "push the forecast DOWN") \
               .otherwise("have an unclear directional effect")
     cyc = F.format_string(
-        "%d. **%s** -- mean |SHAP| impact of %s veh/hr. This is a cyclical (sine/cosine) encoding, so its effect "
-        "on the forecast depends on which specific hour/day it represents rather than a single 'higher is more' "
-        "direction.", "rank", "label", F.format_number("mean_abs_shap", 0))
+        CYCLICAL_SENTENCE, "rank", "label", F.format_number("mean_abs_shap", 0))
     lin = F.format_string(
-        "%d. **%s** -- mean |SHAP| impact of %s veh/hr. Higher values of this feature %s (Pearson correlation "
-        "between feature value and SHAP value: r=%+.2f).", "rank", "label", F.format_number("mean_abs_shap", 0),
+        LINEAR_SENTENCE, "rank", "label", F.format_number("mean_abs_shap", 0),
         phrase, F.coalesce("correlation_with_shap", F.lit(0.0)))
     return ranked.select("rank", "feature_group", F.when(F.col("cyclical"), cyc).otherwise(lin).alias("sentence"))
 

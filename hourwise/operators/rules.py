@@ -1,10 +1,10 @@
 """Association rules over per-reading 'baskets'.
 
 Two exact ways to get the frequent itemsets:
-* ``fpgrowth`` — Spark ML's parallel FP-growth;
-* ``subsets`` — every non-empty subset of a row's (fixed, small) basket is
-  emitted and counted with a partial hash aggregate; with 4 items per row
-  that is 15 subsets, and the distinct itemsets are few, so the shuffle is tiny.
+* ``subsets`` — equal baskets are counted with a partial hash aggregate, then
+  every non-empty subset of a (fixed, small) distinct basket is emitted with its
+  count: 15 subsets of 4 items, whatever the number of rows;
+* ``fpgrowth`` — Spark ML's parallel FP-growth, for wide baskets.
 Rules are derived from the itemset table (a small self-join), keeping the
 reference's filters: lift ≥ 1, confidence ≥ min_confidence and a single
 consequent taken from one item column.
@@ -17,7 +17,9 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# --- fixed values: item names and their sentence phrases --------------------
+# --- fixed values: item names, their sentence phrases and the sentence --------
+RULE_SENTENCE = ("When %s, congestion is '%s' %.1f%% of the time -- %.2fx more likely than for a random hour. "
+                 "This combination covers %.1f%% of all hours in the dataset.")
 ITEM_COLUMNS = ["time_of_day", "weekday_type", "weather", "congestion"]
 CONGESTION_ORDER = ["Low", "Medium", "High", "Severe"]
 PHRASES = {
@@ -153,9 +155,7 @@ def explain_rules(rules: DataFrame) -> DataFrame:
     items = F.split(F.col("antecedents"), ", ")
     clause = F.transform(items, lambda it: F.coalesce(pm[it], F.regexp_replace(it, "_(?=[^_]*$)", "=")))
     text = F.format_string(
-        "When %s, congestion is '%s' %.1f%% of the time -- %.2fx more likely than for a random hour. "
-        "This combination covers %.1f%% of all hours in the dataset.",
-        F.array_join(clause, " and "), F.col("consequent"), F.col("confidence") * 100, F.col("lift"),
+        RULE_SENTENCE, F.array_join(clause, " and "), F.col("consequent"), F.col("confidence") * 100, F.col("lift"),
         F.col("support") * 100)
     return rules.withColumn("explanation", text)
 
