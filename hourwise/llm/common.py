@@ -6,9 +6,14 @@ on a ``local`` master with that setting unset (tests).
 """
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable, Iterator
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +42,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def worker_state(key: str, make: Callable[[], Any]) -> Any:
+    """An object that a Python worker keeps from task to task, such as a bounded cache; made on first use."""
+    state = sys.modules.setdefault("_hourwise_worker_state", types.ModuleType("_hourwise_worker_state"))
+    if not hasattr(state, key):
+        setattr(state, key, make())
+    return getattr(state, key)
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows, so that a task never holds a whole batch as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
