@@ -38,8 +38,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed sequences."""
-    path, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
-    return packing.pack(docs, lambda: packing.WordEncoder(path, pattern))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -12,7 +12,9 @@ empty table gives no pieces. Only id and text are read.
 from __future__ import annotations
 
 import bisect
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,14 +24,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, worker_state
 from .words import matcher, parts
 
 WINDOW = 2048
 OPEN = 64
 GROUP = 64
-#: Parts of texts that a task keeps encoded, at most, twice over.
-CACHE = 150_000
+#: Parts of texts that a worker keeps encoded, at most, twice over (some 80 MB).
+CACHE = 200_000
+
+
+def _little(ids: array) -> array:
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids
 
 
 class WordEncoder:
@@ -57,7 +65,7 @@ class WordEncoder:
         self.known = Parts()
 
     def encode_part(self, part: str) -> bytes:
-        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        return _little(array("I", self.tokenizer.encode(part, add_special_tokens=False).ids)).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Ids as 32-bit little-endian numbers."""
@@ -131,16 +139,17 @@ PIECES = ("start long, length long, ids_crc32 long, doc_tokens long, "
           "task long, win long, open boolean, at long")
 
 
-def pack(docs: DataFrame, make_encoder: Callable[[], WordEncoder], end_id: int = 1, id_col: str = "doc_id",
-         text_col: str = "text", most_open: int = OPEN) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+def pack(docs: DataFrame, tokenizer: str, pattern: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
+         most_open: int = OPEN) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. ``tokenizer`` is the file, ``pattern``
+    what its pre-tokenizer splits by."""
     source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        encoder, ready = make_encoder(), []
+        encoder, ready = worker_state(f"encoder {tokenizer} {pattern}", lambda: WordEncoder(tokenizer, pattern)), []
 
         def emit(number: int, pieces: list[tuple], still_open: bool) -> None:
             ready.extend((*p[:5], task, number, still_open, p[5]) for p in pieces)

@@ -48,8 +48,7 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
-    return packing.pack(documents(spark, sf_dir), lambda: packing.WordEncoder(path, pattern))
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -332,11 +332,9 @@ def test_fingerprints_of_edge_rows(docs, empty):
 def test_packing_places_each_id_once(docs, table, empty):
     path = P.path("byte_bpe_50k.json")
 
-    def make():
-        return packing.WordEncoder(path, P.PATTERN)
     library = Tokenizer.from_file(path)
     library.encode_special_tokens = True
-    got = packing.pack(docs, make, most_open=2).collect()
+    got = packing.pack(docs, path, P.PATTERN, most_open=2).collect()
     sequences = collections.defaultdict(list)
     for r in got:
         sequences[r.sequence_id].append((r.offset, r.length))
@@ -353,7 +351,7 @@ def test_packing_places_each_id_once(docs, table, empty):
             own = ids[s:s + packing.WINDOW]
             want[i, s, len(own), zlib.crc32(struct.pack(f"<{len(own)}I", *own)), len(ids)] += 1
     assert counted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got) == want
-    assert packing.pack(empty, make).count() == 0
+    assert packing.pack(empty, path, P.PATTERN).count() == 0
 
 
 def test_packer_emits_the_fullest_when_none_fits():
