@@ -10,7 +10,9 @@ the pair is tried again with tables four times as large, until every pair is dec
 likeness = shared / all distinct digests = (a + b - d) / (a + b + d), with d recovered digests; two texts without paragraphs are alike (1).
 
 A paragraph ends at a line break, and inside a long line at a sentence end chosen by
-its content (the character before the stop), so an edit changes only the paragraphs it touches.
+its content (the character before the stop), so an edit changes only the paragraphs it touches. Of a paragraph of more than
+``HEAD`` words the first ``HEAD`` are one digest, the rest is cut after words chosen by their hash, one in ``CUT``. In scripts
+written without spaces each character counts as a word.
 Null and empty texts have no paragraphs. Rows are in ascending (doc_id, text hash) order, null ids last; repeated rows follow one
 another; after the last row comes the first. Only id and text are read.
 """
@@ -27,14 +29,28 @@ TABLE = 32
 ROUNDS = 8
 LEVELS = 12
 BREAK = r"[\n\r]+|(?<=[a-eA-E0-9][.!?])[ \t]+"
+#: Between words, and after each character of a script without spaces.
+WORD = (r"(?<=[\s\p{Z}\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}])"
+        r"(?=[^\s\p{Z}])")
+HEAD = 24
+CUT = 16
 #: Rows in a bucket of neighbouring documents, about, and buckets, at most.
 BUCKET_ROWS = 512
 MOST_BUCKETS = 1 << 14
 
 
+def pieces(paragraph: Column) -> Column:
+    """A paragraph's parts: itself, if it has at most HEAD words. Cuts depend on what stands before them alone."""
+    words = F.split(paragraph, WORD)
+    marked = F.transform(words, lambda w, i: F.when(
+        (i == HEAD - 1) | (i >= HEAD) & (F.pmod(F.xxhash64(F.trim(w)), F.lit(CUT)) == 0), F.concat(w, F.lit("\n"))).otherwise(w))
+    return F.when(F.char_length(paragraph) <= HEAD, F.array(paragraph)).otherwise(F.split(F.array_join(marked, ""), "\n"))
+
+
 def digests(text: Column) -> Column:
-    """Distinct 64-bit digests of the paragraphs."""
-    parts = F.filter(F.transform(F.split(text, BREAK), lambda p: F.trim(p)), lambda p: p != "")
+    """Distinct 64-bit digests of the paragraphs' parts."""
+    lines = F.transform(F.split(text, BREAK), lambda p: F.trim(p))
+    parts = F.filter(F.transform(F.flatten(F.transform(lines, pieces)), lambda p: F.trim(p)), lambda p: p != "")
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 

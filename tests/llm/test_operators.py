@@ -13,6 +13,7 @@ import public_tokenizers as P
 import pytest
 import regex
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -322,6 +323,38 @@ def test_fingerprints_match_brute_force(spark, table, monkeypatch):
     assert got[3].fingerprint == got[4].fingerprint != got[5].fingerprint
 
 
+def long_pieces(t):
+    """Paragraphs cut further, in plain Python."""
+    word = regex.compile(r"(?V1)(?<=[\s\p{Z}\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}])(?=[^\s\p{Z}])")
+    out = set()
+    for p in paragraphs(t):
+        now = ""
+        for k, w in enumerate(word.split(p)):
+            now += w
+            if k == 23 or k > 23 and xxhash.xxh64_intdigest(w.strip(" ").encode(), 42) % 16 == 0:
+                out.add(now.strip(" "))
+                now = ""
+        out.add(now.strip(" "))
+    return out - {""}
+
+
+def test_long_one_line_texts_share_what_they_keep(spark):
+    rng = random.Random(11)
+
+    def line(letters, n, space=" "):
+        return space.join("".join(rng.choice(letters) for _ in range(rng.randint(1, 8))) for _ in range(n))
+    texts = [line("xyzwvu", 40), line("xyzwvu", 3000), line("абвгдежз", 200), line("αβγδε", 90), line("你好世界天地人大小上下", 60, ""),
+             line("กขคงจฉ", 60, ""), "same words " * 80, line("xyz", 300, "\u00a0"), line("שלוםאב", 70), line("uvxyz", 500).replace(" ", "! ")]
+    got = {r.doc_id: r for r in fingerprint.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for k, t in enumerate(texts):
+        following = texts[(k + 1) % len(texts)]
+        q = len(t) // 4
+        changed = t[:len(t) - q] + following[:q]
+        assert got[k].near_edited > got[k].near_next, k
+        assert abs(got[k].near_edited - alike(long_pieces(t), long_pieces(changed))) < 1e-12, k
+    assert got[1].near_edited > 0.5
+
+
 def test_fingerprints_of_edge_rows(docs, empty):
     assert fingerprint.fingerprints(docs).count() == docs.count()
     assert fingerprint.fingerprints(empty).count() == 0
