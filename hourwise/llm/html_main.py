@@ -1,11 +1,13 @@
 """Main text of web pages by site template removal.
 
 Every block element's subtree (its source with white space collapsed) is hashed;
-Spark counts on how many pages of its host each hash occurs. Subtrees that recur on
-many pages of the host are template and are deleted, as are elements whose tag, role or
+Spark counts on how many different pages of its host each hash occurs; pages whose text is equal before the count are copies
+and count once. Subtrees that recur on many pages of the host are template and are deleted, as are elements whose tag, role or
 class says menu, header, footer, sidebar, notice, advert, form or reader comments.
 If a page marks its article, the text is taken from there, and inside it only
-containers (never plain paragraphs or headings, which documents may share) count as template.
+containers (never plain paragraphs or headings, which documents may share) count as template, and of them
+none that holds more than half of the main text, nor what is in such a one. Without an article size says nothing, as
+a site's words may outweigh a short text: there only the count decides.
 
 Null and empty pages give empty text. Pages without a host are counted as
 one host. Repeated pages are extracted one by one. Broken markup never fails: unclosed
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, sized
 
-#: A subtree is template if at least so many pages, and this share of the host's pages, have it. The share bounds a
+#: A subtree is template if at least so many different pages, and this share of the host's, have it. The share bounds a
 #: host's templates by the blocks of a page divided by it.
 MIN_PAGES = 5
 MIN_SHARE = 0.05
@@ -148,14 +150,43 @@ class Page:
         """Hashes of the elements that may be template: all but the page's frame and its article."""
         return {self.digest(i) for i, t in enumerate(self.tags) if t not in ("html", "head", "body", "article", "main", "hr")}
 
+    def content(self) -> int:
+        """Signed 64-bit hash of the text that is left before template is known; equal on copies of a page."""
+        return xxhash.xxh3_64_intdigest(self.text(frozenset()).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+    def roots(self) -> set[int]:
+        """The elements that hold the main text, if the page marks them."""
+        return {i for i, t in enumerate(self.tags) if t == "article" and not unwanted(t, self.attributes[i])} \
+            or {i for i, t in enumerate(self.tags) if t == "main"}
+
+    def most(self, roots: set[int]) -> set[int]:
+        """Elements that hold more than half of the text of the roots; what is dropped by name does not count."""
+        own, opened, total, skip, inside = [0] * len(self.tags), [0] * len(self.tags), 0, 0, 0
+        for kind, a, b in self.events:
+            if kind == "text":
+                if inside and not skip:
+                    total += len("".join(self.source[a:b].split()))
+            elif kind != "space":
+                step = 1 if kind == "open" else -1
+                if a in roots:
+                    inside += step
+                elif unwanted(self.tags[a], self.attributes[a]) and not (self.tags[a] == "header" and inside):
+                    skip += step
+                if step > 0:
+                    opened[a] = total
+                else:
+                    own[a] = total - opened[a]
+        return {i for i, n in enumerate(own) if 2 * n > total}
+
     def text(self, template: frozenset[int] | set[int]) -> str:
         """Main text: blocks joined by an empty line."""
-        roots = {i for i, t in enumerate(self.tags) if t == "article" and not unwanted(t, self.attributes[i])} \
-            or {i for i, t in enumerate(self.tags) if t == "main"}
+        roots = self.roots()
+        most = self.most(roots) if roots and template else frozenset()
         blocks: list[str] = []
         now: list[str] = []
-        skip, inside, header = 0, 0, 0  # elements open that are dropped; that are roots; that are the article's header
-        marks: dict[int, tuple[int, int, int]] = {}
+        # elements open that are dropped; that are roots; that are the article's header; that recur but hold most of the text
+        skip, inside, header, kept = 0, 0, 0, 0
+        marks: dict[int, tuple[int, int, int, int]] = {}
 
         def flush() -> None:
             if now:
@@ -174,16 +205,17 @@ class Page:
                 tag = self.tags[a]
                 root = a in roots
                 title = tag == "header" and inside
+                recurs = bool(template) and not root and not title and not skip and not kept \
+                    and not (inside and tag in PLAIN) and tag not in ("html", "body") and self.digest(a) in template
+                keep = recurs and inside > 0 and a in most
                 bad = not root and not title and (
-                    tag == "header" or unwanted(tag, self.attributes[a]) or header and tag == "p"
-                    or bool(template) and not skip and not (inside and tag in PLAIN) and tag not in ("html", "body")
-                    and self.digest(a) in template)
-                marks[a] = (bad, root, title)
-                skip, inside, header = skip + bad, inside + root, header + title
+                    tag == "header" or unwanted(tag, self.attributes[a]) or header and tag == "p" or recurs and not keep)
+                marks[a] = (bad, root, title, keep)
+                skip, inside, header, kept = skip + bad, inside + root, header + title, kept + keep
             else:
                 flush()
-                bad, root, title = marks[a]
-                skip, inside, header = skip - bad, inside - root, header - title
+                bad, root, title, keep = marks[a]
+                skip, inside, header, kept = skip - bad, inside - root, header - title, kept - keep
         flush()
         return "\n\n".join(blocks)
 
@@ -193,17 +225,21 @@ def host_of(url: Column) -> Column:
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, subtree): subtrees that recur across the host's pages. ``pages`` has host and html."""
+    """(host, subtree): subtrees that recur across the host's different pages. ``pages`` has host and html."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, hashes = [], []
+            hosts, contents, hashes = [], [], []
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = Page(html or "").subtrees()
+                one = Page(html or "")
+                own = one.subtrees()
                 hosts += [host] * len(own)
+                contents += [one.content()] * len(own)
                 hashes += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], ["host", "subtree"])
-    seen = pages.mapInArrow(count, "host string, subtree long").groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    sizes = pages.groupBy("host").agg(F.count("*").alias("pages"))
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(contents, pa.int64()), pa.array(hashes, pa.int64())],
+                                             ["host", "content", "subtree"])
+    once = pages.mapInArrow(count, "host string, content long, subtree long").distinct()
+    seen = once.groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    sizes = once.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     return (seen.where(F.col("n") >= min_pages).join(sizes, "host")
             .where(F.col("n") >= F.col("pages") * min_share).select("host", "subtree"))
 

@@ -295,6 +295,25 @@ def test_main_text(spark):
     assert html_main.main_text(pages.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_not_template(spark):
+    def html(body, extra=""):
+        return f"<html><body><div class='x1'><p>site wide words</p></div>{body}<div class='footer'>{extra}</div></body></html>"
+    marked = "<article><h1>Title</h1><div><section><p>the first part</p></section><section><p>and the second part</p></section></div></article>"
+    plain = "<div><h2>Heading</h2><p>told without an article</p><p>in two paragraphs</p></div>"
+    data = [(k, "http://a.example/", html(marked, k)) for k in range(10)]
+    data += [(20 + k, "http://b.example/", html(plain, k)) for k in range(10)]
+    data += [(40 + k, "http://b.example/", html(f"<div><p>other text {k}</p></div>")) for k in range(6)]
+    # a block that holds most of an article stays even on different pages; a small one goes
+    most = "<div><section><p>a long shared body of many words</p></section></div><div><p>ask us</p></div>"
+    data += [(60 + k, "http://c.example/", html(f"<article><h1>T{k}</h1>{most}</article>")) for k in range(10)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_main.main_text(pages).collect()}
+    assert {got[k] for k in range(10)} == {"Title\n\nthe first part\n\nand the second part"}
+    assert {got[20 + k] for k in range(10)} == {"Heading\n\ntold without an article\n\nin two paragraphs"}
+    assert [got[40 + k] for k in range(6)] == [f"other text {k}" for k in range(6)]
+    assert [got[60 + k] for k in range(10)] == [f"T{k}\n\na long shared body of many words" for k in range(10)]
+
+
 # -- fingerprints ----------------------------------------------------------------------------------
 
 def paragraphs(t):
