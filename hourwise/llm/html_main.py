@@ -26,10 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize, sized
 
-#: A subtree is template if at least so many different pages, and this share of the host's, have it. The share bounds a
-#: host's templates by the blocks of a page divided by it.
+#: A subtree is template if at least so many different pages of its host have it, however many pages the host has.
 MIN_PAGES = 5
-MIN_SHARE = 0.05
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -224,34 +222,36 @@ def host_of(url: Column) -> Column:
     return F.regexp_extract(F.lower(F.coalesce(url, F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, subtree): subtrees that recur across the host's different pages. ``pages`` has host and html."""
+def blocks(pages: DataFrame) -> DataFrame:
+    """(p1, p2, host, content, subtrees): key of each row, hash of its host and of its text, and its blocks. ``pages`` has p1 and p2."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, contents, hashes = [], [], []
-            for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                one = Page(html or "")
-                own = one.subtrees()
-                hosts += [host] * len(own)
-                contents += [one.content()] * len(own)
-                hashes += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(contents, pa.int64()), pa.array(hashes, pa.int64())],
-                                             ["host", "content", "subtree"])
-    once = pages.mapInArrow(count, "host string, content long, subtree long").distinct()
-    seen = once.groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    sizes = once.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    return (seen.where(F.col("n") >= min_pages).join(sizes, "host")
-            .where(F.col("n") >= F.col("pages") * min_share).select("host", "subtree"))
-
-
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+            found = [Page(html or "") for html in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), batch.column(2), pa.array([x.content() for x in found], pa.int64()),
+                 pa.array([list(x.subtrees()) for x in found], pa.list_(pa.int64()))], ["p1", "p2", "host", "content", "subtrees"])
+    return pages.select("p1", "p2", F.xxhash64("host").alias("host"), "html").mapInArrow(count, "p1 long, p2 long, host long, content long, subtrees array<long>")
+
+
+def templates(seen: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, subtree): subtrees that recur across the host's different pages. ``seen`` is that of ``blocks``."""
+    once = seen.select("host", "content", F.explode("subtrees").alias("subtree")).distinct()
+    return once.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("host", "subtree")
+
+
+def main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
-    named = pages.select("page_id", "url", host_of(pages["url"]).alias("host"), "html")
-    found = materialize(
-        templates(named.select("host", "html"), min_pages, min_share)
-        .groupBy(F.col("host").alias("__host")).agg(F.collect_list("subtree").alias("subtrees")), "templates")
-    with_templates = (named.join(sized(found, 100_000), F.col("host") == F.col("__host"), "left")
-                      .select("page_id", "url", "html", "subtrees"))
+    # 128-bit key of a row; copies of a page differ in id, so that they are dealt over all tasks
+    named = pages.select("page_id", "url", host_of(pages["url"]).alias("host"), "html", F.xxhash64("page_id", "url", "html").alias("p1"),
+                         F.xxhash64(F.lit(1), "html", "url", "page_id").alias("p2"))
+    seen = materialize(blocks(named), "page-blocks")
+    found = materialize(templates(seen, min_pages).select(F.col("host").alias("__host"), F.col("subtree").alias("__subtree")), "templates")
+    # each page's own recurring blocks, so that no task holds a host's
+    single = seen.select("p1", "p2", "host", F.explode("subtrees").alias("subtree"))
+    own = (single.join(sized(found), (F.col("host") == F.col("__host")) & (F.col("subtree") == F.col("__subtree")))
+           .groupBy("p1", "p2").agg(F.collect_set("subtree").alias("subtrees")))
+    with_templates = named.join(own, ["p1", "p2"], "left").select("page_id", "url", "html", "subtrees")
     kind = with_templates.schema["page_id"].dataType.simpleString()
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

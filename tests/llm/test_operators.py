@@ -314,6 +314,16 @@ def test_copies_of_a_page_are_not_template(spark):
     assert [got[60 + k] for k in range(10)] == [f"T{k}\n\na long shared body of many words" for k in range(10)]
 
 
+def test_a_block_is_template_on_large_hosts_too(spark):
+    notice = "<div class='z9'><p>unnamed notice</p></div>"
+    data = [(k, "http://big.example/", f"<html><body><article><p>text {k} of a longer article</p>{notice if k < 9 else ''}</article>"
+             f"</body></html>") for k in range(400)]
+    data += [(1000 + k, "http://bare.example/", f"<html><body>{notice if k < 9 else ''}<div><p>text {k}</p></div></body></html>") for k in range(400)]
+    got = {r.page_id: r.text for r in html_main.main_text(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert len(got) == 800 and [got[1000 + k] for k in range(400)] == [f"text {k}" for k in range(400)]
+    assert [got[k] for k in range(400)] == [f"text {k} of a longer article" for k in range(400)]
+
+
 # -- fingerprints ----------------------------------------------------------------------------------
 
 def paragraphs(t):
