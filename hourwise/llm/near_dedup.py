@@ -4,18 +4,19 @@
    Poisson processes: an element of weight w has exponential gaps of mean 1/w, each arrival
    falls into a random one of the signature's registers, a register keeps its first
    arrival's element. An element stops as soon as its next arrival is later than every register
-   (early termination). Two registers agree with the probability Jaccard of the documents.
-2. Documents with equal words are one node. Bands of ``ROWS`` registers make bucket keys. In each bucket every member is
+   (early termination). Two registers agree with the probability Jaccard of the documents. A document that
+   repeats shingles is signed with weight 1 too; there two registers agree with the plain Jaccard of the sets. Without repeats both are one.
+2. Documents with equal words are one node. Bands of ``ROWS`` registers of both signatures make bucket keys. In each bucket every member is
    compared with the bucket's first one (a star, not all pairs).
 3. Each candidate is verified on the full shingles: probability Jaccard, or plain Jaccard of the sets, of at
    least ``THRESHOLD`` links.
-4. Members of one bucket that are still in different components are compared by sketches of their signatures; those that
-   come within six standard errors of the threshold are grouped, and inside the groups, in blocks, likest
+4. Members of one bucket that are still in different components are compared by sketches of both signatures; those of which
+   one comes within six standard errors of the threshold are grouped, and inside the groups, in blocks, likest
    first, pairs of different components are verified. No link that a bucket shows is lost, and rows grow
    with the members, not with their pairs.
 5. Classes are the connected components of the links.
 
-With 42 bands of 6, a pair at 0.8 shares no bucket with probability 3e-6.
+With 42 bands of 6, a pair at 0.8 by either measure shares no bucket with probability 3e-6.
 Words are runs of non-white-space, lower case. A document of one to four words has
 one shingle; empty and null texts have none and equal one another. Rows that repeat are copies; a null id
 stays null and its class is that of its text. Memory is linear in the longest document.
@@ -122,6 +123,22 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def sketch_of(sig: np.ndarray) -> np.ndarray:
+    """One byte of each register."""
+    return (mix(sig) & np.uint64(255)).astype(np.uint8)
+
+
+def unweighted(owner: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(document, bucket keys, sketch) by signatures without weights, of the documents that repeat a shingle."""
+    documents = np.unique(owner[weight > 1])
+    if len(documents):
+        place = np.full(n, -1)
+        place[documents] = np.arange(len(documents))
+        some = place[owner] >= 0
+        sig = signatures(place[owner[some]], h[some], np.ones(int(some.sum())), len(documents))
+        yield from zip(documents.tolist(), band_keys(sig), sketch_of(sig))
+
+
 def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
@@ -167,8 +184,8 @@ def text_hash(text_col: str) -> Column:
 
 
 def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text, th, fp1, fp2, n, bands, sketch): hash of the text, fingerprint of the words, number of distinct shingles, bucket
-    keys, one byte of each register."""
+    """(doc_id, text, th, fp1, fp2, n, bands, sketch, plain): hash of the text, fingerprint of the words, number of distinct shingles,
+    bucket keys, one byte of each register; the same of the signature without weights, null where no shingle repeats."""
     source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), text_hash(text_col).alias("th"))
     kind = source.schema["doc_id"].dataType.simpleString()
 
@@ -181,13 +198,17 @@ def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             owner, h, weight = weighted(*shingles(words, hashes), len(words))
             n = np.bincount(owner, minlength=len(words))
             sig = signatures(owner, h, weight, len(words))
-            keys, sketch = band_keys(sig), (mix(sig) & np.uint64(255)).astype(np.uint8)
-            bands = [k if c else k[:0] for k, c in zip(keys, n)]
+            keys, sketch = band_keys(sig), sketch_of(sig)
+            bands, plain = [k if c else k[:0] for k, c in zip(keys, n)], [None] * len(words)
+            for k, again, own in unweighted(owner, h, weight, len(words)):
+                bands[k] = np.concatenate([bands[k], again[again != keys[k]]])
+                plain[k] = own.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(n.astype(np.int64)),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array([x.tobytes() for x in sketch], pa.binary())],
-                ["doc_id", "text", "th", "fp1", "fp2", "n", "bands", "sketch"])
-    return source.mapInArrow(run, f"doc_id {kind}, text string, th long, fp1 long, fp2 long, n long, bands array<long>, sketch binary")
+                 pa.array(bands, pa.list_(pa.int64())), pa.array([x.tobytes() for x in sketch], pa.binary()), pa.array(plain, pa.binary())],
+                ["doc_id", "text", "th", "fp1", "fp2", "n", "bands", "sketch", "plain"])
+    return source.mapInArrow(
+        run, f"doc_id {kind}, text string, th long, fp1 long, fp2 long, n long, bands array<long>, sketch binary, plain binary")
 
 
 def verify(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -241,19 +262,24 @@ def _groups(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[tuple[lis
 
 
 def _candidates(rows: list[dict], same: bool, threshold: float) -> list[tuple[float, int, int]]:
-    """(estimate, row, row) of the pairs in different components whose sketches and sizes allow the similarity, likest first.
-    Six standard errors below the threshold are let through."""
+    """(estimate, row, row) of the pairs in different components whose sketches allow one of the similarities (and for the plain one
+    their sizes), likest first. Six standard errors below the threshold are let through."""
     least = threshold - 6 * (threshold * (1 - threshold) / REGISTERS) ** 0.5
     sketch = np.frombuffer(b"".join(r["sketch"] for r in rows), np.uint8).reshape(len(rows), -1)
+    repeats = any(r["plain"] for r in rows)
+    plain = np.frombuffer(b"".join(r["plain"] or r["sketch"] for r in rows), np.uint8).reshape(len(rows), -1) if repeats else sketch
     comp, n, mine = (np.array([r[c] for r in rows]) for c in ("comp", "n", "mine"))
     found = []
     for a in range(len(rows) - 1):
         b = np.arange(a + 1, len(rows))
-        b = b[(comp[b] != comp[a]) & (np.minimum(n[b], n[a]) >= np.maximum(n[b], n[a]) * (threshold * 0.75))]
+        b = b[comp[b] != comp[a]]
         if not same:
             b = b[mine[b] != mine[a]]
         if len(b):
             alike = (sketch[b] == sketch[a]).mean(axis=1)
+            if repeats:
+                fits = np.minimum(n[b], n[a]) >= np.maximum(n[b], n[a]) * (threshold - 1e-9)
+                alike = np.maximum(alike, np.where(fits, (plain[b] == plain[a]).mean(axis=1), 0))
             found += [(float(e), a, int(k)) for e, k in zip(alike, b) if e >= least]
     return sorted(found, key=lambda x: -x[0])
 
@@ -326,13 +352,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     mixed = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"))
              .where("lo != hi").select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
     open_ = (placed.join(mixed, "key")
-             .join(nodes.select(F.col("rid").alias("__r"), "n", "sketch"), F.col("rid") == F.col("__r")).drop("__r"))
+             .join(nodes.select(F.col("rid").alias("__r"), "n", "sketch", "plain"), F.col("rid") == F.col("__r")).drop("__r"))
     near = materialize(_near_in_buckets(_in_blocks(open_, "key"), threshold), "near-estimated")
     groups = components(near).select(F.col("node").alias("rid"), F.col("label").alias("grp"))
     sizes = groups.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     rows = (groups.join(sizes, "grp").join(first, F.col("rid") == F.col("node"), "left")
             .select("grp", "blocks", F.col("rid").alias("__r"), F.coalesce("label", "rid").alias("comp"))
-            .join(signed.select("rid", "n", "sketch", "text"), F.col("rid") == F.col("__r")).drop("__r"))
+            .join(signed.select("rid", "n", "sketch", "plain", "text"), F.col("rid") == F.col("__r")).drop("__r"))
     rest = materialize(_links_in_groups(_in_blocks(rows, "grp"), threshold), "near-rest")
     links = materialize(links.union(rest), "near-all-links")
     labels = components(links)

@@ -142,6 +142,42 @@ def test_near_classes_match_brute_force(docs, table, empty):
     assert near_dedup.near_classes(empty).count() == 0
 
 
+def test_equal_shingle_sets_with_other_counts_are_linked(spark):
+    """Plain Jaccard 1 or 0.9, probability Jaccard under 0.7: found by the signatures without weights, beside a bucket's head too."""
+    rng, items = random.Random(21), []
+    for f in range(40):
+        words = [f"f{f}w{k}" for k in range(200)]
+        heavy = [w for k in range(0, 200, 20) for w in words[k:k + 10] * 40]
+        items += [(3 * f, " ".join(words + heavy)), (3 * f + 1, " ".join(words + [w for k in range(0, 200, 20) for w in words[k:k + 10] * 2]))]
+        edited = list(words)
+        edited[rng.randrange(60, 70)] = "other"
+        items.append((3 * f + 2, " ".join(edited + heavy)))
+    sims = []
+    for f in range(40):
+        a, b = (near_dedup.weighted(*near_dedup.shingles([items[3 * f + k][1].split()], near_dedup.WordHashes()), 1)[1:] for k in (0, 1))
+        (x, u), (y, v) = ((h[np.argsort(h)], w[np.argsort(h)]) for h, w in (a, b))
+        sims.append(near_dedup.similarity((x, u), (y, v)))
+    assert all(p == 1.0 and q < 0.8 for p, q in sims), sims[:3]
+    df = spark.createDataFrame(items, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(df).collect()}
+    assert [got[k] for k in range(len(items))] == brute_classes(items)
+
+
+def test_sketches_of_both_measures_let_pairs_through():
+    rng = np.random.default_rng(4)
+    h = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    heavy = np.where(np.arange(200) < 60, 1 + np.log(100), 1.0)
+    sig = near_dedup.signatures(np.repeat([0, 1], 200), np.concatenate([h, h]), np.concatenate([heavy, np.ones(200)]), 2)
+    (_, keys, plain), = near_dedup.unweighted(np.repeat([0, 1], 200), np.concatenate([h, h]), np.concatenate([heavy, np.ones(200)]), 2)
+    sketch = near_dedup.sketch_of(sig)
+    assert (sketch[0] == sketch[1]).mean() < 0.7 and (plain == sketch[1]).all() and (keys == near_dedup.band_keys(sig)[1]).all()
+    rows = [{"sketch": sketch[k].tobytes(), "plain": p, "comp": k, "n": 200, "mine": 0} for k, p in enumerate((plain.tobytes(), None))]
+    assert near_dedup._candidates(rows, True, 0.8) == [(1.0, 0, 1)]
+    # heavy shared shingles and many light others: the sizes say nothing about the weighted measure
+    rows = [{"sketch": sketch[0].tobytes(), "plain": plain.tobytes(), "comp": k, "n": n, "mine": 0} for k, n in enumerate((10, 25))]
+    assert near_dedup._candidates(rows, True, 0.8) == [(1.0, 0, 1)]
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.default_rng(1)
     h = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
