@@ -256,7 +256,7 @@ def _kmeans(spark, sf):
 @query("evaluate_k")
 def q_evaluate_k(spark, sf):
     x, _ = _kmeans(spark, sf)
-    return CU.evaluate_k(x, range(2, 9))
+    return CU.evaluate_k(x, range(2, 9), n_init=10)
 
 
 @query("fit_kmeans")
