@@ -34,11 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into a fresh folder under the shared one and read
     it back: lineage is cut and a lost executor rereads files."""
     path = f"{shared_dir(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

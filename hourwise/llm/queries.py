@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprint, html_main, near_dedup, packing, quality, repeats, secrets, sharding
+from . import alignment, bpe, exact_dedup, fingerprint, html_main, near_dedup, packing, pieces, quality, repeats, secrets, sharding
 from .common import documents
 
 SHARDS = 24
@@ -57,8 +57,18 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_near_dedup, op3_byte_bpe, op4_exact_dedup, op5_sharding, op6_quality, op7_html_main, op8_fingerprint, op9_packing, op10_repeats)}
+    f.__name__: f for f in (op1_secret_scan, op2_near_dedup, op3_byte_bpe, op4_exact_dedup, op5_sharding, op6_quality, op7_html_main, op8_fingerprint, op9_packing, op10_repeats,
+                              op12_pieces, op13_alignment)}
 
 #: SQL where it can express an operator; the others are compared with brute force in tests/llm.
 ORACLE_SQL = {
