@@ -30,17 +30,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytelevel import ByteEncoder
-from .common import materialize, worker_state
+from .common import materialize, small, worker_state
 from .pieces import PieceEncoder
 
 #: Code points of a document that one row holds, about; bytes of a fragment; fragments that one step of a round composes.
 SEGMENT, RANGE, FAN = 1 << 16, 1 << 14, 16
-#: Code points that a task aligns at a time.
-SLICE = 1_000_000
+#: Code points that a task aligns at a time, about.
+SLICE = 400_000
+#: Words that a worker keeps encoded for each tokenizer, at most, twice over.
+CACHE = 100_000
 #: Pairs with their counts that every task holds, at most (13 bytes each).
 HELD = 1_000_000
 #: Distinct pairs that a task counts before it hands them on.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 _CUT = re.compile(r"(?<=\w) (?=\w)")
 
 
@@ -48,7 +50,7 @@ class Tokenizers:
     """Both encoders, the bytes of their ids, and the strings of the group notation."""
 
     def __init__(self, byte_path: str, pattern: str, piece_path: str):
-        self.a, self.b = ByteEncoder(byte_path, pattern), PieceEncoder(piece_path)
+        self.a, self.b = ByteEncoder(byte_path, pattern, CACHE), PieceEncoder(piece_path, CACHE)
         a, b = self.a.vocabulary.tokens, self.b.model.bytes
         if max(len(a), len(b)) > 1 << 16:
             raise ValueError("vocabularies of at most 65,536 tokens are expected")
@@ -230,7 +232,7 @@ def aligned(docs: DataFrame, byte_path: str, pattern: str, piece_path: str, id_c
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, monoid = tools()
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch.column(2).to_pylist()]
             for part in _by_size([len(t) + 200 for t in texts], SLICE):
                 cols = list(zip(*_short_rows(own, monoid, texts[part])))
@@ -316,7 +318,7 @@ def pair_counts(rows: DataFrame) -> DataFrame:
         def out(found: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
             for k in range(0, len(found), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(found[k:k + 50_000].astype(np.int64)), pa.array(n[k:k + 50_000])], ["link", "n"])
-        for batch in batches:
+        for batch in small(batches):
             for i, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 links.append(np.frombuffer(i, "<u4"))
                 counts.append(np.frombuffer(c, "<u4").astype(np.int64))
@@ -363,7 +365,7 @@ def align(docs: DataFrame, byte_path: str, pattern: str, piece_path: str, id_col
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links, n, best = table.value
         names = [*RESULT[:7], "n_best", "count_sum", "links", "counts"]
-        for batch in batches:
+        for batch in small(batches):
             sums, other, times = [], [], []
             for i, c in zip(batch.column(7).to_pylist(), batch.column(8).to_pylist()):
                 i, c = np.frombuffer(i, "<u4"), np.frombuffer(c, "<u4").astype(np.int64)

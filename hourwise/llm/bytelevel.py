@@ -10,9 +10,11 @@ import json
 import sys
 from array import array
 
+import numpy as np
+
 from .words import matcher, parts
 
-#: Parts of texts that a worker keeps encoded, at most, twice over, and the longest kept.
+#: Parts of texts that a worker keeps encoded, twice over and those of a batch, and the longest kept.
 CACHE = 300_000
 PART = 64
 
@@ -23,6 +25,18 @@ def little(ids: array) -> array:
     return ids
 
 
+def held_or_fresh(needed: set[str], recent: dict[str, bytes], old: dict[str, bytes]) -> list[str]:
+    """Of the needed words those that neither dictionary holds; those of ``old`` move to ``recent``."""
+    fresh = []
+    for word in needed - recent.keys():
+        ids = old.get(word)
+        if ids is None:
+            fresh.append(word)
+        else:
+            recent[word] = ids
+    return fresh
+
+
 def byte_symbols() -> dict[str, int]:
     """The character that a byte-level vocabulary writes for each byte: itself if it can be seen, else one from U+0100 on."""
     seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -49,33 +63,45 @@ class ByteVocabulary:
             raise ValueError("a byte-level vocabulary whose ids rise with its merges is expected")
         self.encoding = tiktoken.Encoding("file", pat_str=pattern, special_tokens={},
                                           mergeable_ranks={t: i for i, t in enumerate(self.tokens) if t is not None})
+        self.lengths = np.array([len(t or b"") for t in self.tokens], np.int64)
         self.find = matcher(pattern).findall
 
     def encode(self, text: str) -> bytes:
         """Ids as 32-bit little-endian numbers, without special tokens: their strings are ordinary text."""
         return little(array("I", self.encoding.encode_ordinary(text))).tobytes()
 
+    def encode_parts(self, some: list[str]) -> list[bytes]:
+        """Ids of parts of texts, each with a space in front, all in one call: the tokens' lengths tell whose they are."""
+        if not some:
+            return []
+        ids = np.array(self.encoding.encode_ordinary(" " + " ".join(some)), "<u4")
+        ends = np.cumsum([len(p.encode()) + 1 for p in some])
+        at = (4 * np.searchsorted(self.lengths[ids].cumsum(), ends, side="right")).tolist()
+        flat = ids.tobytes()
+        return [flat[a:b] for a, b in zip([0, *at], at)]
+
     def encode_whole(self, text: str) -> bytes:
         """As ``encode`` for a text of any length, match by match."""
         return b"".join(map(self.encode, self.find(text)))
 
 
 class ByteEncoder:
-    def __init__(self, path: str, pattern: str):
-        self.vocabulary = ByteVocabulary(path, pattern)
+    def __init__(self, path: str, pattern: str, cache: int = CACHE):
+        self.vocabulary, self.cache = ByteVocabulary(path, pattern), cache
         self.recent: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of the texts of a batch, as 32-bit little-endian numbers."""
-        encode = self.vocabulary.encode
         cut = [parts(t) for t in texts]
-        now: dict[str, bytes] = {}
-        for part in set().union(*(c[1:] for c in cut if c)):
-            ids = self.recent.get(part) or self.old.get(part)
-            now[part] = encode(" " + part) if ids is None else ids
-        if len(self.recent) + len(now) > CACHE:
+        fresh = held_or_fresh(set().union(*(c[1:] for c in cut if c)), self.recent, self.old)
+        self.recent.update(zip(fresh, self.vocabulary.encode_parts(fresh)))
+        encode = self.vocabulary.encode
+        out = [self.vocabulary.encode_whole(t) if c is None else (encode(c[0]) if c[0] else b"") + b"".join(map(self.recent.__getitem__, c[1:]))
+               for t, c in zip(texts, cut)]
+        for part in fresh:
+            if len(part) > PART:
+                del self.recent[part]
+        if len(self.recent) > self.cache:
             self.old, self.recent = self.recent, {}
-        self.recent.update((p, ids) for p, ids in now.items() if len(p) <= PART)
-        return [self.vocabulary.encode_whole(t) if c is None else encode(c[0]) + b"".join(map(now.__getitem__, c[1:]))
-                for t, c in zip(texts, cut)]
+        return out

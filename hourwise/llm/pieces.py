@@ -27,11 +27,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .bytelevel import held_or_fresh, little
 from .common import small, worker_state
-from .packing import _little
 
 SPACE = "▁"
-#: Words that a worker keeps encoded, at most, twice over, and the longest kept.
+#: Words that a worker keeps encoded, twice over and those of a batch, and the longest kept.
 CACHE = 300_000
 WORD = 64
 #: Words of up to so many symbols are merged in a matrix of so many rows.
@@ -170,7 +170,7 @@ class PieceModel:
 
     @staticmethod
     def packed(ids: list[int]) -> bytes:
-        return _little(array("I", ids)).tobytes()
+        return little(array("I", ids)).tobytes()
 
     def agenda(self, word: str) -> list[int]:
         """Ids of a word of any length, spaces as U+2581. The agenda is a heap over linked symbols; entries whose symbols have changed since
@@ -266,8 +266,8 @@ def words(text: str) -> list[str]:
 class PieceEncoder:
     """Ids of texts, and a bounded number of words (without their first U+2581) kept encoded."""
 
-    def __init__(self, path: str):
-        self.model = PieceModel(path)
+    def __init__(self, path: str, cache: int = CACHE):
+        self.model, self.cache = PieceModel(path), cache
         self.recent: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -275,23 +275,19 @@ class PieceEncoder:
         """Ids of the texts of a batch, without begin and end ids, as 32-bit little-endian numbers. ``checked``: words met for the first time
         are compared with the library."""
         cut = [words(t) if t else [] for t in texts]
-        now: dict[str, bytes] = {}
-        fresh = []
-        for word in set().union(*cut):
-            ids = self.recent.get(word) or self.old.get(word)
-            if ids is None:
-                fresh.append(word)
-            else:
-                now[word] = ids
+        fresh = held_or_fresh(set().union(*cut), self.recent, self.old)
         ids_of = self.model.encode_words([SPACE + w for w in fresh])
         if checked:
             self.check(fresh, ids_of)
         for word in fresh:
-            now[word] = ids_of[SPACE + word]
-        if len(self.recent) + len(now) > CACHE:
+            self.recent[word] = ids_of[SPACE + word]
+        out = [b"".join(map(self.recent.__getitem__, ws)) for ws in cut]
+        for word in fresh:
+            if len(word) > WORD:
+                del self.recent[word]
+        if len(self.recent) > self.cache:
             self.old, self.recent = self.recent, {}
-        self.recent.update((w, ids) for w, ids in now.items() if len(w) <= WORD)
-        return [b"".join(map(now.__getitem__, ws)) for ws in cut]
+        return out
 
     def check(self, fresh: list[str], ids_of: dict[str, bytes]) -> None:
         fresh = [w for w in fresh if w]
