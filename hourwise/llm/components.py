@@ -1,4 +1,4 @@
-"""Connected components of an edge table by minimum labels with pointer jumping, in joins only."""
+"""Connected components of an edge table by contraction, in joins only."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
@@ -7,21 +7,33 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label) for the nodes of ``edges`` (a, b): label is the smallest node of the component.
-    Each round takes the smallest label of the neighbours, then the label's own label; rounds end when
-    nothing changes. Every round is written to the shared folder."""
-    both = materialize(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-                       .union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
-    labels = materialize(both.groupBy(F.col("u").alias("node")).agg(F.min(F.least("u", "v")).alias("label")), "labels")
+def _roots(forest: DataFrame) -> DataFrame:
+    """(node, label) of a forest in which each node points to a smaller one: label is the tree's root. A node's label becomes its
+    label's label until none moves; a round has one row a node."""
+    labels = forest
     while True:
-        near = (both.join(labels.withColumnRenamed("label", "of_v"), both["v"] == F.col("node"))
-                .groupBy("u").agg(F.min("of_v").alias("near")))
-        met = labels.join(near, F.col("node") == F.col("u")).select("node", "label", F.least("label", "near").alias("met"))
-        jump = labels.select(F.col("node").alias("j"), F.col("label").alias("far"))
-        moved = materialize(met.join(jump, F.col("met") == F.col("j"), "left")
-                            .select("node", F.least("met", "far").alias("label"),
-                                    (F.least("met", "far") != F.col("label")).alias("moved")), "labels")
+        up = labels.select(F.col("node").alias("at"), F.col("label").alias("far"))
+        moved = materialize(labels.join(up, F.col("label") == F.col("at"), "left")
+                            .select("node", F.coalesce("far", "label").alias("label"), F.col("far").isNotNull().alias("moved")), "roots")
         labels = moved.select("node", "label")
         if moved.where("moved").isEmpty():
             return labels
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label) for the nodes of ``edges`` (a, b): label is the smallest node of the component.
+    Each round keeps one edge a node, to its smallest neighbour below it, collapses those trees to their roots, and goes on with the
+    edges between different trees alone. Every round is written to the shared folder."""
+    left = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    labels = left.select(F.col("a").alias("node")).union(left.select("b")).distinct().withColumn("label", F.col("node"))
+    left = left.where("a != b")
+    while True:
+        roots = _roots(materialize(left.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")), "forest"))
+        to = roots.select(F.col("node").alias("at"), F.col("label").alias("root"))
+        labels = materialize(labels.join(to, F.col("label") == F.col("at"), "left")
+                             .select("node", F.coalesce("root", "label").alias("label")), "labels")
+        for end, other in (("a", "b"), ("b", "a")):
+            left = left.join(to, F.col(end) == F.col("at"), "left").select(F.coalesce("root", end).alias(end), other)
+        left = materialize(left.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        if left.isEmpty():
+            return labels

@@ -7,7 +7,8 @@
    (early termination). Two registers agree with the probability Jaccard of the documents. A document that
    repeats shingles is signed with weight 1 too; there two registers agree with the plain Jaccard of the sets. Without repeats both are one.
 2. Documents with equal words are one node. Bands of ``ROWS`` registers of both signatures make bucket keys. In each bucket every member is
-   compared with the bucket's first one (a star, not all pairs).
+   compared with the bucket's first one (a star, not all pairs); of a row's stars the one with the smallest first member goes ahead, the
+   others follow where that leaves the two apart.
 3. Each candidate is verified on the full shingles: probability Jaccard, or plain Jaccard of the sets, of at
    least ``THRESHOLD`` links.
 4. Members of one bucket that are still in different components are compared by sketches of both signatures; those of which
@@ -76,7 +77,7 @@ def shingles(words: list[list[str]], hashes: WordHashes) -> tuple[np.ndarray, np
         # a document shorter than a shingle has one of all its words
         inside = left > k
         part = np.zeros(len(flat), np.uint64)
-        part[:len(flat) - k] = flat[k:]
+        part[:max(0, len(flat) - k)] = flat[k:]
         h = np.where(inside, mix(h * _STEP + part), h)
     keep = (left >= SHINGLE) | (first & (total < SHINGLE))
     return owner[keep], h[keep]
@@ -342,8 +343,15 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = nodes.select("rid", "n", F.explode("bands").alias("key"))
     heads = members.groupBy("key").agg(F.min("rid").alias("head"), F.count("*").alias("c")).where("c > 1")
     shared = materialize(members.join(heads.select("key", "head"), "key"), "near-buckets")
-    star = shared.where("rid != head").select(F.col("head").alias("a"), F.col("rid").alias("b")).distinct()
-    links = verify(star, signed, threshold)
+    star = materialize(shared.where("rid != head").select(F.col("head").alias("a"), F.col("rid").alias("b")).distinct(), "near-stars")
+    # one candidate a row first; the others only where that leaves two rows apart
+    links = verify(star.groupBy("b").agg(F.min("a").alias("a")), signed, threshold)
+    apart = star
+    placed = components(links).select(F.col("node").alias("at"), "label")
+    for end in ("a", "b"):
+        apart = (apart.join(placed, F.col(end) == F.col("at"), "left")
+                 .withColumn(f"of_{end}", F.coalesce("label", end)).drop("at", "label"))
+    links = materialize(links.union(verify(apart.where("of_a != of_b"), signed, threshold)), "near-star-links")
     first = components(links)
 
     # what the stars leave apart: members of one bucket in different components

@@ -197,6 +197,28 @@ def test_components_of_a_chain(spark):
     assert counted(r.label for r in components.components(edges).collect()) == {0: 41, 100: 3}
 
 
+def test_components_of_random_graphs(spark):
+    for size, n in ((30, 12), (200, 150), (60, 200)):
+        pairs = [(RNG.randrange(size), RNG.randrange(size)) for _ in range(n)]
+        label = {x: x for p in pairs for x in p}
+        for _ in label:
+            for a, b in pairs:
+                label[a] = label[b] = min(label[a], label[b])
+        found = components.components(spark.createDataFrame(pairs, "a long, b long"))
+        assert {r.node: r.label for r in found.collect()} == label
+
+
+def test_batches_of_few_words(spark):
+    texts = ["", "a", "a b", "a b c", "a b c d", "a b c d e"]
+    for some in ([t] for t in texts):
+        owner, h = near_dedup.shingles([t.split() for t in some], near_dedup.WordHashes())
+        assert len(h) == len(owner) == (some[0] != "")
+    table = [(k, t) for k, t in enumerate(texts * 2)]
+    df = spark.createDataFrame(table, "doc_id long, text string").repartition(12, "doc_id")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(df).collect()}
+    assert got == {k: k % len(texts) for k, _ in table}
+
+
 # -- byte-level BPE --------------------------------------------------------------------------------
 
 def test_bpe_equals_the_library_and_round_trips(docs, table, empty):
