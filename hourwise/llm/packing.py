@@ -12,9 +12,7 @@ empty table gives no pieces. Only id and text are read.
 from __future__ import annotations
 
 import bisect
-import sys
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,58 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, worker_state
-from .words import matcher, parts
+from .bytelevel import ByteEncoder
+from .common import materialize, small, worker_state
 
 WINDOW = 2048
 OPEN = 64
 GROUP = 64
-#: Parts of texts that a worker keeps encoded, at most, twice over (some 80 MB).
-CACHE = 200_000
-
-
-def _little(ids: array) -> array:
-    if sys.byteorder == "big":
-        ids.byteswap()
-    return ids
-
-
-class WordEncoder:
-    """Ids of a text by a tokenizer file whose pre-tokenizer splits by ``pattern``: parts of texts repeat, so they are kept."""
-
-    def __init__(self, path: str, pattern: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.find = matcher(pattern).findall
-        encode = self.encode_part
-
-        class Parts(dict):
-            old: dict[str, bytes] = {}
-
-            def __missing__(self, part: str) -> bytes:
-                ids = self.old.get(part)
-                if ids is None:
-                    ids = encode(" " + part)
-                if len(self) >= CACHE:
-                    self.old = dict(self)
-                    self.clear()
-                self[part] = ids
-                return ids
-        self.known = Parts()
-
-    def encode_part(self, part: str) -> bytes:
-        return _little(array("I", self.tokenizer.encode(part, add_special_tokens=False).ids)).tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        """Ids as 32-bit little-endian numbers."""
-        if not text:
-            return b""
-        cut = parts(text)
-        if cut is None:
-            return b"".join(map(self.encode_part, self.find(text)))
-        return self.encode_part(cut[0]) + b"".join(map(self.known.__getitem__, cut[1:])) if cut[0] else \
-            b"".join(map(self.known.__getitem__, cut[1:]))
 
 
 class Packer:
@@ -149,7 +101,7 @@ def pack(docs: DataFrame, tokenizer: str, pattern: str, end_id: int = 1, id_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        encoder, ready = worker_state(f"encoder {tokenizer} {pattern}", lambda: WordEncoder(tokenizer, pattern)), []
+        encoder, ready = worker_state(f"encoder {tokenizer} {pattern}", lambda: ByteEncoder(tokenizer, pattern)), []
 
         def emit(number: int, pieces: list[tuple], still_open: bool) -> None:
             ready.extend((*p[:5], task, number, still_open, p[5]) for p in pieces)
@@ -163,10 +115,10 @@ def pack(docs: DataFrame, tokenizer: str, pattern: str, end_id: int = 1, id_col:
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "win", "open", "at"])
         packer = Packer(WINDOW, most_open, emit)
         id_kind = None
-        for batch in batches:
+        for batch in small(batches):
             id_kind = batch.schema.field(0).type
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoder.encode(text) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode([t or "" for t in batch.column(1).to_pylist()])):
+                ids += end
                 total = len(ids) // 4
                 for start in range(0, total, WINDOW):
                     own = ids[4 * start:4 * (start + WINDOW)]
