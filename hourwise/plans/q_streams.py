@@ -6,6 +6,8 @@ passed its end; duplicates are dropped on arrival.
 """
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,13 +29,18 @@ def _readings_stream(spark, sf):
     return events_to_readings(ST.file_stream(spark, sf, "events"))
 
 
-def _run(df: DataFrame, name: str) -> DataFrame:
-    return df.sparkSession.read.parquet(ST.run_available(df, name))
+def _sink(name: str, sf: str) -> str:
+    """A sink for each query and input folder."""
+    return f"{name}-{hashlib.md5(sf.encode()).hexdigest()[:12]}"
+
+
+def _run(df: DataFrame, name: str, sf: str) -> DataFrame:
+    return df.sparkSession.read.parquet(ST.run_available(df, _sink(name, sf)))
 
 
 @query("stream_dedupe_hourly", RAW + "SELECT DISTINCT sensor, date_time FROM raw WHERE date_time IS NOT NULL")
 def q_stream_dedupe(spark, sf):
-    out = _run(ST.dedupe_hourly(_readings_stream(spark, sf)), "dedupe")
+    out = _run(ST.dedupe_hourly(_readings_stream(spark, sf)), "dedupe", sf)
     return out.select("sensor", "date_time")
 
 
@@ -41,7 +48,7 @@ def q_stream_dedupe(spark, sf):
        count(*) AS n_readings, avg(traffic_volume) AS avg_volume FROM raw
 WHERE date_time + INTERVAL 1 HOUR <= {M_SQL} GROUP BY 1, 2""", "avg_volume"))
 def q_stream_hourly(spark, sf):
-    return rounded(_run(ST.hourly_agg(_readings_stream(spark, sf)), "hourly"))
+    return rounded(_run(ST.hourly_agg(_readings_stream(spark, sf)), "hourly", sf))
 
 
 @query("stream_rolling_mean", rnd(RAW + f"""
@@ -50,7 +57,7 @@ SELECT sensor, window_start, window_start + INTERVAL 6 HOUR AS window_end, count
        avg(traffic_volume) AS avg_volume
 FROM x WHERE window_start + INTERVAL 6 HOUR <= {M_SQL} GROUP BY 1, 2""", "avg_volume"))
 def q_stream_rolling(spark, sf):
-    return rounded(_run(ST.rolling_mean(_readings_stream(spark, sf)), "rolling"))
+    return rounded(_run(ST.rolling_mean(_readings_stream(spark, sf)), "rolling", sf))
 
 
 @query("stream_blocks", RAW + f"""
@@ -65,7 +72,7 @@ SELECT e.sensor, e.block_start, e.block_end, count(*) AS n_readings
 FROM e JOIN raw r ON r.sensor = e.sensor AND r.date_time >= e.block_start AND r.date_time < e.block_end
 WHERE e.block_end <= {M_SQL} GROUP BY 1, 2, 3""")
 def q_stream_blocks(spark, sf):
-    return _run(ST.blocks(_readings_stream(spark, sf)), "blocks")
+    return _run(ST.blocks(_readings_stream(spark, sf)), "blocks", sf)
 
 
 @query("stream_validate", RAW + """
@@ -79,7 +86,7 @@ SELECT coalesce(reason, 'accepted') AS reject_reason, count(*) AS n FROM (
               THEN 'unknown weather_main' END AS reason
   FROM raw) GROUP BY 1""")
 def q_stream_validate(spark, sf):
-    out = _run(ST.validate(_readings_stream(spark, sf)), "validate")
+    out = _run(ST.validate(_readings_stream(spark, sf)), "validate", sf)
     return out.groupBy(F.coalesce("reject_reason", F.lit("accepted")).alias("reject_reason")) \
               .agg(F.count(F.lit(1)).alias("n"))
 
@@ -98,7 +105,7 @@ def q_stream_score(spark, sf):
                                            F.col("probability").cast("string").alias("probability"))
     versions = _versions(spark, sf)
     tagged = TR.alias_join(scored, TR.register_versions(versions), TR.alias_table(versions), "champion")
-    return _run(tagged, "score")
+    return _run(tagged, "score", sf)
 
 
 STREAM_DRIFT_SQL = with_tables(EV) + """

@@ -59,6 +59,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder itself, which outlives a session: what ``spark.checkpoint.dir`` names. (``ensure_checkpoint_dir`` gives
+    each session a folder of its own below it.) On a ``local`` master without that setting, this session's folder."""
+    ensure_checkpoint_dir(spark)
+    return (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
+
+
 def pin_utc(spark: SparkSession) -> None:
     """Timestamps in the test data are NTZ; pin the zone so any LTZ value that
     appears (date_trunc, window) renders the same everywhere."""

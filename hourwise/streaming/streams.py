@@ -1,20 +1,27 @@
 """Structured Streaming forms of the batch operators.
 
-Each stream reuses the batch column expressions; sinks are Parquet folders
-with their checkpoints under the cluster's shared checkpoint directory, so a
-restarted query resumes exactly where it stopped. Event-time state is bounded
+Each stream reuses the batch column expressions and writes to a named sink: a
+Parquet folder with its checkpoint and the identity of its query, in a stable place of
+the cluster's shared folder. The next run of that name resumes where the last one stopped, in another
+session too; another query under the same name raises. Event-time state is bounded
 by watermarks: windows / sessions / duplicate keys are emitted (append mode)
 and dropped from state once the watermark passes them.
 """
 from __future__ import annotations
 
+import hashlib
+import re
+import time
 from collections.abc import Callable
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators.clean import standardize_categoricals
-from ..sources.io import shared_path
+from ..session import shared_root
 from ..sources.schema import reading_contract
 
 EVENT_TIME = "_et"
@@ -24,6 +31,10 @@ class LateRowsError(RuntimeError):
     pass
 
 
+class SinkMismatchError(RuntimeError):
+    pass
+
+
 def file_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """Stream the Parquet files of one table (a folder of part files, or one
     file), with the schema taken from the batch read; new part files are picked
@@ -81,25 +92,92 @@ def validate(readings: DataFrame) -> DataFrame:
     return reading_contract(readings)
 
 
-def late_rows(query) -> int:
-    """Rows that a finished query's operators dropped because the watermark had passed them."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+@dataclass
+class Run:
+    """What one run of a stream did: the sink's folder, batches, rows read, rows dropped behind the watermark."""
+    path: str
+    batches: int = 0
+    rows: int = 0
+    late: int = 0
+
+
+class _Progress(StreamingQueryListener):
+    """Sums every progress report of one query (a query itself remembers the last hundred only)."""
+
+    def __init__(self, run: Run):
+        self.run, self.query, self.waiting, self.ended = run, None, [], set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.waiting.append(event.progress)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+    def finish(self, run_id: str, wait: float = 60.0) -> None:
+        """Wait until the query's last report is here, then add its reports up."""
+        until = time.monotonic() + wait
+        while run_id not in self.ended:
+            if time.monotonic() > until:
+                raise TimeoutError("the stream's reports did not arrive")
+            time.sleep(0.02)
+        for p in self.waiting:
+            if str(p.runId) == run_id:
+                self.run.batches += 1
+                self.run.rows += p.numInputRows
+                self.run.late += sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+
+
+def sink_path(spark: SparkSession, name: str) -> str:
+    """The stable folder of a named sink."""
+    return f"{shared_root(spark)}/streams/{name}"
+
+
+def identity(df: DataFrame, mode: str) -> str:
+    """A digest of the query: its columns, output mode and plan, without what differs from run to run (expression ids, generated folder names)."""
+    plan = df._jdf.queryExecution().analyzed().toString()
+    plan = re.sub(r"#\d+L?|@[0-9a-f]+|[0-9a-f]{8,}(-[0-9a-f]{4,})*|Lambda\S*|plan_id=\d+", "", plan)
+    return hashlib.sha256(f"{mode}\n{df.schema.json()}\n{plan}".encode()).hexdigest()
+
+
+def _claim(spark: SparkSession, base: str, name: str, own: str) -> None:
+    """Write the query's identity beside a new sink; a sink of another query raises."""
+    try:
+        found = spark.read.schema("identity string").parquet(f"{base}/_identity").first()
+    except AnalysisException:
+        found = None
+    if found is None:
+        spark.range(1).select(F.lit(own).alias("identity")).write.mode("overwrite").parquet(f"{base}/_identity")
+    elif found["identity"] != own:
+        raise SinkMismatchError(f"the sink {name} belongs to another query")
+
+
+def resume(df: DataFrame, name: str, mode: str = "append",
+           foreach_batch: Callable[[DataFrame, int], None] | None = None, allow_late: bool = False) -> Run:
+    """Run a stream over everything that is there and was not read by an earlier run of the sink ``name``, then stop. A Parquet
+    sink commits each batch once; ``foreach_batch`` gets a number that is the same when a batch is run again, and must replace what it
+    wrote under it. Rows dropped behind the watermark raise, unless ``allow_late`` (the batch that dropped them is committed)."""
+    spark = df.sparkSession
+    base = sink_path(spark, name)
+    _claim(spark, base, name, identity(df, mode))
+    run = Run(f"{base}/data")
+    progress = _Progress(run)
+    spark.streams.addListener(progress)
+    try:
+        w = df.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True)
+        q = (w.foreachBatch(foreach_batch) if foreach_batch is not None else w.format("parquet").option("path", run.path)).start()
+        q.awaitTermination()
+        progress.finish(str(q.runId))
+    finally:
+        spark.streams.removeListener(progress)
+    if run.late and not allow_late:
+        raise LateRowsError(f"stream {name}: {run.late} rows came behind the watermark")
+    return run
 
 
 def run_available(df: DataFrame, name: str, mode: str = "append",
                   foreach_batch: Callable[[DataFrame, int], None] | None = None, allow_late: bool = False) -> str:
-    """Run a stream over everything available now (then stop) into a Parquet
-    folder under the shared checkpoint directory; returns the folder. Rows
-    dropped behind the watermark raise, unless ``allow_late``."""
-    spark = df.sparkSession
-    base = shared_path(spark, f"stream-{name}")
-    w = df.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/_checkpoint")
-    if foreach_batch is not None:
-        q = w.foreachBatch(foreach_batch).trigger(availableNow=True).start()
-    else:
-        q = w.format("parquet").option("path", f"{base}/data").trigger(availableNow=True).start()
-    q.awaitTermination()
-    dropped = late_rows(q)
-    if dropped and not allow_late:
-        raise LateRowsError(f"stream {name}: {dropped} rows came behind the watermark")
-    return f"{base}/data"
+    """``resume``, for its folder."""
+    return resume(df, name, mode, foreach_batch, allow_late).path

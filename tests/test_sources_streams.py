@@ -43,8 +43,87 @@ def readings(spark, hours):
         (F.col("h") * 10).alias("traffic_volume"))
 
 
+@pytest.fixture
+def root(spark, tmp_path, monkeypatch):
+    """A shared folder of the test's own."""
+    monkeypatch.setattr(ST, "shared_root", lambda _: str(tmp_path / "shared"))
+    return tmp_path
+
+
+def append(spark, folder, hours):
+    readings(spark, hours).coalesce(1).write.mode("append").parquet(str(folder / "t.parquet"))
+
+
+def test_a_named_sink_resumes(spark, root):
+    """Run, add a file, run again: only the new rows are read, and the sink has what one run over all rows gives."""
+    append(spark, root, range(40))
+
+    def stream():
+        return ST.hourly_agg(ST.file_stream(spark, str(root), "t"))
+    first = ST.resume(stream(), "agg")
+    assert (first.rows, first.late) == (40, 0)
+    again = ST.resume(stream(), "agg")
+    assert (again.rows, again.path) == (0, first.path)
+    append(spark, root, range(40, 60))
+    second = ST.resume(stream(), "agg")
+    assert (second.rows, second.late) == (20, 0)
+    whole = ST.resume(stream(), "agg-whole")
+    got, want = (sorted(spark.read.parquet(r.path).collect()) for r in (second, whole))
+    assert got == want and len(got) == 57
+    # in a new session over the same folder too
+    other = spark.newSession()
+    append(spark, root, range(60, 70))
+    assert ST.resume(ST.hourly_agg(ST.file_stream(other, str(root), "t")), "agg").rows == 10
+
+
+def test_state_goes_on_in_the_next_run(spark, root):
+    """A duplicate that arrives in a later run, and a block that goes on in it."""
+    append(spark, root, [0, 1, 2])
+    raw = "holiday weather_main weather_description".split()
+
+    def dedupe():
+        df = ST.file_stream(spark, str(root), "t")
+        return ST.dedupe_hourly(df.withColumns({c: F.lit("x") for c in raw}))
+
+    def blocks():
+        return ST.blocks(ST.file_stream(spark, str(root), "t"))
+    ST.resume(dedupe(), "dedupe")
+    assert spark.read.parquet(ST.resume(blocks(), "blocks").path).count() == 0
+    append(spark, root, [2, 3, 20])
+    sink = spark.read.parquet(ST.resume(dedupe(), "dedupe").path)
+    assert sorted(r.date_time.hour for r in sink.collect()) == [0, 1, 2, 3, 20]
+    assert [r.n_readings for r in spark.read.parquet(ST.resume(blocks(), "blocks").path).collect()] == [5]
+
+
+def test_another_query_under_a_name_raises(spark, root):
+    append(spark, root, range(5))
+    df = ST.file_stream(spark, str(root), "t")
+    ST.resume(ST.rolling_mean(df), "mean")
+    ST.resume(ST.rolling_mean(ST.file_stream(spark, str(root), "t")), "mean")
+    with pytest.raises(ST.SinkMismatchError):
+        ST.resume(ST.rolling_mean(df, length="3 hours"), "mean")
+    with pytest.raises(ST.SinkMismatchError):
+        ST.resume(ST.hourly_agg(df), "mean")
+
+
+def test_a_batch_that_is_run_again_replaces_its_rows(spark, root):
+    """A run that fails after the rows of a batch were written repeats that batch under its number."""
+    append(spark, root, range(5))
+    out, fail = str(root / "out"), [True]
+
+    def write(batch, epoch):
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        if fail.pop():
+            raise RuntimeError("lost")
+    with pytest.raises(Exception, match="lost"):
+        ST.resume(ST.file_stream(spark, str(root), "t"), "each", foreach_batch=write)
+    fail.append(False)
+    assert ST.resume(ST.file_stream(spark, str(root), "t"), "each", foreach_batch=write).batches == 1
+    assert sorted((r.traffic_volume, r.epoch) for r in spark.read.parquet(out).collect()) == [(h * 10, 0) for h in range(5)]
+
+
 @pytest.mark.parametrize("files", [1, 4])
-def test_stream_reads_every_file(spark, tmp_path, files):
+def test_stream_reads_every_file(spark, root, tmp_path, files):
     df = readings(spark, range(40))
     target = tmp_path / "t.parquet"
     if files == 1:
@@ -57,20 +136,32 @@ def test_stream_reads_every_file(spark, tmp_path, files):
     assert {r.avg_volume for r in out.collect()} == {h * 10.0 for h in range(37)}
 
 
-def test_late_rows_raise(spark, tmp_path):
-    target = str(tmp_path / "t.parquet")
-    readings(spark, range(30, 40)).coalesce(1).write.parquet(target)
-    base = tmp_path / "ckpt"
-    stream = ST.hourly_agg(ST.file_stream(spark, str(tmp_path), "t"))
-
-    def run():
-        q = (stream.writeStream.format("parquet").option("path", str(base / "data"))
-             .option("checkpointLocation", str(base / "c")).trigger(availableNow=True).start())
-        q.awaitTermination()
-        return q
-    assert ST.late_rows(run()) == 0
-    readings(spark, range(3)).coalesce(1).write.mode("append").parquet(target)
-    assert ST.late_rows(run()) == 3
+def test_late_rows_raise(spark, root):
+    append(spark, root, range(30, 40))
+
+    def stream():
+        return ST.hourly_agg(ST.file_stream(spark, str(root), "t"))
+    assert ST.resume(stream(), "late").late == 0
+    append(spark, root, range(3))
+    with pytest.raises(ST.LateRowsError, match="3 rows"):
+        ST.resume(stream(), "late")
+    append(spark, root, range(4))
+    assert ST.resume(stream(), "late", allow_late=True).late == 4
+
+
+def test_late_rows_of_many_batches_are_summed(spark, root):
+    """More batches than a query remembers reports of."""
+    append(spark, root, [100])
+    for _ in range(12):
+        append(spark, root, [1])
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        path = str(root / "t.parque") + "[t]"
+        df = spark.readStream.schema(spark.read.parquet(str(root / "t.parquet")).schema).option("maxFilesPerTrigger", 1).parquet(path)
+        run = ST.resume(ST.hourly_agg(df), "many", allow_late=True)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert run.rows == 13 and run.batches >= 13 and run.late >= 11
 
 
 def test_a_cluster_without_a_checkpoint_folder_raises(spark, monkeypatch):
