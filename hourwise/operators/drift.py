@@ -10,11 +10,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from .evaluation import classification_metrics, regression_metrics
 from .prefix import ordered_cumsum
+from .timeseries import rank_by_time
 
 # --- fixed values (thresholds of the reference's monitor) -------------------
 KS_ALERT_P = 0.05
@@ -41,9 +45,49 @@ def kolmogorov_p(lam: Column, terms: int = 8) -> Column:
     return F.when(lam <= 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)))
 
 
-def ks_two_sample(df: DataFrame, value: str, window: str = "window", ref: str = "reference") -> DataFrame:
+def exact_ks_p(d: float, n: int, m: int) -> float:
+    """P(D ≥ d) of two samples of n and m values without ties: of all lattice paths from (0, 0) to (n, m), the share that leaves the band
+    |i/n − j/m| < d. Paths are counted row by row inside the band, and each exit is weighted by the paths from there to the
+    end, so that small probabilities keep their digits. n·m steps in vectors of m."""
+    k = round(d * n * m)
+    if k <= 0:
+        return 1.0
+    log_fact = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n + m + 1)))])
+
+    def log_paths(i, j):                      # from (i, j) to (n, m), as a share of all paths
+        return (log_fact[n - i + m - j] - log_fact[n - i] - log_fact[m - j]) - (log_fact[n + m] - log_fact[n] - log_fact[m])
+    inside, first, log_scale, p = np.ones(1), 0, 0.0, 0.0
+    for i in range(n + 1):
+        lo, hi = max(0, (i * m - k) // n + 1), min(m, -((-i * m - k) // n) - 1)
+        if i:
+            gone = np.arange(first, min(lo, first + len(inside)))      # a step that row i no longer has room for
+            p += float(np.exp(np.log(inside[:len(gone)]) + log_scale + log_paths(i, gone)).sum())
+        row = np.zeros(max(0, hi - lo + 1))
+        at = np.arange(max(first, lo), min(first + len(inside), hi + 1))
+        row[at - lo] = inside[at - first]
+        inside, first = np.cumsum(row), lo
+        if not len(inside) or not inside[-1]:
+            break
+        if hi < m:                            # a step beyond the row's end
+            p += float(np.exp(np.log(inside[-1]) + log_scale + log_paths(i, hi + 1)))
+        top = inside[-1]
+        keep = inside > 0
+        inside, first = inside[keep] / top, first + int(keep.argmax())
+        log_scale += float(np.log(top))
+    return min(1.0, p)
+
+
+def _exact_p(d: Column, n: Column, m: Column) -> Column:
+    @F.pandas_udf("double")
+    def each(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([exact_ks_p(*x) for x in zip(d, n, m)], dtype=float)
+    return each(d, n, m)
+
+
+def ks_two_sample(df: DataFrame, value: str, window: str = "window", ref: str = "reference", exact_to: int = 0) -> DataFrame:
     """Per non-reference window: D = max |F_ref − F_cur| over the pooled distinct
-    values, and its asymptotic p-value with λ = D·√(nm/(n+m)).
+    values, and its p-value: exact where neither side has more than ``exact_to`` values (ties count as if there were none), else
+    asymptotic with λ = D·√(nm/(n+m)).
 
     Between two values of the window F_cur is flat and F_ref only rises, so the maximum lies at a window's
     value or just below one: the reference is counted and summed once for
@@ -64,7 +108,13 @@ def ks_two_sample(df: DataFrame, value: str, window: str = "window", ref: str =
     stat = (cum.join(n_cur, "window").crossJoin(F.broadcast(n_ref))      # one row
                .groupBy("window", "n_ref", "n_cur").agg(F.max(gap).alias("ks_stat")))
     lam = F.col("ks_stat") * F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")))
-    return stat.withColumn("p_value", kolmogorov_p(lam))
+    if not exact_to:
+        return stat.withColumn("p_value", kolmogorov_p(lam))
+    small = (F.greatest("n_ref", "n_cur") <= exact_to) & (F.col("n_ref") > 0)
+    # one row a window; the counts of a larger one do not reach the exact form
+    n, m = (F.when(small, F.col(c)).otherwise(F.lit(1)) for c in ("n_ref", "n_cur"))
+    return (stat.withColumn("_exact", _exact_p(F.when(small, F.col("ks_stat")).otherwise(F.lit(0.0)), n.cast("long"), m.cast("long")))
+                .withColumn("p_value", F.when(small, F.col("_exact")).otherwise(kolmogorov_p(lam))).drop("_exact"))
 
 
 def _psi_term(r: Column, total_r: Column, c: Column, total_c: Column) -> Column:
@@ -222,30 +272,61 @@ def drift_summary(windows: DataFrame, status: DataFrame, ts: str = "date_time",
         F.struct(F.min(ts).cast("string").alias("start"), F.max(ts).cast("string").alias("end"),
                  F.count(F.lit(1)).alias("n_rows")).alias("reference_window"))
     rows = windows.filter(F.col(window) != ref).groupBy(F.col(window).alias("window")).agg(F.count(F.lit(1)).alias("n_rows"))
-    per = status.join(rows, "window").agg(F.map_from_entries(F.collect_list(F.struct(
-        "window", F.struct("overall_status", "n_rows")))).alias("windows"))
+    per = status.join(rows, "window").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(
+        "window", F.struct("overall_status", "n_rows"))))).alias("windows"))
     return refspan.crossJoin(per).select(F.to_json(F.struct("reference_window", "windows")).alias("summary_json"))
 
 
-def perturb_batch(reference: DataFrame, n_rows: int, seed: int = 42,
-                  weather_values: Sequence[str] = ("snow", "fog", "mist", "thunderstorm", "clouds"),
-                  weather_p: Sequence[float] = (0.35, 0.25, 0.15, 0.10, 0.15)) -> DataFrame:
-    """Synthetic 'severe winter' window resampled *with replacement* from the
-    reference: Poisson resampling (``sample(withReplacement=True)``, about
-    ``n_rows`` rows, each task draws its own rows — no global row index), then
-    temperature −18 K + N(0, 2), clouds +35 + N(0, 5) clipped to [0, 100] and
-    weather drawn from the given distribution. Re-derive features afterwards
-    with the reference statistics (``engineer_reading``)."""
-    n_ref = reference.count()
-    frac = n_rows / n_ref if n_ref else 0.0
-    sample = reference.sample(withReplacement=True, fraction=frac, seed=seed)
-    u = F.rand(seed + 1)
-    weather, acc = None, 0.0
-    for v, p in zip(weather_values, weather_p):
-        acc += p
-        weather = F.when(u < acc, v) if weather is None else weather.when(u < acc, v)
+# --- fixed values: the severe-winter window of the reference's monitor ---------
+WINTER_WEATHER = ("snow", "fog", "mist", "thunderstorm", "clouds")
+WINTER_SHARE = (0.35, 0.25, 0.15, 0.10, 0.15)
+WINTER_COLDER, WINTER_COLDER_SD = 18.0, 2.0
+WINTER_CLOUDS, WINTER_CLOUDS_SD = 35.0, 5.0
+PRECIPITATING = ("drizzle", "rain", "snow")
+# ---------------------------------------------------------------------------
+
+
+def hashed_uniform(seed: int, name: str, draw: Column) -> Column:
+    """A number in (0, 1) that depends on seed, name and draw alone: 52 bits of an MD5."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{name}:"), draw.cast("string")))
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(float(2 ** 52))
+
+
+def hashed_normal(seed: int, name: str, draw: Column) -> Column:
+    """A standard normal number by Box and Muller from two hashed uniforms."""
+    u, v = (hashed_uniform(seed, f"{name}{k}", draw) for k in (1, 2))
+    return F.sqrt(F.lit(-2.0) * F.log(u)) * F.cos(F.lit(2 * math.pi) * v)
+
+
+def perturb_batch(reference: DataFrame, n_rows: int, seed: int = 42, ts: str = "date_time", tie: Sequence[str] = ("sensor",),
+                  weather_values: Sequence[str] = WINTER_WEATHER, weather_p: Sequence[float] = WINTER_SHARE) -> DataFrame:
+    """Synthetic 'severe winter' window: exactly ``n_rows`` rows of ``reference`` drawn with replacement (``draw`` numbers them), temperature
+    −18 K + N(0, 2), clouds +35 + N(0, 5) clipped to [0, 100], weather drawn from the given shares. The one-hot columns, the flags
+    (precipitation from the drawn weather) and the scaled columns are derived again, with the reference's statistics; all other columns stay.
+
+    A draw is a hash of its number, looked up as a rank by time: draws and ranks meet in an equi-join, and every run, retry and engine
+    draws the same rows. An empty reference gives no rows."""
+    ranked = rank_by_time(reference, ts, tie)
+    stats = reference.agg(F.avg("temp").alias("_t_mean"), F.stddev_samp("temp").alias("_t_std"), F.min("clouds_all").alias("_c_min"),
+                          F.max("clouds_all").alias("_c_max"), F.count(F.lit(1)).alias("_n_ref"))
+    draws = (reference.sparkSession.range(n_rows).select(F.col("id").alias("draw")).crossJoin(F.broadcast(stats))      # one row
+             .withColumn("_draw_rank", F.floor(hashed_uniform(seed, "rank", F.col("draw")) * F.col("_n_ref"))))
+    u = hashed_uniform(seed, "weather", F.col("draw"))
+    weather, share = F.when(u < weather_p[0], weather_values[0]), weather_p[0]
+    for v, p in zip(weather_values[1:-1], weather_p[1:]):
+        share += p
+        weather = weather.when(u < share, v)
     weather = weather.otherwise(weather_values[-1])
-    return sample.withColumns({
-        "temp": F.col("temp") - 18.0 + F.randn(seed + 2) * 2.0,
-        "clouds_all": F.least(F.lit(100.0), F.greatest(F.lit(0.0), F.col("clouds_all") + 35 + F.randn(seed + 3) * 5.0)),
+    rows = draws.join(ranked, F.col("_draw_rank") == F.col("_rank")).withColumns({
+        "temp": F.col("temp") - WINTER_COLDER + hashed_normal(seed, "temp", F.col("draw")) * WINTER_COLDER_SD,
+        "clouds_all": F.least(F.lit(100.0), F.greatest(
+            F.lit(0.0), F.col("clouds_all") + WINTER_CLOUDS + hashed_normal(seed, "clouds", F.col("draw")) * WINTER_CLOUDS_SD)),
         "weather_main": weather})
+    derived = {
+        **{f"weather_{v}": C.one_hot("weather_main", v) for v in C.WEATHER_CATEGORIES},
+        "is_severe_weather": C.is_severe("weather_main"), "is_low_visibility": C.is_low_visibility("weather_main"),
+        "is_precipitating": F.col("weather_main").isin(*PRECIPITATING).cast("int"),
+        "temp_zscore": F.try_divide(F.col("temp") - F.col("_t_mean"), F.col("_t_std")),
+        "clouds_all_minmax": F.try_divide(F.col("clouds_all") - F.col("_c_min"), F.col("_c_max") - F.col("_c_min"))}
+    return rows.withColumns({k: v for k, v in derived.items() if k in reference.columns}) \
+               .drop("_t_mean", "_t_std", "_c_min", "_c_max", "_n_ref", "_draw_rank", "_rank", "_n")

@@ -141,79 +141,122 @@ def q_naive(spark, sf):
 
 # ------------------------------------------------------------------ 2.N ----
 
+# the severe-winter window: as many rows as the test period, drawn from the reference's ranks by hashes of the draw's number
+def _uniform_sql(name: str) -> str:
+    return f"((CAST('0x' || substr(md5('42:{name}:' || draw), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
+
+
+def _normal_sql(name: str) -> str:
+    return f"(sqrt(-2.0 * ln({_uniform_sql(name + '1')})) * cos(2 * pi() * {_uniform_sql(name + '2')}))"
+
+
+WINTER_SQL = f"""
+, ref AS (SELECT avg(temp) AS t_mean, stddev_samp(temp) AS t_std, min(clouds_all) AS c_min, max(clouds_all) AS c_max, count(*) AS n_ref
+          FROM s WHERE "window" = 'reference'),
+drawn AS (SELECT s.*, draw FROM (SELECT range AS draw FROM range((SELECT count(*) FROM s WHERE "window" = 'test_period'))) d, ref
+          JOIN s ON s."window" = 'reference' AND s.rk = CAST(floor({_uniform_sql('rank')} * n_ref) AS BIGINT)),
+shifted AS (SELECT * REPLACE (temp - 18 + 2 * {_normal_sql('temp')} AS temp,
+              least(100.0, greatest(0.0, clouds_all + 35 + 5 * {_normal_sql('clouds')})) AS clouds_all,
+              CASE WHEN {_uniform_sql('weather')} < 0.35 THEN 'snow' WHEN {_uniform_sql('weather')} < 0.35 + 0.25 THEN 'fog'
+                   WHEN {_uniform_sql('weather')} < 0.35 + 0.25 + 0.15 THEN 'mist'
+                   WHEN {_uniform_sql('weather')} < 0.35 + 0.25 + 0.15 + 0.10 THEN 'thunderstorm' ELSE 'clouds' END AS weather_main) FROM drawn),
+winter AS (SELECT * REPLACE ('synthetic_severe_winter' AS "window",
+              CASE WHEN weather_main IN ('thunderstorm', 'squall') THEN 1 ELSE 0 END AS is_severe_weather,
+              CASE WHEN weather_main IN ('fog', 'mist', 'haze', 'smoke') THEN 1 ELSE 0 END AS is_low_visibility,
+              CASE WHEN weather_main IN ('drizzle', 'rain', 'snow') THEN 1 ELSE 0 END AS is_precipitating,
+              (temp - t_mean) / t_std AS temp_zscore, (clouds_all - c_min) / (c_max - c_min) AS clouds_all_minmax)
+           FROM shifted, ref)
+"""
+
+WINDOWS_SQL = SCORED_SQL + WINTER_SQL + """
+, rescored AS (SELECT * REPLACE ((clouds_all / 100 + is_low_visibility + is_severe_weather
+                 + CASE WHEN traffic_volume > 700 THEN 1 ELSE 0 END) / 4.0 AS score) FROM winter),
+w AS (SELECT "window", sensor, date_time, hour, temp, clouds_all, weather_main, label, score, prediction, actual, persist_pred FROM s
+      UNION ALL
+      SELECT "window", sensor, date_time, hour, temp, clouds_all, weather_main, label, score, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END,
+             actual, persist_pred FROM rescored)
+"""
+
+# p-values: the asymptotic distribution, by its series from lambda = 1 on and by its theta form below
 KS_SQL = """
-, vals_{c} AS (SELECT DISTINCT {c} AS v FROM s WHERE {c} IS NOT NULL),
-rc_{c} AS (SELECT {c} AS v, count(*) AS k FROM s WHERE "window" = 'reference' AND {c} IS NOT NULL GROUP BY 1),
-cc_{c} AS (SELECT {c} AS v, count(*) AS k FROM s WHERE "window" = 'test_period' AND {c} IS NOT NULL GROUP BY 1),
-cum_{c} AS (SELECT sum(coalesce(rc.k, 0)) OVER (ORDER BY vals.v) AS cr, sum(coalesce(cc.k, 0)) OVER (ORDER BY vals.v) AS cc
-            FROM vals_{c} vals LEFT JOIN rc_{c} rc ON vals.v = rc.v LEFT JOIN cc_{c} cc ON vals.v = cc.v),
-n_{c} AS (SELECT (SELECT sum(k) FROM rc_{c}) AS nr, (SELECT sum(k) FROM cc_{c}) AS nc),
-ks_{c} AS (SELECT 'test_period' AS "window", max(abs(cr / nr - cc / nc)) AS ks_stat, any_value(nr) AS nr, any_value(nc) AS nc
-           FROM cum_{c}, n_{c}),
-kp_{c} AS (SELECT "window", ks_stat,
-           CASE WHEN ks_stat * sqrt(nr * nc / (nr + nc)) <= 0 THEN 1.0 ELSE greatest(0.0, least(1.0,
-             (SELECT sum(2.0 * pow(-1, j - 1) * exp(-2.0 * j * j * pow(ks_stat * sqrt(nr * nc / (nr + nc)), 2)))
-              FROM range(1, 101) t(j)))) END AS p_value FROM ks_{c})"""
+, rc_{c} AS (SELECT {c} AS v, count(*) AS k FROM w WHERE "window" = 'reference' AND {c} IS NOT NULL GROUP BY 1),
+cc_{c} AS (SELECT "window", {c} AS v, count(*) AS k FROM w WHERE "window" <> 'reference' AND {c} IS NOT NULL GROUP BY 1, 2),
+grid_{c} AS (SELECT "window", v FROM cc_{c} UNION SELECT x."window", rc_{c}.v FROM (SELECT DISTINCT "window" FROM cc_{c}) x, rc_{c}),
+cum_{c} AS (SELECT g."window", sum(coalesce(rc.k, 0)) OVER o AS cr, sum(coalesce(cc.k, 0)) OVER o AS cc,
+              sum(coalesce(rc.k, 0)) OVER (PARTITION BY g."window") AS nr, sum(coalesce(cc.k, 0)) OVER (PARTITION BY g."window") AS nc
+            FROM grid_{c} g LEFT JOIN rc_{c} rc ON g.v = rc.v LEFT JOIN cc_{c} cc ON g.v = cc.v AND g."window" = cc."window"
+            WINDOW o AS (PARTITION BY g."window" ORDER BY g.v)),
+ks_{c} AS (SELECT "window", max(abs(cr / nr - cc / nc)) AS ks_stat, max(abs(cr / nr - cc / nc)) * sqrt(any_value(nr) * any_value(nc)
+              / (any_value(nr) + any_value(nc))) AS lam FROM cum_{c} GROUP BY 1),
+kp_{c} AS (SELECT "window", ks_stat, CASE WHEN lam <= 0 THEN 1.0 ELSE greatest(0.0, least(1.0, CASE WHEN lam < 1
+             THEN 1 - sqrt(2 * pi()) / lam * list_sum(list_transform(range(1, 12), lambda j: exp(-pow(2 * j - 1, 2) * pi() * pi() / (8 * lam * lam))))
+             ELSE list_sum(list_transform(range(1, 12), lambda j: 2.0 * pow(-1, j - 1) * exp(-2.0 * j * j * lam * lam))) END)) END AS p_value FROM ks_{c})"""
 
 
 def _windows(spark, sf):
-    return scored(spark, sf)
+    """reference, test_period, synthetic_severe_winter: scored rows (written once per session)."""
+    return tables._memo(spark, ("windows", sf, EV), lambda: _with_winter(scored(spark, sf)))
+
 
+def winter_rows(s):
+    """The severe-winter window of scored rows: as many as the test period has, drawn from the reference."""
+    reference = s.filter(F.col("window") == "reference")
+    return D.perturb_batch(reference, s.filter(F.col("window") == "test_period").count()).withColumn("window", F.lit("synthetic_severe_winter"))
 
-@query("ks_two_sample", rnd(SCORED_SQL + KS_SQL.format(c="temp") + ' SELECT "window", ks_stat, p_value FROM kp_temp',
+
+def _with_winter(s):
+    winter = winter_rows(s).drop("draw").withColumn("score", rule_score()).withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+    return s.unionByName(winter)
+
+
+@query("ks_two_sample", rnd(WINDOWS_SQL + KS_SQL.format(c="temp") + ' SELECT "window", ks_stat, p_value FROM kp_temp',
                             "ks_stat p_value"))
 def q_ks(spark, sf):
+    """The asymptotic p-value, as in SQL; the monitor of the fitted models takes the exact one of small windows."""
     return rounded(D.ks_two_sample(_windows(spark, sf), "temp").select("window", "ks_stat", "p_value"))
 
 
+PSI_TERMS_SQL = """sum((c * 1.0 / tc + 1e-4 - (r * 1.0 / tr + 1e-4)) * ln((c * 1.0 / tc + 1e-4) / (r * 1.0 / tr + 1e-4))) AS psi
+   FROM (SELECT *, sum(c) OVER (PARTITION BY "window") AS tc, sum(r) OVER (PARTITION BY "window") AS tr FROM {b}) GROUP BY 1"""
+
+# bins of the reference or of the window; a missing value is no bin
 PSI_CAT_SQL = """
-, r_{c} AS (SELECT {c} AS bin, count(*) AS r FROM s WHERE "window" = 'reference' GROUP BY 1),
-c_{c} AS (SELECT {c} AS bin, count(*) AS c FROM s WHERE "window" = 'test_period' GROUP BY 1),
-b_{c} AS (SELECT coalesce(r.bin, c.bin) AS bin, coalesce(r.r, 0) AS r, coalesce(c.c, 0) AS c
-          FROM r_{c} r FULL JOIN c_{c} c ON r.bin IS NOT DISTINCT FROM c.bin),
-psi_{c} AS (SELECT 'test_period' AS "window",
-   sum((c * 1.0 / (SELECT sum(c) FROM b_{c}) + 1e-4 - (r * 1.0 / (SELECT sum(r) FROM b_{c}) + 1e-4))
-       * ln((c * 1.0 / (SELECT sum(c) FROM b_{c}) + 1e-4) / (r * 1.0 / (SELECT sum(r) FROM b_{c}) + 1e-4))) AS psi
-   FROM b_{c})"""
+, b_{c} AS (SELECT x."window", v.bin, count(*) FILTER (w."window" = 'reference') AS r, count(*) FILTER (w."window" = x."window") AS c
+            FROM (SELECT DISTINCT "window" FROM w WHERE "window" <> 'reference') x, (SELECT DISTINCT {c} AS bin FROM w WHERE {c} IS NOT NULL) v
+            JOIN w ON w.{c} = v.bin GROUP BY 1, 2),
+psi_{c} AS (SELECT "window", """ + PSI_TERMS_SQL.replace("{b}", "b_{c} WHERE r > 0 OR c > 0") + ")"
 
 PSI_HOUR_SQL = """
-, spine AS (SELECT CAST(range AS INTEGER) AS bin FROM range(25)),
-r_h AS (SELECT hour AS bin, count(*) AS r FROM s WHERE "window" = 'reference' GROUP BY 1),
-c_h AS (SELECT hour AS bin, count(*) AS c FROM s WHERE "window" = 'test_period' GROUP BY 1),
-b_h AS (SELECT spine.bin, coalesce(r, 0) AS r, coalesce(c, 0) AS c FROM spine LEFT JOIN r_h ON spine.bin = r_h.bin
-        LEFT JOIN c_h ON spine.bin = c_h.bin),
-psi_h AS (SELECT 'test_period' AS "window",
-   sum((c * 1.0 / (SELECT sum(c) FROM b_h) + 1e-4 - (r * 1.0 / (SELECT sum(r) FROM b_h) + 1e-4))
-       * ln((c * 1.0 / (SELECT sum(c) FROM b_h) + 1e-4) / (r * 1.0 / (SELECT sum(r) FROM b_h) + 1e-4))) AS psi
-   FROM b_h)"""
-
-
-@query("psi_categorical", rnd(SCORED_SQL + PSI_CAT_SQL.format(c="weather_main") + ' SELECT "window", psi FROM psi_weather_main',
+, b_h AS (SELECT x."window", v.bin, count(*) FILTER (w."window" = 'reference') AS r, count(*) FILTER (w."window" = x."window") AS c
+          FROM (SELECT DISTINCT "window" FROM w WHERE "window" <> 'reference') x, (SELECT range AS bin FROM range(25)) v
+          LEFT JOIN w ON w.hour = v.bin GROUP BY 1, 2),
+psi_h AS (SELECT "window", """ + PSI_TERMS_SQL.replace("{b}", "b_h") + ")"
+
+
+@query("psi_categorical", rnd(WINDOWS_SQL + PSI_CAT_SQL.format(c="weather_main") + ' SELECT "window", psi FROM psi_weather_main',
                               "psi"))
 def q_psi_cat(spark, sf):
     return rounded(D.psi_categorical(_windows(spark, sf), "weather_main"))
 
 
-@query("psi_hour", rnd(SCORED_SQL + PSI_HOUR_SQL + ' SELECT "window", psi FROM psi_h', "psi"))
+@query("psi_hour", rnd(WINDOWS_SQL + PSI_HOUR_SQL + ' SELECT "window", psi FROM psi_h', "psi"))
 def q_psi_hour(spark, sf):
     return rounded(D.psi_spine(_windows(spark, sf), "hour", 25))
 
 
-@query("psi_numeric", rnd(SCORED_SQL + """
-, mm AS (SELECT min(temp) AS lo, max(temp) AS hi FROM s),
-bn AS (SELECT "window", CAST(coalesce(least(floor((temp - lo) / ((hi - lo) / 10)), 9), 0) AS INTEGER) AS bin FROM s, mm),
-spine AS (SELECT CAST(range AS INTEGER) AS bin FROM range(10)),
-b AS (SELECT spine.bin, count(*) FILTER (WHERE "window" = 'reference') AS r, count(*) FILTER (WHERE "window" = 'test_period') AS c
-      FROM spine LEFT JOIN bn ON spine.bin = bn.bin GROUP BY 1)
-SELECT 'test_period' AS "window",
-   sum((c * 1.0 / (SELECT sum(c) FROM b) + 1e-4 - (r * 1.0 / (SELECT sum(r) FROM b) + 1e-4))
-       * ln((c * 1.0 / (SELECT sum(c) FROM b) + 1e-4) / (r * 1.0 / (SELECT sum(r) FROM b) + 1e-4))) AS psi FROM b""",
-                          "psi"))
+@query("psi_numeric", rnd(WINDOWS_SQL + """
+, mm AS (SELECT x."window", min(temp) AS lo, max(temp) AS hi FROM (SELECT DISTINCT "window" FROM w WHERE "window" <> 'reference') x
+         JOIN w ON w."window" IN ('reference', x."window") GROUP BY 1),
+bn AS (SELECT mm."window", w."window" = 'reference' AS is_ref, CAST(coalesce(least(floor((temp - lo) / ((hi - lo) / 10)), 9), 0) AS INTEGER) AS bin
+       FROM mm JOIN w ON w."window" IN ('reference', mm."window") WHERE temp IS NOT NULL),
+b AS (SELECT mm."window", v.range AS bin, count(*) FILTER (is_ref) AS r, count(*) FILTER (NOT is_ref) AS c
+      FROM mm, range(10) v LEFT JOIN bn ON bn."window" = mm."window" AND bn.bin = v.range GROUP BY 1, 2)
+SELECT "window", """ + PSI_TERMS_SQL.format(b="b"), "psi"))
 def q_psi_num(spark, sf):
     return rounded(D.psi_numeric(_windows(spark, sf), "temp", 10))
 
 
-@query("psi_status", rnd(SCORED_SQL + PSI_CAT_SQL.format(c="weather_main") + """
+@query("psi_status", rnd(WINDOWS_SQL + PSI_CAT_SQL.format(c="weather_main") + """
 SELECT "window", psi, CASE WHEN psi > 0.25 THEN 'ALERT' WHEN psi > 0.10 THEN 'MODERATE' ELSE 'PASS' END AS status
 FROM psi_weather_main""", "psi"))
 def q_psi_status(spark, sf):
@@ -221,14 +264,14 @@ def q_psi_status(spark, sf):
     return rounded(p.withColumn("status", D.psi_status(F.col("psi"))))
 
 
-F1_DRIFT_SQL = f""", cm AS (SELECT "window", {CM_SQL} FROM s GROUP BY "window"),
+F1_DRIFT_SQL = f""", cm AS (SELECT "window", {CM_SQL} FROM w GROUP BY "window"),
 f AS (SELECT "window", coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0) AS f1 FROM cm),
 fd AS (SELECT c."window", 'prediction_error_drift' AS kind, 'classifier_f1_drift' AS "check", c.f1 AS value,
          r.f1 AS reference_value, printf('reference F1=%.3f, drop > 0.05', r.f1) AS threshold,
          printf('drop=%.3f', r.f1 - c.f1) AS extra, CASE WHEN r.f1 - c.f1 > 0.05 THEN 'ALERT' ELSE 'PASS' END AS status
        FROM f c, f r WHERE c."window" <> 'reference' AND r."window" = 'reference')"""
 
-MAE_DRIFT_SQL = """, m AS (SELECT "window", avg(abs(actual - persist_pred)) AS mae FROM s
+MAE_DRIFT_SQL = """, m AS (SELECT "window", avg(abs(actual - persist_pred)) AS mae FROM w
        WHERE actual IS NOT NULL AND persist_pred IS NOT NULL GROUP BY "window"),
 md AS (SELECT c."window", 'prediction_error_drift' AS kind, 'regressor_mae_drift' AS "check", c.mae AS value,
          r.mae AS reference_value, printf('reference MAE=%.1f, increase > 25%%', r.mae) AS threshold,
@@ -237,17 +280,17 @@ md AS (SELECT c."window", 'prediction_error_drift' AS kind, 'regressor_mae_drift
        FROM m c, m r WHERE c."window" <> 'reference' AND r."window" = 'reference')"""
 
 
-@query("f1_drift", rnd(SCORED_SQL + F1_DRIFT_SQL + " SELECT * FROM fd", "value reference_value"))
+@query("f1_drift", rnd(WINDOWS_SQL + F1_DRIFT_SQL + " SELECT * FROM fd", "value reference_value"))
 def q_f1_drift(spark, sf):
     return rounded(D.f1_drift(_windows(spark, sf)))
 
 
-@query("mae_drift", rnd(SCORED_SQL + MAE_DRIFT_SQL + " SELECT * FROM md", "value reference_value"))
+@query("mae_drift", rnd(WINDOWS_SQL + MAE_DRIFT_SQL + " SELECT * FROM md", "value reference_value"))
 def q_mae_drift(spark, sf):
     return rounded(D.mae_drift(_windows(spark, sf), "actual", "persist_pred"))
 
 
-REPORT_SQL = (SCORED_SQL + KS_SQL.format(c="temp") + KS_SQL.format(c="clouds_all") + PSI_HOUR_SQL
+REPORT_SQL = (WINDOWS_SQL + KS_SQL.format(c="temp") + KS_SQL.format(c="clouds_all") + PSI_HOUR_SQL
               + PSI_CAT_SQL.format(c="weather_main") + F1_DRIFT_SQL + MAE_DRIFT_SQL + """
 , report AS (
   SELECT "window", 'feature_drift' AS kind, 'ks_temp' AS "check", ks_stat AS value, 0.0 AS reference_value,
@@ -267,13 +310,18 @@ REPORT_SQL = (SCORED_SQL + KS_SQL.format(c="temp") + KS_SQL.format(c="clouds_all
 """)
 
 
-def report(spark, sf):
-    w = _windows(spark, sf)
-    feats = [D.ks_rows(w, "temp"), D.ks_rows(w, "clouds_all"),
+def report_of(w, value_pred: str, exact_to: int):
+    """The six checks of every window of a scored table."""
+    feats = [D.ks_rows(w, "temp", exact_to=exact_to), D.ks_rows(w, "clouds_all", exact_to=exact_to),
              D.psi_rows(D.psi_spine(w, "hour", 25), "psi_hour_of_day"),
              D.psi_rows(D.psi_categorical(w, "weather_main"), "psi_weather_main")]
-    errs = [D.f1_drift(w), D.mae_drift(w, "actual", "persist_pred")]
-    return w, D.drift_report(feats, errs)
+    return D.drift_report(feats, [D.f1_drift(w), D.mae_drift(w, "actual", value_pred)])
+
+
+def report(spark, sf):
+    """The scored windows and their report (written once per session)."""
+    w = _windows(spark, sf)
+    return w, tables._memo(spark, ("drift_report", sf, EV), lambda: report_of(w, "persist_pred", 0))
 
 
 @query("drift_report", rnd(REPORT_SQL + " SELECT * FROM report", "value reference_value"))
@@ -292,32 +340,25 @@ def q_window_status(spark, sf):
 
 @query("drift_summary", REPORT_SQL + """
 , ws AS (SELECT "window", CASE WHEN bool_or(status = 'ALERT') THEN 'ALERT' ELSE 'PASS' END AS st FROM report GROUP BY 1),
-wn AS (SELECT "window", count(*) AS n FROM s WHERE "window" <> 'reference' GROUP BY 1),
+wn AS (SELECT "window", count(*) AS n FROM w WHERE "window" <> 'reference' GROUP BY 1),
 rs AS (SELECT CAST(min(date_time) AS VARCHAR) AS st, CAST(max(date_time) AS VARCHAR) AS en, count(*) AS n
        FROM s WHERE "window" = 'reference')
 SELECT CAST(json_object('reference_window', json_object('start', rs.st, 'end', rs.en, 'n_rows', rs.n),
-       'windows', (SELECT json_group_object(ws."window", json_object('overall_status', ws.st, 'n_rows', wn.n))
+       'windows', (SELECT CAST('{' || string_agg(to_json(ws."window") || ':' || json_object('overall_status', ws.st, 'n_rows', wn.n), ','
+                                                 ORDER BY ws."window") || '}' AS JSON)
                    FROM ws JOIN wn ON ws."window" = wn."window")) AS VARCHAR) AS summary_json FROM rs""")
 def q_drift_summary(spark, sf):
     w, rep = report(spark, sf)
     return D.drift_summary(w, D.window_status(rep))
 
 
-@query("perturb_batch")
+WINTER_COLUMNS = ["sensor", "date_time", "draw", "temp", "clouds_all", "weather_main", "is_severe_weather", "is_low_visibility",
+                  "is_precipitating", "weather_snow", "temp_zscore", "clouds_all_minmax", "traffic_volume", "high_risk"]
+
+
+@query("perturb_batch", rnd(SCORED_SQL + WINTER_SQL + "SELECT "
+                            + ", ".join(WINTER_COLUMNS).replace("weather_snow", "CASE WHEN weather_main = 'snow' THEN 1 ELSE 0 END AS weather_snow")
+                            + " FROM winter", "temp clouds_all temp_zscore clouds_all_minmax"))
 def q_perturb(spark, sf):
-    """Synthetic severe-winter window re-featurised with the reference's stored
-    statistics, then compared with the reference (rows-only: seeded random)."""
-    from ..operators import features as FE
-    w = _windows(spark, sf)
-    ref = w.filter(F.col("window") == "reference")
-    n_test = 0.25 * ref.count()
-    batch = D.perturb_batch(ref.select("sensor", "date_time", "holiday", "temp", "rain_1h", "snow_1h",
-                                       "clouds_all", "weather_main", "traffic_volume", "hour"), int(n_test))
-    params = FE.scaling_params(ref)
-    feats = FE.engineer_reading(batch, params).withColumn("window", F.lit("synthetic_severe_winter"))
-    both = ref.select("window", "temp", "clouds_all", "weather_main", "hour").unionByName(
-        feats.select("window", "temp", "clouds_all", "weather_main", "hour"))
-    rows = [D.ks_rows(both, "temp"), D.ks_rows(both, "clouds_all"),
-            D.psi_rows(D.psi_spine(both, "hour", 25), "psi_hour_of_day"),
-            D.psi_rows(D.psi_categorical(both, "weather_main"), "psi_weather_main")]
-    return D.drift_report(rows)
+    """The rows of the synthetic severe-winter window, as many as the test period has."""
+    return rounded(winter_rows(scored(spark, sf)).select(*WINTER_COLUMNS))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import COMMON_FEATURE_COLUMNS
 from ..operators import clusters as CU
+from ..operators import drift as D
 from ..operators import evaluation as EVL
 from ..operators import explain as EX
 from ..operators import models as MD
@@ -23,7 +24,8 @@ from ..operators import tracking as TR
 from ..sources import io
 from . import tables
 from .oracle_base import with_tables
-from .q_eval import SCORED_SQL, scored
+from .q_eval import SCORED_SQL, report_of, scored
+from .q_eval import _windows as scored_windows
 from .registry import query, rnd, rounded
 
 EV = "events"
@@ -125,13 +127,20 @@ def q_save_model(spark, sf):
     return MD.predict_score(back, test, KEY)
 
 
+def saved_regressor(spark, sf) -> str:
+    """Folder of the saved forest regressor, beside the classifier's versions (written once per session)."""
+    k = (spark.sparkContext.applicationId, "saved_regressor", sf)
+    if k not in tables._MEMO:
+        path = io.shared_path(spark, "model-rf-regressor")
+        _regressors(spark, sf)["_models"]["random_forest"].write().overwrite().save(path)
+        tables._MEMO[k] = path
+    return tables._MEMO[k]
+
+
 @query("load_model")
 def q_load_model(spark, sf):
-    m = _regressors(spark, sf)["_models"]["random_forest"]
-    path = io.shared_path(spark, "model-rf-regressor")
-    m.write().overwrite().save(path)
     _, test = _train_test(spark, sf)
-    return MD.predict_value(PipelineModel.load(path), test, KEY)
+    return MD.predict_value(PipelineModel.load(saved_regressor(spark, sf)), test, KEY)
 
 
 @query("save_scored_test_set")
@@ -470,6 +479,40 @@ def load_by_alias(spark, sf, alias="champion"):
     return PipelineModel.load(fitted_versions(spark, sf)[TR.version_of(TR.alias_table(_versions(spark, sf)), alias)][0])
 
 
+def champion_windows(spark, sf):
+    """The reference, test and severe-winter rows as the registry's champion and the saved regressor score them: window, the checked
+    features, label, prediction, score, actual, value_pred (written once per session)."""
+    def build():
+        rows = scored_windows(spark, sf).drop("prediction", "score")
+        keep = ["window", *KEY, "hour", "temp", "clouds_all", "weather_main", "label", "actual"]
+        classes = load_by_alias(spark, sf, "champion").transform(rows)
+        both = PipelineModel.load(saved_regressor(spark, sf)).transform(
+            classes.withColumns({"_class": F.col("prediction").cast("int"), "score": vector_to_array("probability")[1]})
+            .drop("prediction", "rawPrediction", "probability", "features"))
+        return both.select(*keep, F.col("_class").alias("prediction"), "score", F.col("prediction").alias("value_pred"))
+    return tables._memo(spark, ("champion_windows", sf), build)
+
+
+def champion_report(spark, sf):
+    """The six checks of both windows with the fitted models; the KS p-value is exact where a window and the reference are small."""
+    return tables._memo(spark, ("champion_report", sf), lambda: report_of(champion_windows(spark, sf), "value_pred", 10_000))
+
+
+@query("champion_drift_report")
+def q_champion_drift(spark, sf):
+    return champion_report(spark, sf)
+
+
+@query("champion_window_status")
+def q_champion_status(spark, sf):
+    return D.window_status(champion_report(spark, sf))
+
+
+@query("champion_drift_summary")
+def q_champion_summary(spark, sf):
+    return D.drift_summary(champion_windows(spark, sf), D.window_status(champion_report(spark, sf)))
+
+
 @query("fit_versions")
 def q_fit_versions(spark, sf):
     return _versions(spark, sf)
