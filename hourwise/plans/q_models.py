@@ -248,23 +248,29 @@ def q_cluster_matrix(spark, sf):
     return rounded(x.select(*KEY, *[arr[i].alias(f"z{i}") for i in range(4)]))
 
 
-def _kmeans(spark, sf):
-    k = (spark.sparkContext.applicationId, "kmeans", sf)
+def _cluster_points(spark, sf):
+    """The standardized vectors, for ten restarts and the k sweep."""
+    k = (spark.sparkContext.applicationId, "cluster_points", sf)
     if k not in tables._MEMO:
         from pyspark import StorageLevel
         df = _cluster_input(spark, sf)
-        # the standardized vectors feed 10 restarts and the k sweep: persist them once
-        x = CU.cluster_matrix(df).transform(df).select(*KEY, "features", "hour", "weather_severity",
-                                                       "weather_severity_label", "traffic_volume",
-                                                       "congestion_category_p3", "is_weekend") \
-              .persist(StorageLevel.MEMORY_AND_DISK)
+        tables._MEMO[k] = CU.cluster_matrix(df).transform(df).select(
+            *KEY, "features", "hour", "weather_severity", "weather_severity_label", "traffic_volume", "congestion_category_p3", "is_weekend") \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+    return tables._MEMO[k]
+
+
+def _kmeans(spark, sf):
+    k = (spark.sparkContext.applicationId, "kmeans", sf)
+    if k not in tables._MEMO:
+        x = _cluster_points(spark, sf)
         tables._MEMO[k] = (x, CU.fit_kmeans(x, k=5, n_init=10))
     return tables._MEMO[k]
 
 
 @query("evaluate_k")
 def q_evaluate_k(spark, sf):
-    x, _ = _kmeans(spark, sf)
+    x = _cluster_points(spark, sf)
     return CU.evaluate_k(x, range(2, 9), n_init=10)
 
 
