@@ -66,6 +66,14 @@ def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, longer by underscores as long as ``docs`` has a column of that name."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def sized(df: DataFrame, most: int = 1_000_000) -> DataFrame:
     """``df``, marked for broadcast if it has at most ``most`` rows (call it on narrow, materialized tables);
     beyond that size the join shuffles."""
@@ -75,5 +83,6 @@ def sized(df: DataFrame, most: int = 1_000_000) -> DataFrame:
 def semi_by_id(df: DataFrame, ids: DataFrame, on: str, most: int = 1_000_000) -> DataFrame:
     """Rows of ``df`` whose ``on`` is in ``ids`` (distinct, materialized; null matches null). Few ids are
     broadcast, so that ``df`` is not shuffled."""
-    key = sized(ids.select(F.col(on).alias("__id")), most)
-    return df.join(key, F.col(on).eqNullSafe(F.col("__id")), "left_semi")
+    own = unused(df, "__id")
+    key = sized(ids.select(F.col(on).alias(own)), most)
+    return df.join(key, F.col(on).eqNullSafe(F.col(own)), "left_semi")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, semi_by_id, sized, text_or_empty
+from .common import materialize, semi_by_id, sized, text_or_empty, unused
 
 PREFIX_CHARS = 64
 
@@ -62,12 +62,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, the one with the smallest id; all columns stay. Where
     several rows share that id, one of them stays."""
+    own_id, own_sha, own_keep = (unused(docs, c) for c in ("__id", "__sha", "__keep"))
     groups = materialize(duplicate_groups(docs, id_col, text_col).select(
-        F.col("doc_id").alias("__id"), F.col("sha").alias("__sha"),
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("__keep")), "exact-groups")
+        F.col("doc_id").alias(own_id), F.col("sha").alias(own_sha),
+        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias(own_keep)), "exact-groups")
     digest = F.sha2(normalised(text_or_empty(text_col)), 256)
-    match = docs[id_col].eqNullSafe(F.col("__id")) & (digest == F.col("__sha"))
+    match = docs[id_col].eqNullSafe(F.col(own_id)) & (digest == F.col(own_sha))
     alone = docs.join(sized(groups), match, "left_anti")
-    keepers = (docs.join(sized(groups.where("__keep")), match, "inner")
-               .dropDuplicates(["__sha"]).select(*[docs[c] for c in docs.columns]))
+    keepers = (docs.join(sized(groups.where(own_keep)), match, "inner")
+               .dropDuplicates([own_sha]).select(*[docs[c] for c in docs.columns]))
     return alone.unionByName(keepers)

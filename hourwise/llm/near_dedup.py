@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, sized, text_or_empty
+from .common import materialize, sized, text_or_empty, unused
 from .components import components
 
 SHINGLE = 5
@@ -386,11 +386,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     first = found.where("class_size > 1").groupBy("comp").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("first"))
     grouped = found.where("class_size > 1").select("doc_id", "th", "comp").distinct().join(first, "comp")
+    own_id, own_th, own_class, own_keep = (unused(docs, c) for c in ("__id", "__th", "__class", "__keep"))
     grouped = materialize(grouped.select(
-        F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("comp").alias("__class"),
-        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))).alias("__keep")), "near-grouped")
-    match = docs[id_col].eqNullSafe(F.col("__id")) & (text_hash(text_col) == F.col("__th"))
+        F.col("doc_id").alias(own_id), F.col("th").alias(own_th), F.col("comp").alias(own_class),
+        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))).alias(own_keep)), "near-grouped")
+    match = docs[id_col].eqNullSafe(F.col(own_id)) & (text_hash(text_col) == F.col(own_th))
     alone = docs.join(sized(grouped), match, "left_anti")
-    keepers = (docs.join(sized(grouped.where("__keep")), match, "inner").dropDuplicates(["__class"])
+    keepers = (docs.join(sized(grouped.where(own_keep)), match, "inner").dropDuplicates([own_class])
                .select(*[docs[c] for c in docs.columns]))
     return alone.unionByName(keepers)

@@ -168,18 +168,22 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
               .groupBy(F.col(id_col).alias("__id")).agg(F.max(label).alias("__y"))
               .orderBy(F.xxhash64("__id"), "__id").limit(fit_rows))
     chosen = materialize(chosen, "quality-labels")
-    sample = docs.select(id_col, text_col, chars_col).join(F.broadcast(chosen), F.col(id_col) == F.col("__id"))
+    # one row an id, so that at most ``fit_rows`` rows arrive below: of rows that share an id the one whose text comes first
+    sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(chars_col).cast("long").alias("chars"))
+              .join(F.broadcast(chosen), F.col("id") == F.col("__id"))
+              .groupBy("id").agg(F.min(F.struct("text", "chars", "__y")).alias("row")).select("id", "row.*"))
+    kind = sample.schema["id"].dataType.simpleString()
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = _Hashed()
         for b in batches:
             ids, weights, stats = featurise(b.column(1).to_pylist(), b.column(2).to_pylist(), hashed)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).cast(pa.int64()), b.column(3).cast(pa.int32()), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
+                [b.column(0), b.column(3).cast(pa.int32()), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
                  pa.array([x.astype(np.float32) for x in weights], pa.list_(pa.float32())), pa.array(list(stats), pa.list_(pa.float64()))],
                 ["id", "y", "ids", "weights", "stats"])
-    rows = sample.select(id_col, text_col, chars_col, "__y").mapInArrow(
-        vectors, "id long, y int, ids array<int>, weights array<float>, stats array<double>").toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
+    rows = sample.select("id", "text", "chars", "__y").mapInArrow(
+        vectors, f"id {kind}, y int, ids array<int>, weights array<float>, stats array<double>").toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
     stats = np.array(rows.column("stats").to_pylist(), float).reshape(-1, len(STATISTICS))
     ids = [np.array(x.values.to_numpy(), np.int64) for x in rows.column("ids")]
     weights = [np.array(x.values.to_numpy(), float) for x in rows.column("weights")]

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
+
 # Fixed formats of the contract.
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -124,7 +126,7 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long"
+SCHEMA = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long"
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allow: tuple[str, ...] = ALLOW,
@@ -143,15 +145,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allow:
             cols = list(zip(*rows)) if rows else [[]] * 6
             kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(cols, kinds))],
+                [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, kinds))],
                 names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy"])
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, SCHEMA)
+    source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, {SCHEMA}")
 
 
 def mask(docs: DataFrame, text_col: str = "text", allow: tuple[str, ...] = ALLOW, window: int = WINDOW,
-         thresholds: dict[str, float] | None = None) -> DataFrame:
+         thresholds: dict[str, float] | None = None, chars_col: str = "n_chars") -> DataFrame:
     """``docs`` with each found span of the text replaced by ``[SECRET]``; overlapping spans merge; a null text stays null. All
-    columns stay."""
+    columns stay; ``chars_col``, if there, is the masked text's length where the text changed."""
 
     @F.pandas_udf("string")
     def hide(texts: pd.Series) -> pd.Series:
@@ -172,4 +175,8 @@ def mask(docs: DataFrame, text_col: str = "text", allow: tuple[str, ...] = ALLOW
                 at = b
             return "".join(out) + t[at:]
         return texts.map(one, na_action="ignore")
-    return docs.withColumn(text_col, hide(F.col(text_col)))
+    masked, kind = unused(docs, "__masked"), dict(docs.dtypes).get(chars_col)
+    out = docs.withColumn(masked, hide(F.col(text_col)))
+    if kind:
+        out = out.withColumn(chars_col, F.when(F.col(masked) != F.col(text_col), F.length(masked).cast(kind)).otherwise(F.col(chars_col)))
+    return out.withColumn(text_col, F.col(masked)).drop(masked).select(*docs.columns)

@@ -192,6 +192,32 @@ def test_registers_estimate_probability_jaccard():
     assert abs((sig[0] == sig[1]).mean() - exact) < 0.13
 
 
+def test_clashing_names_and_string_ids(spark):
+    """Columns named as the operators' own, and ids that are strings."""
+    names = "doc_id string, text string, n_chars int, __id string, __sha string, __keep boolean, __th long, __class long, __masked string"
+    texts = {"a": "one two three four five six", "b": "one two  three four five six", "c": None, "d": 'x password = "hunter2secret" y', "e": ""}
+    rows = [(k, t, None if t is None else len(t), "i", "s", False, 1, 2, "m") for k, t in texts.items()]
+    df = spark.createDataFrame(rows, names)
+    assert sorted(r.doc_id for r in exact_dedup.drop_exact_duplicates(df).collect()) == ["a", "c", "d"]
+    assert sorted(r.doc_id for r in near_dedup.drop_near_duplicates(df).collect()) == ["a", "c", "d"]
+    assert {r.doc_id: r.n_assign for r in secrets.scan(df).collect()} == {"a": 0, "b": 0, "c": 0, "d": 1, "e": 0}
+    masked = secrets.mask(df)
+    assert masked.columns == df.columns
+    got = {r.doc_id: r for r in masked.collect()}
+    assert got["d"].text == "x [SECRET]\" y" or got["d"].text.startswith("x [SECRET]")
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got.values())
+
+
+def test_quality_takes_one_row_an_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda ids, weights, stats, y: seen.append((len(ids), y.tolist())))
+    ids = [f"k{i}" for i in range(40)]
+    docs = spark.createDataFrame([(i, f"words of {i} {j}", 12) for i in ids for j in range(3)], "doc_id string, text string, n_chars int")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id string, quality int")
+    quality.train(docs, labels)
+    assert seen[0][0] == sum(zlib.crc32(i.encode()) % 5 != 0 for i in ids)
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (101, 102)], "a long, b long")
     assert counted(r.label for r in components.components(edges).collect()) == {0: 41, 100: 3}
