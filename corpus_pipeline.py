@@ -32,7 +32,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Found secrets are masked in the text; every document stays. ``n_chars`` is left as it was read."""
+    """Found secrets are masked in the text; every document stays, ``n_chars`` follows its masked text."""
     return secrets.mask(docs)
 
 
