@@ -29,13 +29,13 @@ def _readings_stream(spark, sf):
     return events_to_readings(ST.file_stream(spark, sf, "events"))
 
 
-def _sink(name: str, sf: str) -> str:
-    """A sink for each query and input folder."""
-    return f"{name}-{hashlib.md5(sf.encode()).hexdigest()[:12]}"
+def _sink(df: DataFrame, name: str, sf: str) -> str:
+    """A sink for each query, as it is written now, and input folder: a later session goes on with it, a changed query begins anew."""
+    return f"{name}-{hashlib.md5(f'{sf} {ST.identity(df, name)}'.encode()).hexdigest()[:16]}"
 
 
 def _run(df: DataFrame, name: str, sf: str) -> DataFrame:
-    return df.sparkSession.read.parquet(ST.run_available(df, _sink(name, sf)))
+    return df.sparkSession.read.parquet(ST.run_available(df, _sink(df, name, sf)))
 
 
 @query("stream_dedupe_hourly", RAW + "SELECT DISTINCT sensor, date_time FROM raw WHERE date_time IS NOT NULL")
@@ -135,11 +135,12 @@ SELECT 'batch_0', 'feature_drift', 'psi_hour_of_day', psi, 0.0, '> 0.25', '',
 def q_stream_drift(spark, sf):
     """Per micro-batch: PSI of weather and hour vs the reference table,
     appended as report rows to a Parquet table (foreachBatch)."""
-    from ..sources.io import shared_path
     from ..sources.io import materialize
     ref = materialize(tables.labelled(spark, sf, EV).select("weather_main", "hour")
                       .withColumn("window", F.lit("reference")), "stream-drift-reference")
-    report_path = shared_path(spark, "stream-drift-report")
+    stream = _readings_stream(spark, sf)
+    sink = _sink(stream, "drift", sf)
+    report_path = f"{ST.sink_path(spark, sink)}/report"
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
         cur = batch.select(F.lower(F.trim("weather_main")).alias("weather_main"),
@@ -150,5 +151,5 @@ def q_stream_drift(spark, sf):
         # one folder a batch: a batch that is run again replaces its rows
         rows.write.mode("overwrite").parquet(f"{report_path}/epoch={epoch}")
 
-    ST.run_available(_readings_stream(spark, sf), "drift", foreach_batch=per_batch)
+    ST.run_available(stream, sink, foreach_batch=per_batch)
     return rounded(spark.read.parquet(report_path).drop("epoch"))
