@@ -1,24 +1,27 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests, in DataFrame operations only.
 
 A text's distinct paragraph digests are put into a sketch of three tables of ``TABLE`` cells: each digest falls into
-one cell a table, a cell holds a count and the exclusive or of its digests and of their check hashes. Only cells in use are
-written. The sketches of two versions subtract cell by cell; a cell that holds one
+one cell a table, a cell holds a count and the exclusive or of its digests and of their check hashes. A sketch is an array
+of the cells in use, by number. The sketches of two versions subtract cell by cell; a cell that holds one
 digest (count 1 or -1 and a matching check hash) gives it away, it is taken out of its other cells,
 and so on: peeling recovers the digests that differ. Where cells remain after ``ROUNDS`` rounds,
-the pair is tried again with tables four times as large, until every pair is decoded.
+the pair is tried again with tables four times as large, until it is decoded. All of this happens in the row: no shuffle,
+no grouping; time and memory follow the digests of the two texts.
 
 likeness = shared / all distinct digests = (a + b - d) / (a + b + d), with d recovered digests; two texts without paragraphs are alike (1).
 
 A paragraph ends at a line break, and inside a long line at a sentence end chosen by
 its content (the character before the stop), so an edit changes only the paragraphs it touches. Of a paragraph of more than
-``HEAD`` words the first ``HEAD`` are one digest, the rest is cut after words chosen by their hash, one in ``CUT``. In scripts
-written without spaces each character counts as a word.
+``HEAD`` words the first ``HEAD`` are one digest (of the text's first paragraph, ``FIRST`` words, so that short texts have
+several digests too), the rest is cut after words chosen by their hash, one in ``CUT``. In scripts
+written without spaces each character counts as a word. The edited text keeps the paragraphs that end before the edit;
+only what follows them is cut and hashed again.
 Null and empty texts have no paragraphs. Rows are in ascending (doc_id, text hash) order, null ids last; repeated rows follow one
 another; after the last row comes the first. Only id and text are read.
 """
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,29 +36,46 @@ BREAK = r"[\n\r]+|(?<=[a-eA-E0-9][.!?])[ \t]+"
 WORD = (r"(?<=[\s\p{Z}\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}])"
         r"(?=[^\s\p{Z}])")
 HEAD = 24
+FIRST = 6
 CUT = 16
 #: Rows in a bucket of neighbouring documents, about, and buckets, at most.
 BUCKET_ROWS = 512
 MOST_BUCKETS = 1 << 14
 
 
-def pieces(paragraph: Column) -> Column:
-    """A paragraph's parts: itself, if it has at most HEAD words. Cuts depend on what stands before them alone."""
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def pieces(paragraph: Column, head: Column) -> Column:
+    """A paragraph's parts: itself, if it has at most ``head`` words. Cuts depend on what stands before them alone."""
     words = F.split(paragraph, WORD)
     marked = F.transform(words, lambda w, i: F.when(
-        (i == HEAD - 1) | (i >= HEAD) & (F.pmod(F.xxhash64(F.trim(w)), F.lit(CUT)) == 0), F.concat(w, F.lit("\n"))).otherwise(w))
-    return F.when(F.char_length(paragraph) <= HEAD, F.array(paragraph)).otherwise(F.split(F.array_join(marked, ""), "\n"))
+        (i == head - 1) | (i >= head) & (F.pmod(F.xxhash64(F.trim(w)), F.lit(CUT)) == 0), F.concat(w, F.lit("\n"))).otherwise(w))
+    return F.when(F.char_length(paragraph) <= head, F.array(paragraph)).otherwise(F.split(F.array_join(marked, ""), "\n"))
+
 
+def paragraph_digests(text: Column, starts: Column) -> Column:
+    """For each paragraph the 64-bit digests of its parts, in order. ``starts``: the first one is the first of a document."""
+    def of(paragraph: Column, i: Column) -> Column:
+        cut = pieces(F.trim(paragraph), F.when(starts & (i == 0), F.lit(FIRST)).otherwise(F.lit(HEAD)))
+        parts = F.filter(F.transform(cut, lambda x: F.trim(x)), lambda x: x != "")
+        return F.transform(parts, lambda x: F.xxhash64(x))
+    return F.transform(F.split(text, BREAK), of)
 
-def digests(text: Column) -> Column:
-    """Distinct 64-bit digests of the paragraphs' parts."""
-    lines = F.transform(F.split(text, BREAK), lambda p: F.trim(p))
-    parts = F.filter(F.transform(F.flatten(F.transform(lines, pieces)), lambda p: F.trim(p)), lambda p: p != "")
-    return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
+def distinct(by_paragraph: Column) -> Column:
+    return F.array_distinct(F.flatten(by_paragraph))
 
-def cell(digest: Column, table: int, size: int, level: int) -> Column:
-    return (F.pmod(F.xxhash64(digest, F.lit(level * 8 + table)), F.lit(size)) + table * size).cast("long")
+
+def edited_digests(text: Column, by_paragraph: Column, following: Column) -> Column:
+    """Distinct digests of the edited text: those of the paragraphs that end before the edit, and of all that follows them cut anew."""
+    q = quarter(text)
+    lines = F.split(F.substring(text, F.lit(1), F.char_length(text) - q), BREAK)
+    whole = F.size(lines) - 1
+    rest = F.concat(F.element_at(lines, -1), F.substring(following, F.lit(1), q))
+    return distinct(F.concat(F.slice(by_paragraph, F.lit(1), whole), paragraph_digests(rest, whole == 0)))
 
 
 def check_of(digest: Column) -> Column:
@@ -63,7 +83,7 @@ def check_of(digest: Column) -> Column:
 
 
 def with_neighbour(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text, d (digests), next_text, next_d. Neighbours are found within buckets of the id order; the first row of the next
+    """doc_id, text, by_paragraph (digests), next_text, next_d (distinct digests). Neighbours are found within buckets of the id order; the first row of the next
     bucket is added at the end of each."""
     base = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     base = base.withColumn("h", F.xxhash64("text"))
@@ -98,103 +118,99 @@ def with_neighbour(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     nexts = nexts.select("to", F.col("x.doc_id").alias("nid"), F.col("x.h").alias("nh"))
     ghosts = (base.join(F.broadcast(nexts), F.col("doc_id").eqNullSafe(F.col("nid")) & (F.col("h") == F.col("nh")))
               .dropDuplicates(["to"]).select("doc_id", "text", "h", F.col("to").alias("bucket"), F.lit(True).alias("ghost")))
-    rows = base.withColumn("ghost", F.lit(False)).unionByName(ghosts).withColumn("d", digests(F.col("text")))
+    rows = base.withColumn("ghost", F.lit(False)).unionByName(ghosts).withColumn(
+        "by_paragraph", paragraph_digests(F.col("text"), F.lit(True)))
     near = Window.partitionBy("bucket").orderBy(F.col("ghost"), *order)
-    return (rows.withColumn("next_text", F.lead("text").over(near)).withColumn("next_d", F.lead("d").over(near))
-            .where("not ghost").select("doc_id", "text", "d", "next_text", "next_d"))
+    return (rows.withColumn("next_text", F.lead("text").over(near)).withColumn("next_d", distinct(F.lead("by_paragraph").over(near)))
+            .where("not ghost").select("doc_id", "text", "by_paragraph", "next_text", "next_d"))
+
+
+def quarter(text: Column) -> Column:
+    return F.floor(F.char_length(text) / 4).cast("int")
 
 
 def edited(text: Column, following: Column) -> Column:
     """The last quarter of the code points replaced by the first as many of the following text."""
-    n = F.char_length(text)
-    q = F.floor(n / 4).cast("int")
-    return F.concat(F.substring(text, F.lit(1), n - q), F.substring(following, F.lit(1), q))
-
-
-def sketch(rows: DataFrame, keys: list[str], digest: str, sign: Column, size: int, level: int) -> DataFrame:
-    """Cells (keys, id, n, x, c) of the digests in each row's array, counted with ``sign``. All digests of a key are in one partition of ``rows``."""
-    single = rows.select(*keys, sign.alias("s"), F.explode(digest).alias("g"))
-    placed = single.select(*keys, "s", "g", F.explode(F.array(*[cell(F.col("g"), t, size, level) for t in range(3)])).alias("id"))
-    return (placed.groupBy(*keys, "id").agg(F.sum("s").alias("n"), F.bit_xor("g").alias("x"),
-                                            F.bit_xor(check_of(F.col("g"))).alias("c")))
-
-
-def peel(cells: DataFrame, keys: list[str], size: int, level: int) -> DataFrame:
-    """(keys, d, stuck): digests recovered from the subtracted cells, and cells that remain. Rows are cells (kind 0), recovered
-    digests (kind 1) and digests found this round (kind 2); grouping keeps the partitioning by key."""
-    def row(kind: int, id_: Column, n: Column, x: Column, c: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), id_.cast("long").alias("id"), n.cast("long").alias("n"), x.alias("x"), c.alias("c"))
-    live = F.expr("kind = 1 or n != 0 or x != 0L or c != 0L")
-    flow = cells.select(*keys, F.lit(0).alias("kind"), F.col("id").cast("long"), F.col("n").cast("long"), "x", "c").where(live)
-    same = row(0, F.col("id"), F.col("n"), F.col("x"), F.col("c"))
-    kept = F.struct("kind", "id", "n", "x", "c")
-    for _ in range(ROUNDS):
-        pure = (F.col("kind") == 0) & (F.abs("n") == 1) & (F.col("c") == check_of(F.col("x")))
-        found = flow.select(*keys, F.inline(F.when(pure, F.array(same, row(2, F.col("x"), F.col("n"), F.col("x"), F.col("c"))))
-                                            .otherwise(F.array(kept))))
+    q = quarter(text)
+    return F.concat(F.substring(text, F.lit(1), F.char_length(text) - q), F.substring(following, F.lit(1), q))
+
+
+def cell(id_: Column, n: Column, x: Column, c: Column) -> Column:
+    return F.struct(id_.cast("long").alias("id"), n.cast("long").alias("n"), x.cast("long").alias("x"), c.cast("long").alias("c"))
+
+
+def placed(digest: Column, n: Column, size: Column, level: Column) -> Column:
+    """A digest's three cells, each counted ``n`` times."""
+    return let(check_of(digest), lambda c: F.array(*[
+        cell(F.pmod(F.xxhash64(digest, level * 8 + t), size) + size * t, n, digest, c) for t in range(3)]))
+
+
+def summed(cells: Column) -> Column:
+    """One cell a number, ascending: counts added, digests and check hashes combined; empty cells go."""
+    def add(total: Column, one: Column) -> Column:
+        return cell(one["id"], total["n"] + one["n"], total["x"].bitwiseXOR(one["x"]), total["c"].bitwiseXOR(one["c"]))
+
+    def runs(ordered: Column) -> Column:
+        starts = F.array_compact(F.transform(ordered, lambda x, i: F.when((i == 0) | (F.get(ordered, i - 1)["id"] != x["id"]), i)))
+        return let(starts, lambda at: F.transform(at, lambda start, j: let(
+            F.coalesce(F.get(at, j + 1), F.size(ordered)) - start,
+            lambda n: F.when(n == 1, F.get(ordered, start)).otherwise(F.aggregate(
+                F.slice(ordered, start + 1, n), cell(F.lit(0), F.lit(0), F.lit(0), F.lit(0)), add)))))
+    return F.filter(let(F.sort_array(cells), runs), lambda x: (x["n"] != 0) | (x["x"] != 0) | (x["c"] != 0))
+
+
+def sketch(digests: Column, size: Column, level: Column) -> Column:
+    """The cells in use of an array of distinct digests."""
+    return summed(F.flatten(F.transform(digests, lambda g: placed(g, F.lit(1), size, level))))
+
+
+def subtract(a: Column, b: Column) -> Column:
+    return summed(F.concat(a, F.transform(b, lambda x: cell(x["id"], -x["n"], x["x"], x["c"]))))
+
+
+def peel(cells: Column, size: Column, level: Column) -> Column:
+    """The number of digests recovered from the subtracted cells; -1 if cells remain."""
+    def one_round(state: Column, _: Column) -> Column:
+        pure = F.filter(state["cells"], lambda x: (F.abs(x["n"]) == 1) & (x["c"] == check_of(x["x"])))
         # a digest may show in up to three cells; it is taken out once
-        found = found.groupBy(*keys, "kind", "id").agg(F.max("n").alias("n"), F.max("x").alias("x"), F.max("c").alias("c"))
-        out = [row(0, cell(F.col("x"), t, size, level), -F.col("n"), F.col("x"), F.col("c")) for t in range(3)]
-        moved = found.select(*keys, F.inline(
-            F.when(F.col("kind") == 2, F.array(row(1, F.col("id"), F.col("n"), F.col("x"), F.col("c")), *out)).otherwise(F.array(kept))))
-        flow = moved.groupBy(*keys, "kind", "id").agg(
-            F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("c").alias("c")).where(live)
-    return flow.groupBy(*keys).agg(F.sum(F.col("kind")).alias("d"), F.sum(1 - F.col("kind")).alias("stuck"))
-
-
-def differences(table: DataFrame, size: int = TABLE) -> DataFrame:
-    """(rid, pair, d): number of differing digests of d and e (pair 0) and of d and f (pair 1), by
-    subtracting and peeling, with larger tables for the pairs that fail. ``table`` is bucketed by rid."""
-    pairs = table.select("rid", F.inline(F.array(
-        F.struct(F.lit(0).alias("pair"), F.col("d").alias("a"), F.col("e").alias("b")),
-        F.struct(F.lit(1).alias("pair"), F.col("d").alias("a"), F.col("f").alias("b")))))
-    done = None
-    for level in range(LEVELS):
-        both = pairs.select("rid", "pair", F.inline(F.array(
-            F.struct(F.lit(1).alias("sign"), F.col("a").alias("digests")), F.struct(F.lit(-1).alias("sign"), F.col("b").alias("digests")))))
-        cells = sketch(both, ["rid", "pair"], "digests", F.col("sign"), size, level)
-        result = materialize(peel(cells, ["rid", "pair"], size, level), "fp-peeled")
-        solved = result.where("stuck = 0").select("rid", "pair", "d")
-        done = solved if done is None else done.unionByName(solved)
-        stuck = result.where("stuck > 0").select("rid", "pair")
-        if stuck.isEmpty():
-            return done
-        pairs = pairs.join(stuck, ["rid", "pair"], "left_semi")
-        size *= 4
-    raise RuntimeError(f"pairs that {LEVELS} sketches do not decode")
-
-
-def sketch_text(table: DataFrame, digest: str, out: str) -> DataFrame:
-    """(rid, out): the sketch as text: number of digests, then id.count.digests.checks of each cell in use, ascending."""
-    cells = sketch(table.select("rid", digest), ["rid"], digest, F.lit(1), TABLE, 0)
-    lines = F.array_sort(F.collect_list(F.struct("id", F.concat_ws(".", F.col("id"), F.col("n"), F.hex("x"), F.hex("c")).alias("t"))))
-    return cells.groupBy("rid").agg(F.array_join(F.transform(lines, lambda r: r["t"]), ",").alias(out))
+        found = F.array_distinct(F.transform(pure, lambda x: F.struct(x["x"].alias("x"), x["n"].alias("n"))))
+        return let(found, lambda f: F.when(F.size(f) == 0, state).otherwise(F.struct(
+            summed(F.concat(state["cells"], F.flatten(F.transform(f, lambda g: placed(g["x"], -g["n"], size, level))))).alias("cells"),
+            (state["d"] + F.size(f)).alias("d"))))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(cells.alias("cells"), F.lit(0).alias("d")), one_round,
+                       lambda state: F.when(F.size(state["cells"]) == 0, state["d"]).otherwise(F.lit(-1)))
+
+
+def difference(a: Column, b: Column, a_cells: Column, b_cells: Column) -> Column:
+    """The number of digests in which two texts differ: their sketches subtracted and peeled, larger ones after a failure."""
+    def larger(done: Column, level: Column) -> Column:
+        size = F.lit(TABLE) * F.pow(F.lit(4), level).cast("int")
+        return F.when(done >= 0, done).otherwise(let(size, lambda n: peel(subtract(sketch(a, n, level), sketch(b, n, level)), n, level)))
+    first = peel(subtract(a_cells, b_cells), F.lit(TABLE), F.lit(0))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS - 1)), first, larger,
+                       lambda d: F.when(d >= 0, d).otherwise(F.raise_error(F.lit(f"a pair that {LEVELS} sketches do not decode")).cast("int")))
+
+
+def sketch_text(digests: Column, cells: Column) -> Column:
+    """The sketch as text: number of digests, then id.count.digests.checks of each cell in use, ascending."""
+    return F.concat_ws(":", F.size(digests), F.array_join(F.transform(
+        cells, lambda x: F.concat_ws(".", x["id"], x["n"], F.hex(x["x"]), F.hex(x["c"]))), ","))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     rows = with_neighbour(docs, id_col, text_col)
-    changed = rows.withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    base = materialize(changed.select(
-        F.monotonically_increasing_id().alias("rid"), "doc_id", F.char_length("text").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"), "d", digests(F.col("edited")).alias("e"), F.col("next_d").alias("f")), "fp-base")
-    spark = docs.sparkSession
-    parts = max(1, -(-base.count() // 4000))
-    name = f"fp_{uuid.uuid4().hex}"
-    # bucketed by row, so that the groupings below need no further shuffle
-    base.select("rid", "d", "e", "f").repartition(parts, "rid").write.bucketBy(parts, "rid").format("parquet").saveAsTable(name)
-    table = spark.table(name)
-    diffs = differences(table)
-    near = diffs.groupBy("rid").agg(F.max(F.when(F.col("pair") == 0, F.col("d"))).alias("d0"),
-                                    F.max(F.when(F.col("pair") == 1, F.col("d"))).alias("d1"))
-    joined = (base.join(sketch_text(table, "d", "fd"), "rid", "left").join(sketch_text(table, "e", "fe"), "rid", "left")
-              .join(near, "rid", "left"))
-
-    def alike(other: str, d: str) -> Column:
-        total, d = F.size("d") + F.size(other), F.coalesce(F.col(d), F.lit(0))
+    base = materialize(rows.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2(edited(F.col("text"), F.col("next_text")), 256).alias("edited_sha256"), distinct(F.col("by_paragraph")).alias("d"),
+        edited_digests(F.col("text"), F.col("by_paragraph"), F.col("next_text")).alias("e"), F.col("next_d").alias("f")), "fp-base")
+    cells = base.select("*", *[sketch(F.col(x), F.lit(TABLE), F.lit(0)).alias(f"{x}_cells") for x in "def"])
+    near = cells.select("*", *[difference(F.col("d"), F.col(x), F.col("d_cells"), F.col(f"{x}_cells")).alias(f"d_{x}") for x in "ef"])
+
+    def alike(x: str) -> Column:
+        total, d = F.size("d") + F.size(x), F.col(f"d_{x}")
         return F.when(total == 0, F.lit(1.0)).otherwise((total - d) / (total + d))
-    return joined.select(
-        "doc_id", "n_chars", "edited_sha256",
-        F.concat_ws(":", F.size("d"), F.coalesce("fd", F.lit(""))).alias("fingerprint"),
-        F.concat_ws(":", F.size("e"), F.coalesce("fe", F.lit(""))).alias("edited_fingerprint"),
-        alike("e", "d0").alias("near_edited"), alike("f", "d1").alias("near_next"))
+    return near.select(
+        "doc_id", "n_chars", "edited_sha256", sketch_text(F.col("d"), F.col("d_cells")).alias("fingerprint"),
+        sketch_text(F.col("e"), F.col("e_cells")).alias("edited_fingerprint"),
+        alike("e").alias("near_edited"), alike("f").alias("near_next"))
