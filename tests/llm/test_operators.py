@@ -7,6 +7,7 @@ import random
 import re
 import struct
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers as P
@@ -408,6 +409,82 @@ def test_a_block_is_template_on_large_hosts_too(spark):
     assert [got[k] for k in range(400)] == [f"text {k} of a longer article" for k in range(400)]
 
 
+def alone(html):
+    return html_main.Page(html).text(frozenset())
+
+
+def test_self_closed_unclosed_and_named_elements():
+    for mark in ("<svg viewBox='0 0 1 1'/>", "<iframe src='x'/>", "<button/>", "<svg><title>t</title><path d='a>b'/></svg>", "<script src='a'/>",
+                 "<select><option>o</select>", "<iframe srcdoc='<p>x</p>'>y</iframe>", "<noscript><p>n</p></noscript>", "<textarea><p>t</textarea>"):
+        assert alone(f"<body><article><p>One</p>{mark}<p>Two</p></article></body>") == "One\n\nTwo", mark
+        assert alone(f"<body><article><p>One {mark}more</p></article><p>out</body>") == "One more", mark
+    assert alone("<body><div><p>One</p><button>push</div><p>Two</p></body>") == "One\n\nTwo"
+    assert alone("<p>One</p><script>var t = '<p>'") == "One" and alone("<p>One<title>Two") == "OneTwo"
+    assert alone("<article><p class='form-factor overlay'>a</p><h2 id='search-for-truth'>b</h2><div class='form-factor'>c</div></article>") == "a\n\nb\n\nc"
+    assert alone("<article><p>a</p><div class='x comment-list'>b</div><ul id='share-buttons'><li>c</ul><div class='cookie_banner'>d</div></article>") == "a"
+
+
+def test_deep_and_long_pages():
+    deep = "<div>" * 20000 + "<p>in</p>" + "<button>" * 20000 + "</p></li>" * 20000
+    page = html_main.Page(deep)
+    assert page.text(set()) == "in" and len(page.subtrees()) == 20001
+    assert len(alone("<article>" + "<p>many words here</p>" * 50000 + "</article>")) == 50000 * 17 - 2
+
+
+class Tree(HTMLParser):
+    """Well-formed pages as nested lists."""
+
+    def __init__(self, source):
+        super().__init__()
+        self.stack = [[]]
+        self.feed(source)
+
+    def handle_starttag(self, tag, attributes):
+        node = [tag, tuple(attributes)]
+        self.stack[-1].append(node)
+        self.stack.append(node)
+
+    def handle_endtag(self, tag):
+        self.stack.pop()
+
+    def handle_data(self, data):
+        self.stack[-1].append(data)
+
+
+def divs(node):
+    for x in node:
+        if isinstance(x, list):
+            if x[0] == "div":
+                yield repr(x)
+            yield from divs(x[2:])
+
+
+def paragraphs(node, template):
+    for x in node:
+        if isinstance(x, list) and not (x[0] == "div" and repr(x) in template):
+            yield from ["".join(x[2:])] if x[0] == "p" else paragraphs(x[2:], template)
+
+
+def test_templates_match_an_independent_parser(spark):
+    rng = random.Random(11)
+    shared = [f"<div><p>part {k}</p><div><p>inner {k}</p></div></div>" for k in range(12)]
+    data = []
+    for k in range(160):
+        parts = rng.sample(shared, rng.randint(0, 4)) + [f"<div><p>own {rng.randint(0, 70)}</p></div>", "<p>a sentence of many pages</p>"]
+        rng.shuffle(parts)
+        data.append((k, f"http://{'abc'[k % 3]}.example/", f"<html><body>{''.join(parts)}</body></html>"))
+    trees = {k: Tree(h).stack[0] for k, _, h in data}
+    pages = {}  # host -> text -> subtrees: equal pages count once
+    for k, host, _ in data:
+        pages.setdefault(host, {})["\n\n".join(paragraphs(trees[k], ()))] = set(divs(trees[k]))
+    counts = {host: collections.Counter(x for found in texts.values() for x in found) for host, texts in pages.items()}
+    template = {host: {x for x, n in c.items() if n >= html_main.MIN_PAGES} for host, c in counts.items()}
+    assert any(template.values())
+    want = {k: "\n\n".join(paragraphs(trees[k], template[host])) for k, host, _ in data}
+    df = spark.createDataFrame(data, "page_id long, url string, html string").repartition(5)
+    assert {r.page_id: r.text for r in html_main.main_text(df).collect()} == want
+
+
 # -- fingerprints ----------------------------------------------------------------------------------
 
 def alike(a, b):
