@@ -8,7 +8,7 @@ importance is a single aggregate over the wide attribution table, unpivoted.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +38,9 @@ FEATURE_GROUPS = {
 }
 # -----------------------------------------------------------------------------
 
+#: Leaves of a tree that are worked on at a time.
+LEAVES = 512
+
 
 def linear_attribution(df: DataFrame, weights: Mapping[str, float], intercept: float = 0.0,
                        prefix: str = "phi_") -> DataFrame:
@@ -202,38 +205,51 @@ def tree_shap_batch(x, forest: dict, n_features: int, average: bool = True, chun
     base = sum(t["weight"] * t["base"] for t in trees) / total_w
     for start in range(0, n, chunk):
         xs = x[start:start + chunk]
-        m = xs.shape[0]
         for t in trees:
-            feat, z, valid, v, w = t["feat"], t["z"], t["valid"], t["v"], t["w"]
-            n_leaves, depth = feat.shape
-            xv = xs[:, feat]                                            # m × L × D
-            o = ((xv > t["lo"]) & (xv <= t["hi"]) & valid).astype(float)
-            poly = np.zeros((m, n_leaves, depth + 1))
-            poly[:, :, 0] = 1.0
-            for d in range(depth):
-                zd = np.where(valid[:, d], z[:, d], 1.0)[None, :, None]
-                nxt = zd * poly
-                nxt[:, :, 1:] += o[:, :, d][:, :, None] * poly[:, :, :-1]
-                poly = nxt
-            scale = t["weight"] / total_w
-            out[start:start + chunk] += scale * (np.prod(np.where(valid, o, 1.0), axis=2) @ v)
-            for i in range(depth):
-                zi = z[:, i][None, :]
-                oi = o[:, :, i]
-                q_one = np.zeros((m, n_leaves, depth))
-                q_one[:, :, depth - 1] = poly[:, :, depth]
-                for k in range(depth - 1, 0, -1):
-                    q_one[:, :, k - 1] = poly[:, :, k] - zi * q_one[:, :, k]
-                q_zero = poly[:, :, :depth] / zi[:, :, None]
-                q = np.where(oi[:, :, None] > 0, q_one, q_zero)
-                s = np.einsum("mld,ld->ml", q, w)
-                contrib = np.where(valid[:, i][None, :], (oi - zi) * s * v[None, :], 0.0) * scale
-                onehot = np.zeros((n_leaves, n_features))
-                onehot[np.arange(n_leaves), feat[:, i]] = 1.0
-                phi[start:start + chunk] += contrib @ onehot
+            for block in leaf_blocks(t):
+                add_leaves(block, xs, phi[start:start + chunk], out[start:start + chunk], t["weight"] / total_w)
     return phi, base, out
 
 
+def leaf_blocks(t: dict) -> Iterator[dict]:
+    """A tree's leaves, at most ``LEAVES`` at a time: the sums of a leaf do not depend on the others."""
+    for a in range(0, len(t["v"]), LEAVES):
+        yield {k: t[k][a:a + LEAVES] for k in ("feat", "z", "valid", "v", "w", "lo", "hi")}
+
+
+def add_leaves(t: dict, xs, phi, out, scale: float) -> None:
+    """Add the φ and the output of some leaves to those of the rows ``xs``; arrays of rows × LEAVES × depth at most."""
+    import numpy as np
+    n_features = phi.shape[1]
+    m = xs.shape[0]
+    feat, z, valid, v, w = t["feat"], t["z"], t["valid"], t["v"], t["w"]
+    n_leaves, depth = feat.shape
+    xv = xs[:, feat]                                            # m × L × D
+    o = ((xv > t["lo"]) & (xv <= t["hi"]) & valid).astype(float)
+    poly = np.zeros((m, n_leaves, depth + 1))
+    poly[:, :, 0] = 1.0
+    for d in range(depth):
+        zd = np.where(valid[:, d], z[:, d], 1.0)[None, :, None]
+        nxt = zd * poly
+        nxt[:, :, 1:] += o[:, :, d][:, :, None] * poly[:, :, :-1]
+        poly = nxt
+    out += scale * (np.prod(np.where(valid, o, 1.0), axis=2) @ v)
+    for i in range(depth):
+        zi = z[:, i][None, :]
+        oi = o[:, :, i]
+        q_one = np.zeros((m, n_leaves, depth))
+        q_one[:, :, depth - 1] = poly[:, :, depth]
+        for k in range(depth - 1, 0, -1):
+            q_one[:, :, k - 1] = poly[:, :, k] - zi * q_one[:, :, k]
+        q_zero = poly[:, :, :depth] / zi[:, :, None]
+        q = np.where(oi[:, :, None] > 0, q_one, q_zero)
+        s = np.einsum("mld,ld->ml", q, w)
+        contrib = np.where(valid[:, i][None, :], (oi - zi) * s * v[None, :], 0.0) * scale
+        onehot = np.zeros((n_leaves, n_features))
+        onehot[np.arange(n_leaves), feat[:, i]] = 1.0
+        phi += contrib @ onehot
+
+
 def tree_attribution(df: DataFrame, model, features: Sequence[str], keep: Sequence[str] = (),
                      classification: bool = False, prefix: str = "phi_") -> DataFrame:
     """Exact TreeSHAP values per row as a Spark job: ``mapInPandas`` over the

@@ -20,7 +20,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +28,9 @@ from ..functions.columns import COMMON_FEATURE_COLUMNS
 from .evaluation import classification_metrics, regression_metrics, with_class_weight
 
 SEED = 42
+# --- fixed values: rounds, patience and least improvement of the forecaster ---
+MAX_ROUNDS, PATIENCE, MIN_DELTA = 40, 6, 1e-6
+# -----------------------------------------------------------------------------
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -67,15 +70,39 @@ def rf_regressor_pipeline(features: Sequence[str] = COMMON_FEATURE_COLUMNS, labe
                               minInstancesPerNode=min_leaf, seed=SEED, featureSubsetStrategy="all")])
 
 
-def gbt_forecast_pipeline(features: Sequence[str], label: str = "traffic_volume", max_iter: int = 40,
-                          validation_col: str = "is_val", tol: float = 1e-6) -> Pipeline:
-    """Next-hour forecast from the flattened 24-step window (re-aim of the
-    sequence network): boosting rounds play the role of epochs, the validation
-    column drives early stopping and the best-so-far model is what remains."""
-    return Pipeline(stages=[
-        _assembler(features).setOutputCol("features"),
-        GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=5, stepSize=0.1,
-                     seed=SEED, validationIndicatorCol=validation_col, validationTol=tol)])
+def early_stop(losses: Sequence[float], patience: int = PATIENCE, min_delta: float = MIN_DELTA) -> tuple[int, int]:
+    """(last round that runs, best round), counted from 1: a round improves if its loss is below the best by more than
+    ``min_delta``; after ``patience`` rounds in a row that do not, training ends."""
+    best, best_round = float("inf"), 0
+    for n, loss in enumerate(losses, 1):
+        if loss < best - min_delta:
+            best, best_round = loss, n
+        elif n - best_round >= patience:
+            return n, max(best_round, 1)
+    return len(losses), max(best_round, 1)
+
+
+def fit_forecaster(train: DataFrame, val: DataFrame, features: str = "features", label: str = "target",
+                   max_rounds: int = MAX_ROUNDS, patience: int = PATIENCE) -> tuple[GBTRegressionModel, DataFrame]:
+    """Next-hour forecast from a vector column (re-aim of the sequence network): boosting rounds play the role of epochs. Returns the
+    model of the best round by validation loss, and the history: epoch, train_loss, val_loss, best_epoch of every round that ran.
+    Boosting adds trees one by one, so all rounds are fitted first, the rule of ``early_stop`` is read off the two loss curves (at most
+    ``max_rounds`` numbers each), and the best round's model is the same fit with so many rounds. No train or validation row raises."""
+    for name, rows in (("train", train), ("validation", val)):
+        if not rows.limit(1).take(1):
+            raise ValueError(f"no {name} row: no block of readings is long enough for a window")
+
+    def boosted(rounds: int) -> GBTRegressionModel:
+        return GBTRegressor(featuresCol=features, labelCol=label, maxIter=rounds, maxDepth=5, stepSize=0.1, seed=SEED).fit(train)
+    model = boosted(max_rounds)
+    losses = [model.evaluateEachIteration(rows, "squared") for rows in (train, val)]
+    last, best = early_stop(losses[1], patience)
+    if best < max_rounds:
+        model = boosted(best)
+    history = train.sparkSession.createDataFrame(
+        [(n, float(a), float(b), best) for n, (a, b) in enumerate(zip(*losses), 1) if n <= last],
+        "epoch int, train_loss double, val_loss double, best_epoch int")
+    return model, history
 
 
 def fit_classifier(pipeline: Pipeline, train: DataFrame, label: str = "high_risk") -> PipelineModel:
@@ -121,16 +148,3 @@ def regression_comparison(scored: dict[str, DataFrame], actual: str = "actual")
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("model", "mae", "rmse", "r2")
-
-
-def training_history(model: PipelineModel, train: DataFrame, val: DataFrame) -> DataFrame:
-    """Per boosting round: train and validation loss (squared error) and the best round."""
-    gbt = model.stages[-1]
-    feats = model.stages[0]
-    tr = gbt.evaluateEachIteration(feats.transform(train), "squared")
-    va = gbt.evaluateEachIteration(feats.transform(val), "squared")
-    spark = train.sparkSession
-    rows = [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tr, va))]
-    h = spark.createDataFrame(rows, "epoch int, train_loss double, val_loss double")
-    best = h.agg(F.min_by("epoch", F.struct("val_loss", "epoch")).alias("best_epoch"))
-    return h.crossJoin(best)

@@ -10,7 +10,7 @@ linear attributions).
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.columns import COMMON_FEATURE_COLUMNS
@@ -158,75 +158,58 @@ SEQ_FEATURES = ["traffic_volume", "hour_sin", "hour_cos", "dow_sin", "dow_cos",
 
 
 def _forecast_frame(spark, sf):
-    """Targets with a full 24-step history: the 24 × 11 window flattened
-    (volume scaled with train-only statistics, as the sequence model saw it),
-    split 70/10/20 by target time."""
+    """Targets with a full 24-step history, split 70/10/20 by target time: ``steps``, the 24 × 11 window as one array (volume scaled with
+    train-only statistics, as the sequence model saw it), and ``target``, the volume scaled the same way."""
     def build():
         b = tables.blocks(spark, sf, EV)
-        seq = TSO.sequence_windows(b, SEQ_FEATURES)
-        sp = TSO.three_way_split(seq)
+        sp = TSO.three_way_split(TSO.sequence_windows(b, SEQ_FEATURES))
         flagged = b.join(sp.select(*KEY, "split"), KEY, "left")
-        sc = TSO.train_only_scaling(flagged).select("scaler_mean", "scaler_std")
-        steps = {}
-        for i in range(TSO.WINDOW):
-            step = F.col("window")[i]
-            steps[f"v_{i:02d}_traffic_volume_scaled"] = \
-                (step["traffic_volume"] - F.col("scaler_mean")) / F.col("scaler_std")
-            for c in SEQ_FEATURES[1:]:
-                steps[f"v_{i:02d}_{c}"] = step[c].cast("double")
-        return (sp.crossJoin(F.broadcast(sc)).withColumns(steps)
-                  .withColumn("is_val", F.col("split") == "val")
-                  .drop("window"))
+        sc = TSO.train_only_scaling(flagged).select("scaler_mean", "scaler_std")              # one row
+
+        def scaled(x):
+            return (x.cast("double") - F.col("scaler_mean")) / F.col("scaler_std")
+        step = F.transform("window", lambda w: F.array(
+            scaled(w["traffic_volume"]), *[F.coalesce(w[c].cast("double"), F.lit(float("nan"))) for c in SEQ_FEATURES[1:]]))
+        return sp.crossJoin(F.broadcast(sc)).select(
+            *KEY, "split", "traffic_volume", "scaler_mean", "scaler_std", F.flatten(step).alias("steps"),
+            scaled(F.col("traffic_volume")).alias("target"))
     return tables._memo(spark, ("forecast_frame", sf), build)
 
 
-def _forecast_features(df):
-    return [c for c in df.columns if c.startswith("v_")]
+def _forecast_rows(spark, sf, split):
+    return _forecast_frame(spark, sf).filter(F.col("split") == split).withColumn("features", array_to_vector("steps"))
 
 
 def _forecaster(spark, sf):
+    """The model of the best round and the history of the rounds that ran."""
     k = (spark.sparkContext.applicationId, "forecaster", sf)
     if k not in tables._MEMO:
-        f = _forecast_frame(spark, sf)
-        fit_rows = f.filter(F.col("split").isin("train", "val"))
-        model = MD.gbt_forecast_pipeline(_forecast_features(f)).fit(fit_rows)
-        tables._MEMO[k] = model
+        tables._MEMO[k] = MD.fit_forecaster(_forecast_rows(spark, sf, "train"), _forecast_rows(spark, sf, "val"))
     return tables._MEMO[k]
 
 
-def _empty(spark, ddl: str):
-    return spark.createDataFrame([], ddl)
-
-
-def _has_rows(df) -> bool:
-    return bool(df.limit(1).take(1))
-
-
 @query("sequence_forecast")
 def q_sequence_forecast(spark, sf):
-    """GBT on the flattened window vs naive persistence, on the test targets."""
-    f = _forecast_frame(spark, sf)
-    if not _has_rows(f.filter(F.col("split") == "train")):     # no block long enough for a window
-        return _empty(spark, "model string, mae double, rmse double, r2 double")
-    test = f.filter(F.col("split") == "test")
-    model = _forecaster(spark, sf)
-    pred = model.transform(test).select(*KEY, F.col("traffic_volume").cast("double").alias("actual"), "prediction")
-    persist = test.select(*KEY, F.col("traffic_volume").cast("double").alias("actual"),
-                          (F.col("v_23_traffic_volume_scaled") * F.col("scaler_std") + F.col("scaler_mean"))
-                          .alias("prediction"))
+    """GBT of the best round on the flattened window, naive persistence and the forecast forest, on the test targets. Raises if no
+    block of readings holds a window."""
+    model, _ = _forecaster(spark, sf)
+    test = _forecast_rows(spark, sf, "test")
+    actual = F.col("traffic_volume").cast("double").alias("actual")
+
+    def unscaled(x):
+        return x * F.col("scaler_std") + F.col("scaler_mean")
+    pred = model.transform(test).select(*KEY, actual, unscaled(F.col("prediction")).alias("prediction"))
+    last_volume = F.col("steps")[(TSO.WINDOW - 1) * len(SEQ_FEATURES)]
+    persist = test.select(*KEY, actual, unscaled(last_volume).alias("prediction"))
     rf_model, tree_test = _tree_forest(spark, sf)
-    rf = rf_model.transform(tree_test).select(*KEY, F.col("traffic_volume").cast("double").alias("actual"),
-                                              "prediction")
+    rf = rf_model.transform(tree_test).select(*KEY, actual, "prediction")
     return MD.regression_comparison({"gbt_window": pred, "naive_persistence": persist, "random_forest": rf})
 
 
 @query("training_history")
 def q_training_history(spark, sf):
-    f = _forecast_frame(spark, sf)
-    if not _has_rows(f.filter(F.col("split") == "train")):
-        return _empty(spark, "epoch int, train_loss double, val_loss double, best_epoch int")
-    return MD.training_history(_forecaster(spark, sf), f.filter(F.col("split") == "train"),
-                               f.filter(F.col("split") == "val"))
+    """A row per round that ran (patience 6), and the best one. Raises if no block of readings holds a window."""
+    return _forecaster(spark, sf)[1]
 
 
 # ------------------------------------------------------------ clustering ---
@@ -597,27 +580,11 @@ def q_group_importance(spark, sf):
     return rounded(EX.group_importance(_rule_attr(spark, sf), RULE_GROUPS))
 
 
-@query("top_drivers_text")
-def q_top_drivers(spark, sf):
-    """Attributions of the fitted linear forecaster over the lag / as-of features."""
-    b = tables.blocks(spark, sf, EV)
-    feats = [c for cols in (g[1] for g in EX.FEATURE_GROUPS.values()) for c in cols]
-    df = TSO.in_block_features(b).dropna(subset=["lag_1", "lag_24", "roll_mean_6", "roll_mean_24"])
-    if not _has_rows(df):                                       # no block long enough for a target
-        return _empty(spark, "rank int, feature_group string, sentence string")
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    va = VectorAssembler(inputCols=feats, outputCol="features")
-    lr = LinearRegression(featuresCol="features", labelCol="traffic_volume").fit(va.transform(df))
-    weights = dict(zip(feats, [float(w) for w in lr.coefficients]))
-    attr = EX.linear_attribution(df, weights, float(lr.intercept))
-    return EX.top_drivers_text(EX.group_importance(attr, EX.FEATURE_GROUPS), 6)
-
-
-
+# --- fixed values: features of the forecast forest -----------------------------
 TREE_ASOF = ["hour_sin", "hour_cos", "dow_sin", "dow_cos", "is_weekend", "holiday_flag",
              "temp_zscore", "is_precipitating", "is_severe_weather", "is_low_visibility"]
 TREE_FEATURES = ["lag_1", "lag_24", "roll_mean_6", "roll_mean_24"] + [f"asof_{c}" for c in TREE_ASOF]
+# -----------------------------------------------------------------------------
 
 
 def _tree_frame(spark, sf):
@@ -635,20 +602,36 @@ def _tree_forest(spark, sf):
     if k not in tables._MEMO:
         f = _tree_frame(spark, sf)
         train = f.filter(F.col("split") == "train")
+        if not train.limit(1).take(1):
+            raise ValueError("no train row: no block of readings is long enough for a target")
         tables._MEMO[k] = (MD.rf_regressor_pipeline(TREE_FEATURES).fit(train), f.filter(F.col("split") == "test"))
     return tables._MEMO[k]
 
 
+def tree_attributions(spark, sf):
+    """Exact TreeSHAP of the forecast forest on the test targets, beside the features (written once per session)."""
+    def build():
+        model, test = _tree_forest(spark, sf)
+        # the rows of many files stay where they are; a single file is dealt over the cores
+        tasks = max(spark.sparkContext.defaultParallelism, len(test.inputFiles()))
+        return EX.tree_attribution(test.repartition(tasks, *KEY), model.stages[-1], TREE_FEATURES, keep=[*KEY, *TREE_FEATURES])
+    return tables._memo(spark, ("tree_attributions", sf), build)
+
+
 @query("tree_attribution")
 def q_tree_attribution(spark, sf):
     """Exact TreeSHAP of the forecast forest on the test targets; Σφ + base =
-    the forest output."""
-    f = _tree_frame(spark, sf)
-    if not _has_rows(f.filter(F.col("split") == "train")):     # no block long enough for a target
-        return _empty(spark, "sensor string, date_time timestamp_ntz, "
-                      + ", ".join(f"phi_{c} double" for c in TREE_FEATURES) + ", base_value double, tree_output double")
-    model, test = _tree_forest(spark, sf)
-    rf = model.stages[-1]
-    attr = EX.tree_attribution(test.repartition(spark.sparkContext.defaultParallelism, *KEY), rf, TREE_FEATURES,
-                               keep=KEY)
-    return attr
+    the forest output. Raises if no block of readings holds a target."""
+    return tree_attributions(spark, sf).drop(*TREE_FEATURES)
+
+
+#: The groups of the forecast features under the names that the forest's columns have.
+TREE_GROUPS = {gid: (label, [f"asof_{c}" if c in TREE_ASOF else c for c in cols], cyclical)
+               for gid, (label, cols, cyclical) in EX.FEATURE_GROUPS.items()}
+
+
+@query("top_drivers_text")
+def q_top_drivers(spark, sf):
+    """The forecast forest's six strongest feature groups on the test targets, in sentences: mean |Σφ| of a group (paired sine and
+    cosine summed) and the correlation of the feature with its φ. Raises if no block of readings holds a target."""
+    return EX.top_drivers_text(EX.group_importance(tree_attributions(spark, sf), TREE_GROUPS), 6)

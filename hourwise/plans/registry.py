@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUERIES: dict[str, Callable] = {}
-GRID_BITS = 20
+SIGNIFICANT_BITS = 24
 ORACLE: dict[str, str] = {}
 
 
@@ -24,29 +24,30 @@ def query(key: str, sql: str | None = None):
     return deco
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Snap every floating column to the binary grid 2^-20 (~1e-6) with
-    floor(x·2^20 + 0.5)/2^20 — the same IEEE operations in Spark and in the SQL
+def rounded(df: DataFrame) -> DataFrame:
+    """Round every floating column to ``SIGNIFICANT_BITS`` binary digits (about seven decimal ones), however small or large the value:
+    floor(x·p + 0.5) / p with p the power of two that gives x so many bits; the same IEEE operations in Spark and in the SQL
     oracle (``rnd``). Unlike decimal ROUND (whose tie rules differ between the
     engines), values computed from decimal data almost never sit on a binary
-    half-grid point, so sums taken in a different order snap to the same double."""
+    half-grid point, so sums taken in a different order round to the same double."""
     exprs = []
     for f in df.schema.fields:
+        name = f.name.replace("`", "``")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            x = F.col(f"`{f.name}`")
-            scale = float(2 ** GRID_BITS)
-            snapped = F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
-            exprs.append(F.when(F.abs(x) < F.lit(1e12), snapped).otherwise(x).alias(f.name))
+            x = F.col(f"`{name}`").cast("double")
+            p = F.pow(F.lit(2.0), F.lit(float(SIGNIFICANT_BITS - 1)) - F.floor(F.log2(F.abs(x))))
+            plain = (x == 0) | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+            exprs.append(F.when(plain, x).otherwise(F.floor(x * p + F.lit(0.5)) / p).alias(f.name))
         else:
-            exprs.append(F.col(f"`{f.name}`"))
+            exprs.append(F.col(f"`{name}`"))
     return df.select(*exprs)
 
 
-def rnd(sql: str, cols: str, digits: int = 6) -> str:
+def rnd(sql: str, cols: str) -> str:
     """Wrap SQL so the named DOUBLE columns are rounded like ``rounded``."""
-    names = cols.split()
-    sc = f"CAST({2 ** GRID_BITS} AS DOUBLE)"
-    rep = ", ".join(
-        f"CASE WHEN abs(CAST(\"{c}\" AS DOUBLE)) < 1e12 THEN floor(CAST(\"{c}\" AS DOUBLE) * {sc} + 0.5) / {sc} "
-        f"ELSE CAST(\"{c}\" AS DOUBLE) END AS \"{c}\"" for c in names)
-    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS _q"
+    def one(c: str) -> str:
+        x = f'CAST("{c}" AS DOUBLE)'
+        p = f"pow(CAST(2 AS DOUBLE), {SIGNIFICANT_BITS - 1} - floor(ln(abs({x})) / ln(CAST(2 AS DOUBLE))))"
+        return f"CASE WHEN {x} = 0 OR isnan({x}) OR isinf({x}) THEN {x} ELSE floor({x} * {p} + 0.5) / {p} END AS \"{c}\""
+    rep = ", ".join(one(c) for c in cols.split())
+    return f"SELECT * REPLACE ({rep}) FROM ({sql}) _q"

@@ -35,6 +35,24 @@ def _brute_shap(trees, x, p):
     return phi / len(trees)
 
 
+def test_blocks_of_leaves_of_deep_trees(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.random((1500, 4))
+    y = np.sin(9 * x[:, 0]) + x[:, 1] * x[:, 2] + rng.normal(size=1500) * 0.3
+    df = spark.createDataFrame([(*map(float, a), float(b)) for a, b in zip(x, y)], "a double, b double, c double, d double, y double")
+    va = VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="f")
+    m = RandomForestRegressor(numTrees=2, maxDepth=16, seed=3, featuresCol="f", labelCol="y").fit(va.transform(df))
+    forest = EX.forest_arrays(m, spark)
+    assert max(len(t["v"]) for t in forest["trees"]) > 500
+    monkeypatch.setattr(EX, "LEAVES", 7)
+    assert all(len(b["v"]) <= 7 for t in forest["trees"] for b in EX.leaf_blocks(t))
+    phi, base, out = EX.tree_shap_batch(x[:6], forest, 4, chunk=4)
+    monkeypatch.setattr(EX, "LEAVES", 10**9)
+    whole, base_whole, out_whole = EX.tree_shap_batch(x[:6], forest, 4)
+    assert np.allclose(phi, whole, atol=1e-9) and np.allclose(out, out_whole) and base == base_whole
+    assert np.allclose(phi.sum(axis=1) + base, out)
+
+
 def test_tree_shap_matches_brute_force_and_sums_to_prediction(spark):
     rnd = random.Random(4)
     rows = [(rnd.random(), rnd.random(), float(rnd.randint(0, 3))) for _ in range(300)]
