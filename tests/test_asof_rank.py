@@ -80,3 +80,22 @@ def test_probe_without_a_time_stays_unmatched(spark):
                 .select("sensor", F.col("t").cast("timestamp_ntz").alias("date_time"))
     got = {r.probe_id: r.gap_seconds for r in A.asof_join(probes, read).collect()}
     assert got == {1: None, 2: 600.0}
+
+
+def test_asof_join_no_frame_runs_to_the_end(spark):
+    """Such a frame is read anew for each row: quadratic in a bucket's probes."""
+    probes = spark.createDataFrame([(1, "s", T0)], "probe_id long, sensor string, probe_time timestamp_ntz")
+    read = spark.createDataFrame([("s", T0)], "sensor string, date_time timestamp_ntz")
+    plan = A.asof_join(probes, read)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
+
+
+def test_asof_join_next_bucket_and_ties(spark):
+    at = lambda hours: T0 + dt.timedelta(hours=hours)
+    read = spark.createDataFrame([("s", at(1)), ("s", at(3)), ("s", at(80)), ("s", at(81)), ("s", at(200))],
+                                 "sensor string, date_time timestamp_ntz")
+    probes = spark.createDataFrame([(1, "s", at(0)), (2, "s", at(2)), (3, "s", at(3)), (4, "s", at(70)), (5, "s", at(70)),
+                                    (6, "s", at(150)), (7, "s", at(300)), (8, "t", at(1))],
+                                   "probe_id long, sensor string, probe_time timestamp_ntz")
+    got = {r.probe_id: r.match_time for r in A.asof_join(probes, read).collect()}
+    assert got == {1: at(1), 2: at(1), 3: at(3), 4: at(80), 5: at(80), 6: at(200), 7: at(200), 8: None}
