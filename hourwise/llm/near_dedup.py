@@ -42,7 +42,7 @@ THRESHOLD = 0.8
 #: Rows of a bucket or group that one task compares with one another, about; larger ones are cut into pairs of blocks.
 BLOCK = 512
 #: Code points of text that are hashed at a time.
-SLICE = 1_500_000
+SLICE = 500_000
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 

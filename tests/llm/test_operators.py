@@ -638,3 +638,23 @@ def test_near_family_without_a_center(spark, monkeypatch):
     df = spark.createDataFrame(items, "doc_id long, text string").repartition(4)
     got = {r.doc_id: r.class_id for r in near_dedup.near_classes(df).collect()}
     assert [got[k] for k in range(len(items))] == want
+
+
+def test_near_slices_bound_a_task():
+    """A task hashes at most 500,000 code points at a time (a longer text alone), and signatures do not depend on the cut."""
+    import pyarrow as pa
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(400)) for _ in range(600)] + ["x " * 300_000, None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    cut = list(near_dedup._slices(iter([batch]), 1))
+    assert [t for b in cut for t in b.column(1).to_pylist()] == texts
+    assert all(b.num_rows == 1 or sum(len(t or "") for t in b.column(1).to_pylist()) <= 500_000 for b in cut)
+
+    def signed(parts):
+        out, hashes = [], near_dedup.WordHashes()
+        for part in parts:
+            words = [near_dedup.words_of(t) for t in part]
+            owner, h, weight = near_dedup.weighted(*near_dedup.shingles(words, hashes), len(words))
+            out.append(near_dedup.signatures(owner, h, weight, len(words)))
+        return np.concatenate(out)
+    assert (signed(b.column(1).to_pylist() for b in cut) == signed([texts])).all()
