@@ -4,8 +4,9 @@ A text's distinct paragraph digests are put into a sketch of three tables of ``T
 one cell a table, a cell holds a count and the exclusive or of its digests and of their check hashes. Only cells in use are
 written. The sketches of two versions subtract cell by cell; a cell that holds one
 digest (count 1 or -1 and a matching check hash) gives it away, it is taken out of its other cells,
-and so on: peeling recovers the digests that differ. Where cells remain after ``ROUNDS`` rounds,
-the pair is tried again with tables four times as large, until every pair is decoded.
+and so on, the three tables in turn: peeling recovers the digests that differ. Where cells remain after ``ROUNDS`` rounds,
+the pair is tried again with tables four times as large, until every pair is decoded. A pair whose number of digests lets expect more
+differences than the first tables decode begins with larger ones.
 
 likeness = shared / all distinct digests = (a + b - d) / (a + b + d), with d recovered digests; two texts without paragraphs are alike (1).
 
@@ -29,8 +30,11 @@ from pyspark.sql import functions as F
 from .common import materialize, text_or_empty
 
 TABLE = 32
-ROUNDS = 8
+#: Steps of peeling, each over one of the three tables.
+ROUNDS = 12
 LEVELS = 12
+#: Place of the number of recovered digests among the cells of a pair.
+COUNT = -1
 BREAK = r"[\n\r]+|(?<=[a-eA-E0-9][.!?])[ \t]+"
 #: Between words, and after each character of a script without spaces.
 WORD = (r"(?<=[\s\p{Z}\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}])"
@@ -150,46 +154,54 @@ def sketch(rows: DataFrame, keys: list[str], digest: str, sign: Column, size: in
 
 
 def peel(cells: DataFrame, keys: list[str], size: int, level: int) -> DataFrame:
-    """(keys, d, stuck): digests recovered from the subtracted cells, and cells that remain. Rows are cells (kind 0), recovered
-    digests (kind 1) and digests found this round (kind 2); grouping keeps the partitioning by key."""
-    def row(kind: int, id_: Column, n: Column, x: Column, c: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), id_.cast("long").alias("id"), n.cast("long").alias("n"), x.alias("x"), c.alias("c"))
-    live = F.expr("kind = 1 or n != 0 or x != 0L or c != 0L")
-    flow = cells.select(*keys, F.lit(0).alias("kind"), F.col("id").cast("long"), F.col("n").cast("long"), "x", "c").where(live)
-    same = row(0, F.col("id"), F.col("n"), F.col("x"), F.col("c"))
-    kept = F.struct("kind", "id", "n", "x", "c")
-    for _ in range(ROUNDS):
-        pure = (F.col("kind") == 0) & (F.abs("n") == 1) & (F.col("c") == check_of(F.col("x")))
-        found = flow.select(*keys, F.inline(F.when(pure, F.array(same, row(2, F.col("x"), F.col("n"), F.col("x"), F.col("c"))))
-                                            .otherwise(F.array(kept))))
-        # a digest may show in up to three cells; it is taken out once
-        found = found.groupBy(*keys, "kind", "id").agg(F.max("n").alias("n"), F.max("x").alias("x"), F.max("c").alias("c"))
-        out = [row(0, cell(F.col("x"), t, size, level), -F.col("n"), F.col("x"), F.col("c")) for t in range(3)]
-        moved = found.select(*keys, F.inline(
-            F.when(F.col("kind") == 2, F.array(row(1, F.col("id"), F.col("n"), F.col("x"), F.col("c")), *out)).otherwise(F.array(kept))))
-        flow = moved.groupBy(*keys, "kind", "id").agg(
-            F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("c").alias("c")).where(live)
-    return flow.groupBy(*keys).agg(F.sum(F.col("kind")).alias("d"), F.sum(1 - F.col("kind")).alias("stuck"))
+    """(keys, d, stuck): number of digests recovered from the subtracted cells, and of cells that remain. A digest lies in one cell
+    of a table, so a step over one table finds it once; the number found so far is the row COUNT of its key. Grouping keeps
+    the partitioning by key."""
+    def row(id_: Column, n: Column, x: Column, c: Column) -> Column:
+        return F.struct(id_.cast("long").alias("id"), n.cast("long").alias("n"), x.alias("x"), c.alias("c"))
+    live = F.expr(f"id = {COUNT} or n != 0 or x != 0L or c != 0L")
+    flow = cells.select(*keys, F.col("id").cast("long"), F.col("n").cast("long"), "x", "c").where(live)
+    kept = row(*map(F.col, ("id", "n", "x", "c")))
+    for step in range(ROUNDS):
+        table = step % 3
+        pure = ((F.col("id") >= table * size) & (F.col("id") < (table + 1) * size) & (F.abs("n") == 1)
+                & (F.col("c") == check_of(F.col("x"))))
+        out = [row(cell(F.col("x"), t, size, level), -F.col("n"), F.col("x"), F.col("c")) for t in range(3) if t != table]
+        found = row(F.lit(COUNT), F.lit(1), F.lit(0).cast("long"), F.lit(0).cast("long"))
+        moved = flow.select(*keys, F.inline(F.when(pure, F.array(found, *out)).otherwise(F.array(kept))))
+        flow = moved.groupBy(*keys, "id").agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("c").alias("c")).where(live)
+    counted = F.col("id") == COUNT
+    return flow.groupBy(*keys).agg(F.sum(F.when(counted, F.col("n")).otherwise(0)).alias("d"),
+                                   F.sum(F.when(counted, 0).otherwise(1)).alias("stuck"))
+
+
+def first_level(expected: Column, size: int) -> Column:
+    """The level whose tables decode ``expected`` differences: two a place of one table."""
+    return F.least(F.lit(LEVELS - 1), F.greatest(F.lit(0), F.ceil(F.log(4.0, F.greatest(expected, F.lit(1)) / (2 * size))))).cast("int")
 
 
 def differences(table: DataFrame, size: int = TABLE) -> DataFrame:
     """(rid, pair, d): number of differing digests of d and e (pair 0) and of d and f (pair 1), by
-    subtracting and peeling, with larger tables for the pairs that fail. ``table`` is bucketed by rid."""
+    subtracting and peeling, with larger tables for the pairs that fail. An edit changes about a quarter of the text, neighbours may
+    differ in everything; pairs start with tables for that. ``table`` is bucketed by rid."""
+    starts = [first_level((F.size("d") + F.size("e")) / 4, size), first_level(F.size("d") + F.size("f"), size)]
+    last = table.agg(F.max(F.greatest(*starts))).first()[0] or 0
     pairs = table.select("rid", F.inline(F.array(
-        F.struct(F.lit(0).alias("pair"), F.col("d").alias("a"), F.col("e").alias("b")),
-        F.struct(F.lit(1).alias("pair"), F.col("d").alias("a"), F.col("f").alias("b")))))
-    done = None
+        F.struct(F.lit(0).alias("pair"), starts[0].alias("start"), F.col("d").alias("a"), F.col("e").alias("b")),
+        F.struct(F.lit(1).alias("pair"), starts[1].alias("start"), F.col("d").alias("a"), F.col("f").alias("b")))))
+    done, stuck = None, None
     for level in range(LEVELS):
-        both = pairs.select("rid", "pair", F.inline(F.array(
+        now = pairs.where(F.col("start") == level) if stuck is None else (
+            pairs.join(stuck, ["rid", "pair"], "left").where((F.col("start") == level) | F.col("again")))
+        both = now.select("rid", "pair", F.inline(F.array(
             F.struct(F.lit(1).alias("sign"), F.col("a").alias("digests")), F.struct(F.lit(-1).alias("sign"), F.col("b").alias("digests")))))
         cells = sketch(both, ["rid", "pair"], "digests", F.col("sign"), size, level)
         result = materialize(peel(cells, ["rid", "pair"], size, level), "fp-peeled")
         solved = result.where("stuck = 0").select("rid", "pair", "d")
         done = solved if done is None else done.unionByName(solved)
-        stuck = result.where("stuck > 0").select("rid", "pair")
-        if stuck.isEmpty():
+        stuck = result.where("stuck > 0").select("rid", "pair", F.lit(True).alias("again"))
+        if level >= last and stuck.isEmpty():
             return done
-        pairs = pairs.join(stuck, ["rid", "pair"], "left_semi")
         size *= 4
     raise RuntimeError(f"pairs that {LEVELS} sketches do not decode")
 

@@ -547,6 +547,28 @@ def test_fingerprints_of_edge_rows(docs, empty):
     assert fingerprint.fingerprints(empty).count() == 0
 
 
+def test_pairs_begin_with_tables_for_their_differences(spark, monkeypatch):
+    """A pair that may differ in much does not enter the small tables; one that differs in more than expected goes on to larger ones."""
+    entered, sketch = {}, fingerprint.sketch
+
+    def counted(rows, keys, digest, sign, size, level):
+        entered[size] = rows.select("rid", "pair").distinct().count()
+        return sketch(rows, keys, digest, sign, size, level)
+    monkeypatch.setattr(fingerprint, "sketch", counted)
+    rng = random.Random(2)
+
+    def some(n):
+        return [rng.randrange(-1 << 63, 1 << 63) for _ in range(n)]
+    ten, many, most, other = some(10), some(300), some(1000), some(100)
+    table = [(0, ten, ten, some(10)), (1, many, many[:225] + some(75), some(300)), (2, [], [], some(1)), (3, most, most, most),
+             (4, other, some(100), some(3))]
+    df = spark.createDataFrame(table, "rid long, d array<long>, e array<long>, f array<long>").repartition(3, "rid")
+    got = {(r.rid, r.pair): r.d for r in fingerprint.differences(df, 32).collect()}
+    assert {k: d for k, d in got.items() if d} == {
+        (i, k): len({*d} ^ {*x}) for i, d, *both in table for k, x in enumerate(both) if {*d} != {*x}}
+    assert entered == {32: 5, 128: 3, 512: 2, 2048: 1}
+
+
 # -- packing ---------------------------------------------------------------------------------------
 
 def test_packing_places_each_id_once(docs, table, empty):
