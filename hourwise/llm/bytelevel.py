@@ -15,7 +15,7 @@ import numpy as np
 from .words import matcher, parts
 
 #: Parts of texts that a worker keeps encoded, twice over and those of a batch, and the longest kept.
-CACHE = 300_000
+CACHE = 100_000
 PART = 64
 
 

@@ -28,11 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, sized, text_or_empty, unused
+from .common import materialize, sized, small, text_or_empty, unused
 from .components import components
 
 SHINGLE = 5
@@ -170,7 +171,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def _slices(batches: Iterator[pa.RecordBatch], texts: int) -> Iterator[pa.RecordBatch]:
     """The batches in parts of at most SLICE code points and 1,000 rows (one row at least)."""
     for batch in batches:
-        at, size, lengths = 0, 0, [len(x) for x in (t or "" for t in batch.column(texts).to_pylist())]
+        at, size, lengths = 0, 0, pc.fill_null(pc.utf8_length(batch.column(texts)), 0).to_pylist()
         for k, n in enumerate(lengths):
             if k > at and (size + n > SLICE or k - at >= 1000):
                 yield batch.slice(at, k - at)
@@ -250,7 +251,7 @@ def _in_blocks(rows: DataFrame, group: str) -> DataFrame:
 def _groups(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[tuple[list[dict], bool]]:
     """Rows of each (group, i, j) of the sorted stream, and whether it is a block with itself."""
     now, rows = None, []
-    for batch in batches:
+    for batch in small(batches):
         for row in batch.to_pylist():
             key = (row[group], row["i"], row["j"])
             if key != now:

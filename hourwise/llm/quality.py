@@ -18,13 +18,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, slices, small
 
 #: Labelled rows that the fit uses, at most.
 FIT_ROWS = 10_000
@@ -161,6 +160,17 @@ def fold_of(id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string")) % FOLDS
 
 
+def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features of labelled rows (id, text, n_chars, label), a few rows at a time."""
+    hashed = _Hashed()
+    for b in small(batches):
+        ids, weights, stats = featurise(b.column(1).to_pylist(), b.column(2).to_pylist(), hashed)
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(3).cast(pa.int32()), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
+             pa.array([x.astype(np.float32) for x in weights], pa.list_(pa.float32())), pa.array(list(stats), pa.list_(pa.float64()))],
+            ["id", "y", "ids", "weights", "stats"])
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
           chars_col: str = "n_chars", fit_rows: int = FIT_ROWS) -> Machine:
     """Fit on labelled rows outside the held-out fold."""
@@ -174,14 +184,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
               .groupBy("id").agg(F.min(F.struct("text", "chars", "__y")).alias("row")).select("id", "row.*"))
     kind = sample.schema["id"].dataType.simpleString()
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = _Hashed()
-        for b in batches:
-            ids, weights, stats = featurise(b.column(1).to_pylist(), b.column(2).to_pylist(), hashed)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(3).cast(pa.int32()), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
-                 pa.array([x.astype(np.float32) for x in weights], pa.list_(pa.float32())), pa.array(list(stats), pa.list_(pa.float64()))],
-                ["id", "y", "ids", "weights", "stats"])
     rows = sample.select("id", "text", "chars", "__y").mapInArrow(
         vectors, f"id {kind}, y int, ids array<int>, weights array<float>, stats array<double>").toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
     stats = np.array(rows.column("stats").to_pylist(), float).reshape(-1, len(STATISTICS))
@@ -213,12 +215,9 @@ def keep_quality(docs: DataFrame, machine: Machine, text_col: str = "text", char
     """``docs`` without the rows that score below the threshold; all columns stay."""
     sent = docs.sparkSession.sparkContext.broadcast(machine.parts())
 
-    @F.pandas_udf("boolean")
-    def good(texts: pd.Series, chars: pd.Series) -> pd.Series:
-        machine, hashed, out = Machine(*sent.value), _Hashed(), []
-        chars = [None if pd.isna(c) else int(c) for c in chars]
-        texts = [t if isinstance(t, str) else None for t in texts]
-        for at in range(0, len(texts), 256):
-            out.append(machine.scores(texts[at:at + 256], chars[at:at + 256], hashed) >= THRESHOLD)
-        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
-    return docs.where(good(F.col(text_col), F.col(chars_col)))
+    @F.arrow_udf("boolean")
+    def good(texts: pa.Array, chars: pa.Array) -> pa.Array:
+        machine, hashed = Machine(*sent.value), _Hashed()
+        return pa.concat_arrays([pa.array(machine.scores(t.to_pylist(), c.to_pylist(), hashed) >= THRESHOLD, pa.bool_())
+                                 for t, c in zip(slices(texts, 256), slices(chars, 256))])
+    return docs.where(good(F.col(text_col), F.col(chars_col).cast("long")))

@@ -17,12 +17,11 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import unused
+from .common import slices, small, unused
 
 # Fixed formats of the contract.
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -134,7 +133,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allow:
     """One row per document: counts of each kind, the digest of the base spans and all spans."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(allow, window, thresholds)
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 base, added = scanner.spans(text or "")
@@ -156,8 +155,8 @@ def mask(docs: DataFrame, text_col: str = "text", allow: tuple[str, ...] = ALLOW
     """``docs`` with each found span of the text replaced by ``[SECRET]``; overlapping spans merge; a null text stays null. All
     columns stay; ``chars_col``, if there, is the masked text's length where the text changed."""
 
-    @F.pandas_udf("string")
-    def hide(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def hide(texts: pa.Array) -> pa.Array:
         scanner = Scanner(allow, window, thresholds)
 
         def one(t: str | None) -> str | None:
@@ -174,7 +173,7 @@ def mask(docs: DataFrame, text_col: str = "text", allow: tuple[str, ...] = ALLOW
                     out += [t[at:a], "[SECRET]"]
                 at = b
             return "".join(out) + t[at:]
-        return texts.map(one, na_action="ignore")
+        return pa.concat_arrays([pa.array(map(one, some.to_pylist()), pa.string()) for some in slices(texts)])
     masked, kind = unused(docs, "__masked"), dict(docs.dtypes).get(chars_col)
     out = docs.withColumn(masked, hide(F.col(text_col)))
     if kind:

@@ -680,3 +680,25 @@ def test_near_slices_bound_a_task():
             out.append(near_dedup.signatures(owner, h, weight, len(words)))
         return np.concatenate(out)
     assert (signed(b.column(1).to_pylist() for b in cut) == signed([texts])).all()
+
+
+def test_tasks_hold_few_texts_at_a_time():
+    """Of a batch of 6 MB no operator of the pipeline makes all texts Python objects at once, and a worker keeps few parts encoded."""
+    import tracemalloc
+
+    import pyarrow as pa
+    from hourwise.llm import bytelevel
+    texts = [f"{k} word " + "abcd efgh " * 200 for k in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array(texts), pa.array([2000] * 3000), pa.array([1] * 3000)],
+                                       ["id", "text", "chars", "__y"])
+    found = list(quality.vectors(iter([batch])))
+    assert max(b.num_rows for b in found) <= 500 and sum(b.num_rows for b in found) == 3000
+    tracemalloc.start()
+    assert sum(b.num_rows for b in near_dedup._slices(iter([batch]), 1)) == 3000
+    assert tracemalloc.get_traced_memory()[1] < 2_000_000
+    tracemalloc.stop()
+    encoder = bytelevel.ByteEncoder(P.path("byte_bpe_50k.json"), P.PATTERN)
+    for at in range(0, 250_000, 500):
+        encoder.recent.update((f"{k}", b"") for k in range(at, at + 500))
+        encoder.encode(["one"])
+    assert len(encoder.recent) + len(encoder.old) <= 202_000
