@@ -183,25 +183,27 @@ def first_level(expected: Column, size: int) -> Column:
 def differences(table: DataFrame, size: int = TABLE) -> DataFrame:
     """(rid, pair, d): number of differing digests of d and e (pair 0) and of d and f (pair 1), by
     subtracting and peeling, with larger tables for the pairs that fail. An edit changes about a quarter of the text, neighbours may
-    differ in everything; pairs start with tables for that. ``table`` is bucketed by rid."""
+    differ in everything; pairs start with tables for that. ``table`` is bucketed by rid; the pairs that failed come to its rows by rid
+    alone, so that the digests stay where they are, at any size."""
     starts = [first_level((F.size("d") + F.size("e")) / 4, size), first_level(F.size("d") + F.size("f"), size)]
     last = table.agg(F.max(F.greatest(*starts))).first()[0] or 0
-    pairs = table.select("rid", F.inline(F.array(
-        F.struct(F.lit(0).alias("pair"), starts[0].alias("start"), F.col("d").alias("a"), F.col("e").alias("b")),
-        F.struct(F.lit(1).alias("pair"), starts[1].alias("start"), F.col("d").alias("a"), F.col("f").alias("b")))))
-    done, stuck = None, None
+    done, again = None, None
     for level in range(LEVELS):
-        now = pairs.where(F.col("start") == level) if stuck is None else (
-            pairs.join(stuck, ["rid", "pair"], "left").where((F.col("start") == level) | F.col("again")))
+        rows = table if again is None else table.join(again.hint("shuffle_hash"), "rid", "left")
+        failed = [F.lit(False) if again is None else F.coalesce(F.array_contains("failed", pair), F.lit(False)) for pair in (0, 1)]
+        now = rows.select("rid", F.inline(F.filter(F.array(*(
+            F.struct(F.lit(pair).alias("pair"), ((starts[pair] == level) | failed[pair]).alias("now"), F.col("d").alias("a"), F.col(other).alias("b"))
+            for pair, other in ((0, "e"), (1, "f")))), lambda x: x["now"])))
         both = now.select("rid", "pair", F.inline(F.array(
             F.struct(F.lit(1).alias("sign"), F.col("a").alias("digests")), F.struct(F.lit(-1).alias("sign"), F.col("b").alias("digests")))))
         cells = sketch(both, ["rid", "pair"], "digests", F.col("sign"), size, level)
         result = materialize(peel(cells, ["rid", "pair"], size, level), "fp-peeled")
         solved = result.where("stuck = 0").select("rid", "pair", "d")
         done = solved if done is None else done.unionByName(solved)
-        stuck = result.where("stuck > 0").select("rid", "pair", F.lit(True).alias("again"))
+        stuck = result.where("stuck > 0")
         if level >= last and stuck.isEmpty():
             return done
+        again = stuck.groupBy("rid").agg(F.collect_set("pair").alias("failed"))
         size *= 4
     raise RuntimeError(f"pairs that {LEVELS} sketches do not decode")
 
@@ -222,22 +224,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.sha2("edited", 256).alias("edited_sha256"), distinct(F.col("by_paragraph")).alias("d"),
         edited_digests(F.col("text"), F.col("by_paragraph"), F.col("next_text")).alias("e"), F.col("next_d").alias("f")), "fp-base")
     spark = docs.sparkSession
-    parts = max(1, -(-base.count() // 4000))
+    # with fewer buckets than shuffle partitions a join would deal the bucketed side out again
+    parts = max(-(-base.count() // 4000), int(spark.conf.get("spark.sql.shuffle.partitions")))
     name = f"fp_{uuid.uuid4().hex}"
-    # bucketed by row, so that the groupings below need no further shuffle
-    base.select("rid", "d", "e", "f").repartition(parts, "rid").write.bucketBy(parts, "rid").format("parquet").saveAsTable(name)
+    # bucketed by row, so that the groupings and joins below shuffle no digests again
+    base.repartition(parts, "rid").write.bucketBy(parts, "rid").format("parquet").saveAsTable(name)
     table = spark.table(name)
     diffs = differences(table)
     near = diffs.groupBy("rid").agg(F.max(F.when(F.col("pair") == 0, F.col("d"))).alias("d0"),
                                     F.max(F.when(F.col("pair") == 1, F.col("d"))).alias("d1"))
-    joined = (base.join(sketch_text(table, "d", "fd"), "rid", "left").join(sketch_text(table, "e", "fe"), "rid", "left")
-              .join(near, "rid", "left"))
+    sizes = table.select("rid", "doc_id", "n_chars", "edited_sha256", *(F.size(c).alias(c) for c in "def"))
+    joined = (sizes.join(sketch_text(table, "d", "fd"), "rid", "left").join(sketch_text(table, "e", "fe"), "rid", "left")
+              .join(near.hint("shuffle_hash"), "rid", "left"))
 
     def alike(other: str, d: str) -> Column:
-        total, d = F.size("d") + F.size(other), F.coalesce(F.col(d), F.lit(0))
+        total, d = F.col("d") + F.col(other), F.coalesce(F.col(d), F.lit(0))
         return F.when(total == 0, F.lit(1.0)).otherwise((total - d) / (total + d))
     return joined.select(
         "doc_id", "n_chars", "edited_sha256",
-        F.concat_ws(":", F.size("d"), F.coalesce("fd", F.lit(""))).alias("fingerprint"),
-        F.concat_ws(":", F.size("e"), F.coalesce("fe", F.lit(""))).alias("edited_fingerprint"),
+        F.concat_ws(":", "d", F.coalesce("fd", F.lit(""))).alias("fingerprint"),
+        F.concat_ws(":", "e", F.coalesce("fe", F.lit(""))).alias("edited_fingerprint"),
         alike("e", "d0").alias("near_edited"), alike("f", "d1").alias("near_next"))

@@ -569,6 +569,39 @@ def test_pairs_begin_with_tables_for_their_differences(spark, monkeypatch):
     assert entered == {32: 5, 128: 3, 512: 2, 2048: 1}
 
 
+def exchanged_types(df):
+    """Column types of every exchange in the plan."""
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.initialPlan()
+        if node.nodeName() == "Exchange":
+            yield from (node.output().apply(i).dataType().simpleString() for i in range(node.output().size()))
+        for i in range(node.children().size()):
+            yield from walk(node.children().apply(i))
+    return list(walk(df._jdf.queryExecution().executedPlan()))
+
+
+def test_joins_shuffle_no_digests_when_nothing_is_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "TABLE", 4)  # most pairs need a larger sketch
+    levels, sketch = [], fingerprint.sketch
+
+    def seen(rows, keys, digest, sign, size, level):
+        if keys == ["rid", "pair"]:
+            levels.append(exchanged_types(rows))
+        return sketch(rows, keys, digest, sign, size, level)
+    monkeypatch.setattr(fingerprint, "sketch", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = fingerprint.fingerprints(spark.createDataFrame([(k, prose(30 + 60 * k)) for k in range(12)], "doc_id long, text string"))
+        last = exchanged_types(got)
+        assert got.count() == 12
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(levels) > 1 and any(levels) and last
+    assert not any("array<bigint>" in types for types in [*levels, last])
+
+
 # -- packing ---------------------------------------------------------------------------------------
 
 def test_packing_places_each_id_once(docs, table, empty):
