@@ -17,9 +17,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
-import struct
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, small
-from .words import matcher, parts
+from .words import after_space, matcher, parts
 
 #: No merge; comes after every token.
 NONE = 1 << 16
+#: An item of the fold is rank << RANK | place << PLACE | token: the rank of its pair with the next item, its first byte's place in the word, its token.
+PLACE, RANK = 17, 45
+TOKEN, LOW = (1 << PLACE) - 1, (1 << RANK) - 1
 #: Multiplier of the pair hash; a pair is (left << 17) | right, so the product stays below 2**63.
 FACTOR = 0x1E3779B1
 
@@ -64,6 +67,7 @@ class RankMap:
         for key in pairs:
             members.setdefault(self._group(key), []).append(key)
         shift, slots = [0] * self.groups, [-1] * self.size
+        byte_tokens = [ranks[bytes([b])] for b in range(256)]
         for group, keys in sorted(members.items(), key=lambda x: -len(x[1])):
             homes = [self._home(k) for k in keys]
             d = 0
@@ -74,8 +78,10 @@ class RankMap:
             shift[group] = d
             for k, h in zip(keys, homes):
                 slots[h ^ d] = k << 17 | pairs[k]
-        self.shift, self.slots = json.dumps(shift), json.dumps(slots)
-        self.byte_tokens = json.dumps([ranks[bytes([b])] for b in range(256)])
+        # an empty slot holds a key above all others
+        self.shift, self.slots = json.dumps(shift), json.dumps([x if x >= 0 else 1 << 51 for x in slots])
+        # items by byte and next byte (256: none)
+        self.byte_items = json.dumps([pairs.get(a << 17 | b, NONE) << RANK | a for a in byte_tokens for b in [*byte_tokens, NONE]])
 
     def _home(self, key: int) -> int:
         return (key * FACTOR >> 12) & (self.size - 1)
@@ -90,39 +96,36 @@ class RankMap:
         home = F.shiftright(x, 12).bitwiseAND(self.size - 1).cast("int")
         slot = F.get(F.from_json(F.lit(self.slots), "array<bigint>"),
                      home.bitwiseXOR(F.get(F.from_json(F.lit(self.shift), "array<int>"), group)))
-        return F.aggregate(F.array(slot), F.lit(NONE), lambda acc, v: F.when(
-            F.shiftright(v, 17) == key, v.bitwiseAND(0x1FFFF).cast("int")).otherwise(acc))
+        # the merged token if the keys agree, else more than NONE
+        return F.least(slot.bitwiseXOR(F.shiftleft(key, 17)), F.lit(NONE).cast("long"))
 
     def fold(self, word: Column) -> Column:
-        """Token ids of one word. NONE frames tokens and pairs, so that each pair has neighbours."""
-        codes = F.from_json(F.lit(self.byte_tokens), "array<int>")
-        raw = F.hex(F.encode(word, "UTF-8"))
-        none = F.array(F.lit(NONE))
-        framed = F.concat(none, F.transform(
-            F.sequence(F.lit(1), F.length(raw), F.lit(2)),
-            lambda i: F.get(codes, F.conv(F.substring(raw, i, F.lit(2)), 16, 10).cast("int"))), none)
+        """Token ids of one word. Items without a token frame it, so that each pair has neighbours."""
+        codes = F.transform(F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ""), F.ascii)
 
-        def pair(left: Column, right: Column) -> Column:
-            return F.shiftleft(left.cast("long"), 17).bitwiseOR(right.cast("long"))
-
-        def with_pairs(_: Column, c: Column) -> Column:
-            keys = F.transform(F.sequence(F.lit(0), F.size(c) - 2), lambda i: pair(F.get(c, i), F.get(c, i + 1)))
-            return F.struct(c.alias("c"), F.transform(keys, self.merged).alias("p"))
+        def with_pairs(codes: Column) -> Column:
+            return F.transform(codes, lambda c, i: F.get(
+                F.from_json(F.lit(self.byte_items), "array<bigint>"), c * 257 + F.coalesce(F.get(codes, i + 1), F.lit(256))
+            ).bitwiseOR(F.shiftleft((i + 1).cast("long"), PLACE)))
 
         def step(state: Column, _: Column) -> Column:
-            def with_best(outer: Column, best: Column) -> Column:
+            def with_least(outer: Column, least: Column) -> Column:
                 def merge(old: Column, i: Column) -> Column:
-                    c, p = old["c"], old["p"]
-                    around = F.transform(F.array(pair(F.get(c, i - 2), best), pair(best, F.get(c, i + 1))), self.merged)
-                    return F.struct(
-                        F.concat(F.slice(c, F.lit(1), i - 1), F.array(best), F.slice(c, i + 2, F.size(c))).alias("c"),
-                        F.concat(F.slice(p, F.lit(1), i - 2), around, F.slice(p, i + 2, F.size(p))).alias("p"))
-                return F.when(best == NONE, outer).otherwise(
-                    F.aggregate(F.array(F.array_position(outer["p"], best).cast("int")), outer, merge))
-            return F.aggregate(F.array(F.array_min(state["p"])), state, with_best)
-        empty = F.struct(F.array().cast("array<int>").alias("c"), F.array().cast("array<int>").alias("p"))
-        return F.aggregate(F.sequence(F.lit(1), F.octet_length(word)), F.aggregate(F.array(framed), empty, with_pairs), step,
-                           lambda s: F.slice(s["c"], F.lit(2), F.size(s["c"]) - 2))
+                    best = F.shiftright(least, RANK)
+                    left, after = F.get(old, i - 2), F.get(old, i + 1)
+                    around = F.zip_with(
+                        F.array(F.shiftleft(left.bitwiseAND(TOKEN), 17).bitwiseOR(best),
+                                F.shiftleft(best, 17).bitwiseOR(after.bitwiseAND(TOKEN))),
+                        F.array(left.bitwiseAND(LOW), least.bitwiseAND(LOW - TOKEN).bitwiseOR(best)),
+                        lambda key, low: F.shiftleft(self.merged(key), RANK).bitwiseOR(low))
+                    return F.concat(F.slice(old, F.lit(1), i - 2), around, F.slice(old, i + 2, F.size(old)))
+                return F.when(least >= NONE << RANK, outer).otherwise(
+                    F.aggregate(F.array(F.array_position(outer, least).cast("int")), outer, merge))
+            return F.aggregate(F.array(F.array_min(state)), state, with_least)
+        first, last = (F.array(F.lit(NONE << RANK | place | NONE)) for place in (0, LOW - TOKEN))
+        framed = F.concat(first, F.get(F.transform(F.array(codes), with_pairs), F.lit(0)), last)
+        return F.aggregate(F.sequence(F.lit(1), F.octet_length(word)), framed, step, lambda s: F.transform(
+            F.slice(s, F.lit(2), F.size(s) - 2), lambda x: x.bitwiseAND(TOKEN).cast("int")))
 
 
 #: Words that every task holds ready encoded, at most: the most frequent ones, each of up to WORD_BYTES bytes.
@@ -130,16 +133,16 @@ HELD_WORDS = 250_000
 WORD_BYTES = 48
 
 
-def word_counts(docs: DataFrame, text_col: str, pattern: str, flush: int = 60_000) -> DataFrame:
+def word_counts(docs: DataFrame, text_col: str, pattern: str, flush: int = 200_000) -> DataFrame:
     """(word, n): every distinct match of the pattern in the texts and how often it occurs."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = matcher(pattern).findall
 
         def out(firsts: Counter, rest: Counter) -> pa.RecordBatch:
             words: Counter = Counter()
-            for counts, lead in ((firsts, ""), (rest, " ")):
+            for counts, split in ((firsts, find), (rest, lambda part: after_space(part, find))):
                 for part, n in counts.items():
-                    for w in find(lead + part):
+                    for w in split(part):
                         words[w] += n
             return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], ["word", "n"])
         firsts, rest = Counter(), Counter()
@@ -166,10 +169,21 @@ def held_words(docs: DataFrame, text_col: str, pattern: str, rank_map: RankMap)
     top = materialize(top.select("word").repartition(64, "word"), "bpe-words")
     encoded = materialize(top.select("word", rank_map.fold(F.col("word")).alias("ids")), "bpe-held")
     table = encoded.toArrow()
-    ids = [struct.pack(f"<{len(x)}I", *x) for x in table.column("ids").to_pylist()]
+    ids = [x for chunk in table.column("ids").chunks for x in packed(chunk)]
     return dict(zip(table.column("word").to_pylist(), ids))
 
 
+def packed(ids: pa.ListArray) -> list[bytes]:
+    """Each list of ids as 32-bit little-endian integers."""
+    flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+    edges = np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)) * 4
+    return [flat[a:b] for a, b in pairwise([0, *edges.tolist()])]
+
+
+#: Stands in a document's ids for the first of its words that are not held; the next number for the second, and so on.
+HOLE = 1 << 17
+
+
 def _encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str,
             finish: Callable[[list[bytes]], list[pa.Array]], columns: str) -> DataFrame:
     """doc_id and what ``finish`` makes of the ids of a batch. Frequent words are looked up; a task leaves holes for the
@@ -179,65 +193,52 @@ def _encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_co
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, find = held.value, matcher(pattern).findall
-        known: dict[str, object] = {}
+        own: dict[str, int] = {}  # the words of a document that are not held
 
-        def encoded(part: str) -> object:
-            """The ids of a part, or its words if some are not held."""
-            found = find(part)
-            ids = [words.get(w) for w in found]
-            return found if None in ids else b"".join(ids)
+        def encoded(found: list[str]) -> bytes:
+            ids = map(words.get, found)
+            return b"".join([x if x is not None else (HOLE + own.setdefault(w, len(own))).to_bytes(4, "little") for w, x in zip(found, ids)])
 
         class Parts(dict):
-            def __missing__(self, part: str) -> object:
-                value = encoded(" " + part)
-                if len(self) < 100_000:
+            def __missing__(self, part: str) -> bytes:
+                found = after_space(part, find)
+                value = encoded(found)
+                if len(self) < 100_000 and all(map(words.__contains__, found)):
                     self[part] = value
                 return value
         known = Parts()
         for batch in small(batches):
-            segments, holes, missing = [], [], []
+            ids, missing = [], []
             for text in batch.column(1).to_pylist():
-                values: list[object] = []
-                if text:
-                    cut = parts(text)
-                    values = [find(text)] if cut is None else [encoded(cut[0]), *map(known.__getitem__, cut[1:])]
-                own: dict[str, int] = {}
-                done, at, run = [], [], []
-                for v in values:
-                    if isinstance(v, bytes):
-                        run.append(v)
-                        continue
-                    for w in v:
-                        ids = words.get(w)
-                        if ids is None:
-                            done.append(b"".join(run))
-                            run = []
-                            at.append(own.setdefault(w, len(own)))
-                        else:
-                            run.append(ids)
-                done.append(b"".join(run))
-                segments.append(done)
-                holes.append(at)
+                own.clear()
+                if not text:
+                    ids.append(b"")
+                elif (cut := parts(text)) is None:
+                    ids.append(encoded(find(text)))
+                else:
+                    ids.append(b"".join([encoded(find(cut[0])), *map(known.__getitem__, cut[1:])]))
                 missing.append(list(own))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(segments, pa.list_(pa.binary())), pa.array(holes, pa.list_(pa.int32())),
-                 pa.array(missing, pa.list_(pa.string()))], ["doc_id", "segments", "holes", "missing"])
+                [batch.column(0), pa.array(ids, pa.binary()), pa.array(missing, pa.list_(pa.string()))], ["doc_id", "ids", "missing"])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            out = []
-            for segments, holes, rare in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                rare = [struct.pack(f"<{len(x)}I", *x) for x in rare]
-                whole = [segments[0]]
-                for k, segment in zip(holes, segments[1:]):
-                    whole += (rare[k], segment)
-                out.append(b"".join(whole))
+            rare, out = packed(batch.column(2).flatten()), []
+            sizes = batch.column(2).value_lengths().to_numpy(zero_copy_only=False)
+            for raw, begin in zip(batch.column(1).to_pylist(), (np.cumsum(sizes) - sizes).tolist()):
+                codes = np.frombuffer(raw, "<u4")
+                holes = np.flatnonzero(codes >= HOLE)
+                whole, at = [], 0
+                for hole, k in zip((holes * 4).tolist(), codes[holes].tolist()):
+                    whole += (raw[at:hole], rare[begin + k - HOLE])
+                    at = hole + 4
+                out.append(b"".join([*whole, raw[at:]]))
             yield pa.RecordBatch.from_arrays([batch.column(0), *finish(out)], ["doc_id", *(c.split()[0] for c in columns.split(", "))])
     source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    open_ = source.mapInArrow(look_up, f"doc_id {kind}, segments array<binary>, holes array<int>, missing array<string>")
+    open_ = source.mapInArrow(look_up, f"doc_id {kind}, ids binary, missing array<string>")
     rare = F.when(F.size("missing") > 0, F.transform("missing", rank_map.fold)).otherwise(F.array().cast("array<array<int>>"))
-    return open_.select("doc_id", "segments", "holes", rare.alias("rare")).mapInArrow(fill, f"doc_id {kind}, {columns}")
+    return open_.select("doc_id", "ids", rare.alias("rare")).mapInArrow(fill, f"doc_id {kind}, {columns}")
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
