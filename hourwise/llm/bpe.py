@@ -4,8 +4,8 @@ Encoding. The distinct words of the corpus (matches of the split pattern) are
 counted; a word is encoded by a fold of ranked merges over its bytes:
 each step reads the lowest, leftmost of the neighbouring pairs' ranks, merges that pair and looks
 up its two new neighbours in a literal rank map. The most frequent words are encoded once and held by every task (a bounded table);
-the other words are encoded by the same fold in the row of the document that
-has them, so texts are never shuffled.
+the other words are encoded by the same fold, once for each slice of documents that
+has them and in a row of that slice, so texts are never shuffled.
 
 Decoding concatenates the binary pieces of the ids.
 
@@ -23,11 +23,12 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, small
-from .words import after_space, matcher, parts
+from .words import MARKS, ODD, after_space, matcher
 
 #: No merge; comes after every token.
 NONE = 1 << 16
@@ -133,33 +134,68 @@ HELD_WORDS = 250_000
 WORD_BYTES = 48
 
 
-def word_counts(docs: DataFrame, text_col: str, pattern: str, flush: int = 200_000) -> DataFrame:
+#: Bytes of text that a task cuts into parts at a time; one longer text is cut alone.
+SLICE_BYTES = 1 << 23
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about SLICE_BYTES of the text column."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(int(np.searchsorted(ends, before + SLICE_BYTES, "right")), at + 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
+class Cut:
+    """Texts cut at their spaces. ``parts`` (Arrow) are the distinct parts that stand behind a space, ``firsts`` what stands before (of a text that must
+    be matched whole: all of it); ``refs`` counts through both, ``ends`` says where in ``refs`` a text ends."""
+
+    def __init__(self, texts: pa.Array):
+        values = pc.fill_null(texts, "")
+        whole = [ODD.search(t) is not None for t in values.to_pylist()]
+        lists = pc.split_pattern(pc.if_else(pa.array(whole, pa.bool_()), "", values), " ")
+        flat, sizes = lists.flatten(), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.ends = np.cumsum(sizes)
+        begins = self.ends - sizes
+        self.firsts = pc.if_else(pa.array(whole, pa.bool_()), values, flat.take(pa.array(begins))).to_pylist()
+        encoded = flat.dictionary_encode()
+        self.refs = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.refs[begins] = len(encoded.dictionary) + np.arange(len(sizes))
+        self.parts = encoded.dictionary
+
+
+def strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def word_counts(docs: DataFrame, text_col: str, pattern: str) -> DataFrame:
     """(word, n): every distinct match of the pattern in the texts and how often it occurs."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = matcher(pattern).findall
-
-        def out(firsts: Counter, rest: Counter) -> pa.RecordBatch:
-            words: Counter = Counter()
-            for counts, split in ((firsts, find), (rest, lambda part: after_space(part, find))):
-                for part, n in counts.items():
-                    for w in split(part):
-                        words[w] += n
-            return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], ["word", "n"])
-        firsts, rest = Counter(), Counter()
-        for text in (t for batch in small(batches) for t in batch.column(0).to_pylist()):
-            if text:
-                cut = parts(text)
-                if cut is None:
-                    firsts.update(find(text))
-                else:
-                    firsts[cut[0]] += 1
-                    rest.update(cut[1:])
-                if len(firsts) + len(rest) > flush:
-                    yield out(firsts, rest)
-                    firsts, rest = Counter(), Counter()
-        yield out(firsts, rest)
+        for batch in text_slices(batches, 0):
+            cut, words = Cut(batch.column(0)), Counter()
+            n = np.bincount(cut.refs, minlength=len(cut.parts))[:len(cut.parts)]
+            # letters, also with one mark after them, are one word with the space before, as in after_space
+            last, stem = pc.utf8_slice_codeunits(cut.parts, -1), pc.utf8_slice_codeunits(cut.parts, 0, -1)
+            marked = pc.and_(pc.is_in(last, pa.array(sorted(MARKS))), pc.utf8_is_alpha(stem))
+            easy = pc.or_(marked, pc.utf8_is_alpha(cut.parts))
+            spaced = pc.binary_join_element_wise("", pc.if_else(marked, stem, cut.parts).filter(easy), " ")
+            easy, marked = (x.to_numpy(zero_copy_only=False) for x in (easy, marked))
+            for part, k in zip(strings(cut.parts.filter(pa.array(~easy))), n[~easy].tolist()):
+                for w in find(" " + part):
+                    words[w] += k
+            for mark in MARKS:
+                words[mark] += int(n[marked & pc.equal(last, mark).to_numpy(zero_copy_only=False)].sum())
+            for first in cut.firsts:
+                words.update(find(first))
+            found = pa.concat_arrays([spaced, pa.array(words.keys(), pa.string())])
+            yield pa.RecordBatch.from_arrays([found, pa.array(np.concatenate([n[easy], np.array([*words.values()], np.int64)]))], ["word", "n"])
     found = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word string, n long")
-    return found.groupBy("word").agg(F.sum("n").alias("n"))
+    return found.where("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def held_words(docs: DataFrame, text_col: str, pattern: str, rank_map: RankMap) -> dict[str, bytes]:
@@ -170,7 +206,7 @@ def held_words(docs: DataFrame, text_col: str, pattern: str, rank_map: RankMap)
     encoded = materialize(top.select("word", rank_map.fold(F.col("word")).alias("ids")), "bpe-held")
     table = encoded.toArrow()
     ids = [x for chunk in table.column("ids").chunks for x in packed(chunk)]
-    return dict(zip(table.column("word").to_pylist(), ids))
+    return dict(zip([x for chunk in table.column("word").chunks for x in strings(chunk)], ids))
 
 
 def packed(ids: pa.ListArray) -> list[bytes]:
@@ -180,20 +216,26 @@ def packed(ids: pa.ListArray) -> list[bytes]:
     return [flat[a:b] for a, b in pairwise([0, *edges.tolist()])]
 
 
-#: Stands in a document's ids for the first of its words that are not held; the next number for the second, and so on.
+#: Stands in the ids of a slice of documents for its first word that is not held; the next number for the second, and so on.
 HOLE = 1 << 17
 
 
+def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions start, start + 1, ... of every stretch, one stretch after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def _encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str,
             finish: Callable[[list[bytes]], list[pa.Array]], columns: str) -> DataFrame:
     """doc_id and what ``finish`` makes of the ids of a batch. Frequent words are looked up; a task leaves holes for the
-    other words, which the same fold then encodes, once per document."""
+    other words, which the same fold then encodes, once per slice of documents."""
     rank_map = RankMap(load_ranks(ranks_path))
     held = docs.sparkSession.sparkContext.broadcast(held_words(docs, text_col, pattern, rank_map))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, find = held.value, matcher(pattern).findall
-        own: dict[str, int] = {}  # the words of a document that are not held
+        own: dict[str, int] = {}  # the words of a slice that are not held
 
         def encoded(found: list[str]) -> bytes:
             ids = map(words.get, found)
@@ -207,37 +249,41 @@ def _encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_co
                     self[part] = value
                 return value
         known = Parts()
-        for batch in small(batches):
-            ids, missing = [], []
-            for text in batch.column(1).to_pylist():
-                own.clear()
-                if not text:
-                    ids.append(b"")
-                elif (cut := parts(text)) is None:
-                    ids.append(encoded(find(text)))
-                else:
-                    ids.append(b"".join([encoded(find(cut[0])), *map(known.__getitem__, cut[1:])]))
-                missing.append(list(own))
+        for batch in text_slices(batches, 1):
+            own.clear()
+            cut = Cut(batch.column(1))
+            values = [*map(known.__getitem__, strings(cut.parts)), *(encoded(find(x)) for x in cut.firsts)]
+            sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+            tokens, starts = np.frombuffer(b"".join(values), "<u4"), np.cumsum(sizes) - sizes
+            ids, at = [], 0
+            for end in cut.ends.tolist():
+                refs = cut.refs[at:end]
+                ids.append(tokens[stretches(starts[refs], sizes[refs])].tobytes())
+                at = end
+            missing = [list(own), *[None] * (len(ids) - 1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.binary()), pa.array(missing, pa.list_(pa.string()))], ["doc_id", "ids", "missing"])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rare: list[bytes] = []
         for batch in small(batches):
-            rare, out = packed(batch.column(2).flatten()), []
-            sizes = batch.column(2).value_lengths().to_numpy(zero_copy_only=False)
-            for raw, begin in zip(batch.column(1).to_pylist(), (np.cumsum(sizes) - sizes).tolist()):
+            out = []
+            for raw, new in zip(batch.column(1).to_pylist(), batch.column(2)):
+                if new.is_valid:
+                    rare = packed(new.values)
                 codes = np.frombuffer(raw, "<u4")
                 holes = np.flatnonzero(codes >= HOLE)
                 whole, at = [], 0
                 for hole, k in zip((holes * 4).tolist(), codes[holes].tolist()):
-                    whole += (raw[at:hole], rare[begin + k - HOLE])
+                    whole += (raw[at:hole], rare[k - HOLE])
                     at = hole + 4
                 out.append(b"".join([*whole, raw[at:]]))
             yield pa.RecordBatch.from_arrays([batch.column(0), *finish(out)], ["doc_id", *(c.split()[0] for c in columns.split(", "))])
     source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     open_ = source.mapInArrow(look_up, f"doc_id {kind}, ids binary, missing array<string>")
-    rare = F.when(F.size("missing") > 0, F.transform("missing", rank_map.fold)).otherwise(F.array().cast("array<array<int>>"))
+    # the rows keep their order from one function to the other; a slice's first row has its words
+    rare = F.when(F.col("missing").isNotNull(), F.transform("missing", rank_map.fold))
     return open_.select("doc_id", "ids", rare.alias("rare")).mapInArrow(fill, f"doc_id {kind}, {columns}")
 
 

@@ -11,6 +11,8 @@ from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import regex
 import tiktoken
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from hourwise.llm import (bpe, components, exact_dedup, fingerprint, html_main, near_dedup, packing, quality, repeats, secrets,
-                          sharding)
+                          sharding, words)
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rid string, h int, `key` string, bucket string, spans int"
 RNG = random.Random(5)
@@ -735,3 +737,38 @@ def test_tasks_hold_few_texts_at_a_time():
         encoder.recent.update((f"{k}", b"") for k in range(at, at + 500))
         encoder.encode(["one"])
     assert len(encoder.recent) + len(encoder.old) <= 202_000
+
+
+def test_bpe_word_counts_and_items_of_the_fold(spark):
+    """Words that need no search, texts matched whole, and the fold on long words and words of equal pairs."""
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    find = words.matcher(P.PATTERN).findall
+    letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert all(words.after_space(x, find) == find(" " + x) for c in letters if c.isalpha() for x in (c, c + "."))
+    alpha = pc.utf8_is_alpha(pa.array(letters)).to_pylist()
+    assert all(find(" " + c) == [" " + c] for c, is_alpha in zip(letters, alpha) if is_alpha)
+    texts = [None, "", " ", "it's here, it's", "a. b! c,d e1. é; 中文。 x.. .", "tail ", "two  gaps a\nb.", " lead lead", "\0 ª̀ a b"] * 2
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    got = {r.word: r.n for r in bpe.word_counts(df, "text", P.PATTERN).collect()}
+    assert got == counted(w for t in texts for w in find(t or ""))
+    ranks = bpe.load_ranks(path)
+    library = tiktoken.Encoding("own", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
+    own = ["a" * n for n in range(1, 30)] + ["abab" * 9, "\0\0é😀", " " * 33, "".join(RNG.choice("aeinrst") for _ in range(2000))]
+    rows = spark.createDataFrame([(w,) for w in own], "word string").select("word", bpe.RankMap(ranks).fold(F.col("word")).alias("ids"))
+    assert {r.word: r.ids for r in rows.collect()} == {w: library.encode_ordinary(w) for w in own}
+
+
+@pytest.mark.parametrize("held, size", [(0, 40), (3, 1), (250_000, 1 << 23)])
+def test_bpe_with_few_held_words_and_small_slices(spark, monkeypatch, held, size):
+    """Words that are not held are encoded once a slice: a slice's first row carries them for the rows behind it."""
+    monkeypatch.setattr(bpe, "HELD_WORDS", held)
+    monkeypatch.setattr(bpe, "SLICE_BYTES", size)
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    ranks = bpe.load_ranks(path)
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = [None, "", "aba abb aba, Aba", "abb", " ", "two  gaps aba", "x" * 90 + " aba", None, "aba abb zzq! zzq"] * 3
+    table = [(i if i % 5 else None, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    got = bpe.encode_documents(df, path, P.PATTERN).collect()
+    assert counted((r.doc_id, bytes(r.ids)) for r in got) == counted(
+        (i, struct.pack(f"<{len(x)}I", *x)) for i, t in table for x in [library.encode_ordinary(t or "")])
