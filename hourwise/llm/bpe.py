@@ -134,18 +134,19 @@ HELD_WORDS = 250_000
 WORD_BYTES = 48
 
 
-#: Bytes of text that a task cuts into parts at a time; one longer text is cut alone.
-SLICE_BYTES = 1 << 23
+#: Bytes of text that a task cuts into parts at a time, when it counts and when it looks words up; one longer text is cut alone.
+COUNT_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of about SLICE_BYTES of the text column."""
+def text_slices(batches: Iterator[pa.RecordBatch], text: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``most`` bytes of the text column, or one row."""
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         at = 0
         while at < batch.num_rows:
             before = ends[at - 1] if at else 0
-            to = max(int(np.searchsorted(ends, before + SLICE_BYTES, "right")), at + 1)
+            to = max(int(np.searchsorted(ends, before + most, "right")), at + 1)
             yield batch.slice(at, to - at)
             at = to
 
@@ -176,7 +177,7 @@ def word_counts(docs: DataFrame, text_col: str, pattern: str) -> DataFrame:
     """(word, n): every distinct match of the pattern in the texts and how often it occurs."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = matcher(pattern).findall
-        for batch in text_slices(batches, 0):
+        for batch in text_slices(batches, 0, COUNT_BYTES):
             cut, words = Cut(batch.column(0)), Counter()
             n = np.bincount(cut.refs, minlength=len(cut.parts))[:len(cut.parts)]
             # letters, also with one mark after them, are one word with the space before, as in after_space
@@ -249,7 +250,7 @@ def _encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_co
                     self[part] = value
                 return value
         known = Parts()
-        for batch in text_slices(batches, 1):
+        for batch in text_slices(batches, 1, SLICE_BYTES):
             own.clear()
             cut = Cut(batch.column(1))
             values = [*map(known.__getitem__, strings(cut.parts)), *(encoded(find(x)) for x in cut.firsts)]
@@ -292,8 +293,18 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     return _encode(docs, ranks_path, pattern, id_col, text_col, lambda ids: [pa.array(ids, pa.binary())], "ids binary")
 
 
-def decode_pieces(ids: bytes, pieces: list[bytes]) -> bytes:
-    return b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+class Pieces:
+    """The bytes of every id, for decoding."""
+
+    def __init__(self, pieces: list[bytes], most: int = 100_000):
+        self.bytes, self.most = np.frombuffer(b"".join(pieces), np.uint8), most
+        self.sizes = np.array([len(p) for p in pieces], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def decode(self, ids: bytes) -> bytes:
+        codes = np.frombuffer(ids, "<u4")
+        return b"".join(self.bytes[stretches(self.starts[x], self.sizes[x])].tobytes()
+                        for x in (codes[at:at + self.most] for at in range(0, len(codes), self.most)))
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -302,9 +313,10 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
     pieces = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         pieces[rank] = token
+    table = Pieces(pieces)
 
     def digest(ids: list[bytes]) -> list[pa.Array]:
         return [pa.array([len(x) // 4 for x in ids], pa.int64()),
                 pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                pa.array([hashlib.sha256(decode_pieces(x, pieces)).hexdigest() for x in ids], pa.string())]
+                pa.array([hashlib.sha256(table.decode(x)).hexdigest() for x in ids], pa.string())]
     return _encode(docs, ranks_path, pattern, id_col, text_col, digest, "n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -755,6 +755,7 @@ def test_bpe_word_counts_and_items_of_the_fold(spark):
     library = tiktoken.Encoding("own", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
     own = ["a" * n for n in range(1, 30)] + ["abab" * 9, "\0\0é😀", " " * 33, "".join(RNG.choice("aeinrst") for _ in range(2000))]
     rows = spark.createDataFrame([(w,) for w in own], "word string").select("word", bpe.RankMap(ranks).fold(F.col("word")).alias("ids"))
+    assert bpe.Pieces([b"a", b"", b"bcd"], 2).decode(struct.pack("<5I", 2, 1, 0, 2, 2)) == b"bcdabcdbcd"
     assert {r.word: r.ids for r in rows.collect()} == {w: library.encode_ordinary(w) for w in own}
 
 
